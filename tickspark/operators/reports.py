@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.numeric import exact_avg
 from ..functions.tiers import speedup_tier, throughput_tier
 
 
@@ -18,7 +17,7 @@ def run_stats(runs: DataFrame, config: list[str], time: str = "time_ms", order:
         runs.groupBy(*config)
         .agg(
             F.count(F.lit(1)).alias("runs"),
-            exact_avg(time).alias("avg_ms"),
+            F.avg(time).alias("avg_ms"),
             F.min(time).alias("min_ms"),
             F.max(time).alias("max_ms"),
             listed.alias("_listed"),
@@ -72,7 +71,7 @@ def series_summary(throughput: DataFrame, latency: DataFrame, speedups: DataFram
         F.sum("trades_per_minute").alias("total_trades"),
     ).select(
         "*",
-        one(latency, exact_avg("avg_latency")).alias("avg_latency"),
+        one(latency, F.avg("avg_latency")).alias("avg_latency"),
         one(speedups, F.max("speedup")).alias("best_speedup"),
         one(speedups, F.max("efficiency")).alias("best_efficiency"),
         one(speedups, F.min("time_ms")).alias("fastest_time"),

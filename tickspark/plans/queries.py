@@ -480,7 +480,11 @@ def latency_pool_avg(spark, sf_dir):
 def run_stats(spark, sf_dir):
     shown = F.transform("times", lambda t: F.format_string("%.6f", t))
     return run_table(spark, sf_dir).select(
-        "name", "workers", "runs", "avg_ms", "min_ms", "max_ms", F.array_join(shown, " ").alias("times")
+        "name",
+        "workers",
+        "runs",
+        *[round_half_up(F.col(c), 6).alias(c) for c in ("avg_ms", "min_ms", "max_ms")],
+        F.array_join(shown, " ").alias("times"),
     )
 
 
