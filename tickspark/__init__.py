@@ -1 +1,8 @@
 """tickspark: trade and event analytics as Spark DataFrame operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The few functions that run in Python tasks travel with the job, so executors need no install.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

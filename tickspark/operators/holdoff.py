@@ -48,8 +48,8 @@ def kept_positions(us: np.ndarray, hold: np.ndarray, ready: int) -> list[int]:
 
 def _step_table(keys: list[str], longest: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["us", "tie"], kind="stable", ignore_index=True)
-        us, hold = rows["us"].to_numpy(np.int64), rows["hold"].to_numpy(np.int64)
+        rows = rows.sort_values(["_us", "_tie"], kind="stable", ignore_index=True)
+        us, hold = rows["_us"].to_numpy(np.int64), rows["_hold"].to_numpy(np.int64)
         leave = exit_times(us, hold)
         begin = us[0] // longest * longest
         # Earlier holds end within the first bucket, so entry is there or at the event after it.
@@ -57,17 +57,17 @@ def _step_table(keys: list[str], longest: int):
         ends_run = np.r_[leave[1:entries] != leave[: entries - 1], True]
         spots = np.flatnonzero(ends_run)
         out = pd.DataFrame({"upto": us[spots], "leave": leave[spots]})
-        for key in [*keys, "block"]:
+        for key in [*keys, "_block"]:
             out[key] = rows[key].iloc[0]
-        return out[[*keys, "block", "upto", "leave"]]
+        return out[[*keys, "_block", "upto", "leave"]]
 
     return run
 
 
 def _entry_times(keys: list[str]):
     def run(steps: pd.DataFrame) -> pd.DataFrame:
-        steps = steps.sort_values(["block", "upto"], ignore_index=True)
-        blocks, first = np.unique(steps["block"].to_numpy(), return_index=True)
+        steps = steps.sort_values(["_block", "upto"], ignore_index=True)
+        blocks, first = np.unique(steps["_block"].to_numpy(), return_index=True)
         upto, leave = steps["upto"].to_numpy(), steps["leave"].to_numpy()
         ends = np.r_[first[1:], len(steps)]
         ready, entered = NEVER, []
@@ -76,18 +76,18 @@ def _entry_times(keys: list[str]):
             spot = begin + int(np.searchsorted(upto[begin:end], ready, side="left"))
             if spot < end:
                 ready = int(leave[spot])
-        out = pd.DataFrame({"block": blocks, "ready": entered})
+        out = pd.DataFrame({"_block": blocks, "ready": entered})
         for key in keys:
             out[key] = steps[key].iloc[0]
-        return out[[*keys, "block", "ready"]]
+        return out[[*keys, "_block", "ready"]]
 
     return run
 
 
 def _select_block(columns: list[str]):
     def run(rows: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["us", "tie"], kind="stable", ignore_index=True)
-        us, hold = rows["us"].to_numpy(np.int64), rows["hold"].to_numpy(np.int64)
+        rows = rows.sort_values(["_us", "_tie"], kind="stable", ignore_index=True)
+        us, hold = rows["_us"].to_numpy(np.int64), rows["_hold"].to_numpy(np.int64)
         return rows.iloc[kept_positions(us, hold, int(entry["ready"].iloc[0]))][columns]
 
     return run
@@ -113,39 +113,39 @@ def greedy_holdoff(
     rest = [c for c in columns if c not in (*keys, tie)]
     first = (
         events.filter(F.col(at).isNotNull())
-        .groupBy(*keys, F.unix_micros(at).alias("us"))
+        .groupBy(*keys, F.unix_micros(at).alias("_us"))
         .agg(F.min(F.struct(F.col(tie), *rest, hold_micros.cast("long").alias("_hold"))).alias("_row"))
         .select(
             *keys,
-            "us",
+            "_us",
             *[F.col(f"_row.{c}").alias(c) for c in (tie, *rest)],
-            F.col("_row._hold").alias("hold"),
+            F.col("_row._hold").alias("_hold"),
         )
-        .withColumn("tie", F.col(tie))
-        .withColumn("bucket", F.floor(F.col("us") / F.lit(longest_micros)).cast("long"))
+        .withColumn("_tie", F.col(tie))
+        .withColumn("_bucket", F.floor(F.col("_us") / F.lit(longest_micros)).cast("long"))
     )
-    counts = first.groupBy(*keys, "bucket").agg(F.count(F.lit(1)).alias("n"))
-    cut = running_before(counts, keys, "bucket", "n", "before").select(
-        *keys, "bucket", F.floor(F.col("before") / block_rows).cast("long").alias("block")
+    counts = first.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    cut = running_before(counts, keys, "_bucket", "_n", "_before").select(
+        *keys, "_bucket", F.floor(F.col("_before") / block_rows).cast("long").alias("_block")
     )
-    blocked = first.join(cut, [*keys, "bucket"]).drop("bucket")
+    blocked = first.join(cut, [*keys, "_bucket"]).drop("_bucket")
 
     types = {f.name: f for f in events.schema.fields}
     key_fields = [types[k] for k in keys]
-    block = T.StructField("block", T.LongType())
+    block = T.StructField("_block", T.LongType())
     steps_type = T.StructType(
         [*key_fields, block, T.StructField("upto", T.LongType()), T.StructField("leave", T.LongType())]
     )
     entry_type = T.StructType([*key_fields, block, T.StructField("ready", T.LongType())])
     steps = (
-        blocked.select(*keys, "block", "us", "hold", "tie")
-        .groupBy(*keys, "block")
+        blocked.select(*keys, "_block", "_us", "_hold", "_tie")
+        .groupBy(*keys, "_block")
         .applyInPandas(_step_table(keys, longest_micros), steps_type)
     )
     entry = settle(steps.groupBy(*keys).applyInPandas(_entry_times(keys), entry_type))
     return (
-        blocked.groupBy(*keys, "block")
-        .cogroup(entry.groupBy(*keys, "block"))
+        blocked.groupBy(*keys, "_block")
+        .cogroup(entry.groupBy(*keys, "_block"))
         .applyInPandas(_select_block(columns), events.schema)
     )
 

@@ -401,5 +401,5 @@ def chart_arrays(points: DataFrame, keys: list[str], order: str, arrays: dict[st
         F.array_sort(F.collect_list(F.struct(order, *[c for c in arrays.values() if c != order]))).alias("_points")
     )
     return gathered.select(
-        *keys, *[F.transform("_points", lambda p, c=c: p[c]).alias(name) for name, c in arrays.items()]
+        *keys, *[F.col("_points").getField(c).alias(name) for name, c in arrays.items()]
     )

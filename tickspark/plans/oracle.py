@@ -257,8 +257,8 @@ SELECT product, trade_id, price, size, processed_at FROM (
 
 def _throughput(order: str) -> str:
     return f"""{_T}
-SELECT strftime(at, '%Y-%m-%d %H:%M') AS "timestamp", trades_per_minute, avg_price, volume FROM (
-  SELECT date_trunc('minute', coalesce(processed_at, time)) AS at, count(*) AS trades_per_minute,
+SELECT strftime(minute, '%Y-%m-%d %H:%M') AS "timestamp", trades_per_minute, avg_price, volume FROM (
+  SELECT date_trunc('minute', coalesce(processed_at, time)) AS minute, count(*) AS trades_per_minute,
          {_mean('price')} AS avg_price, {_total('size')} AS volume
   FROM t GROUP BY 1 ORDER BY 1 {order} LIMIT 30)"""
 

@@ -35,15 +35,18 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without that setting falls back to a fresh temporary folder; a cluster
     session without it is an error, because a machine-local folder would be lost with its machine.
     """
-    conf = spark.sparkContext.getConf()
-    configured = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getConf().get("spark.checkpoint.dir", None)
+        or context.getCheckpointDir()
+    )
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
