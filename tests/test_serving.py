@@ -168,5 +168,6 @@ def test_sql_statements(spark):
     assert tuple(catalog.recent_totals(spark, catalog.newest()).first()) == (2, 15.0, 2.0)
     assert catalog.recent_count(spark, catalog.newest(), view="my_trades").first()[0] == 2
     assert tuple(catalog.latency_avg_p95(spark, catalog.newest("speed_trades")).first()) == (4.0, 4.0)
+    assert tuple(recent.latency_tail(frame).first()) == (4.0, 4.0)
     none = catalog.recent_totals(spark, "timestamp'2030-01-01'").first()
     assert tuple(none) == (0, 0.0, 0.0)

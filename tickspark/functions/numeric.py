@@ -8,6 +8,7 @@ from pyspark.sql import Column, functions as F
 # does not depend on the order in which tasks add their rows.
 SUM_TYPE = "decimal(38,8)"
 SUM_SCALE = 100_000_000
+LARGEST = 1.7976931348623157e308
 
 
 def _col(c: Column | str) -> Column:
@@ -17,7 +18,7 @@ def _col(c: Column | str) -> Column:
 def number(c: Column | str) -> Column:
     """Finite double, or NULL for text that is no number, NaN and infinities."""
     x = _col(c).try_cast("double")
-    return F.when(~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))), x)
+    return F.when(F.abs(x) <= F.lit(LARGEST), x)  # NaN sorts above every number
 
 
 def number_or(c: Column | str, default: float = 0.0) -> Column:
@@ -27,13 +28,25 @@ def number_or(c: Column | str, default: float = 0.0) -> Column:
 
 def given_number(c: Column | str, default: float = 0.0) -> Column:
     """A missing value becomes ``default``; a value that is present but no number stays NULL."""
-    raw = _col(c)
-    return F.when(raw.isNull(), F.lit(float(default))).otherwise(number(raw))
+    return number(F.coalesce(_col(c), F.lit(repr(float(default)))))
 
 
 def exact_total(c: Column | str) -> Column:
-    """Order-independent sum as a decimal aggregate."""
-    return F.sum(_col(c).cast(SUM_TYPE))
+    """Order-independent sum as a decimal aggregate.
+
+    The whole part and two groups of four decimals are summed as integers, several times faster
+    than a decimal per row. Each integer sum has room for 10^14 rows.
+    """
+    x = _col(c).cast("double")
+    whole = F.floor(x)
+    decimals = F.floor((x - whole) * F.lit(float(SUM_SCALE)) + F.lit(0.5))
+    upper = F.floor(decimals / F.lit(10_000))
+    parts = (F.sum(whole), "1"), (F.sum(upper), "0.0001"), (F.sum(decimals - upper * 10_000), "0.00000001")
+    total = None
+    for part, unit in parts:
+        term = part.cast("decimal(20,0)") * F.lit(unit).cast("decimal(9,8)")
+        total = term if total is None else total + term
+    return total.cast(SUM_TYPE)
 
 
 def exact_sum(c: Column | str) -> Column:

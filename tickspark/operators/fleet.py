@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numeric import exact_avg, round_half_up
 from .holdoff import BLOCK_ROWS, greedy_holdoff
+from .ordered import settle
 
 
 @dataclass(frozen=True)
@@ -117,7 +118,8 @@ def hysteresis_alerts(ticks: DataFrame, rule: AlertRule = AlertRule(), block_row
 
     Which ticks would act depends on the data alone; the cooldown then selects among them greedily.
     """
-    chosen = eligible_ticks(ticks.select("fleet", "ts", "level", "cpu"), rule)
+    known = settle(ticks.select("fleet", "ts", "level", "cpu"), "ticks")
+    chosen = settle(eligible_ticks(known, rule), "eligible")
     wait = {
         name: _seconds(rule.cooldown + delay) + 1  # strictly longer than the cooldown
         for name, delay in (("scale_up", rule.up_delay), ("scale_down", rule.down_delay))

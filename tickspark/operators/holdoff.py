@@ -104,31 +104,33 @@ def greedy_holdoff(
 ) -> DataFrame:
     """Keep, per key and in time order, each event no kept event before it still holds off.
 
-    ``hold_micros`` is positive and at most ``longest_micros``. Of events at one instant only the
-    first by ``tie`` can be kept, so the others leave before the blocks are cut; a block then has
-    about ``block_rows`` rows plus at most the distinct instants of one ``longest_micros``.
+    ``hold_micros`` is positive and at most ``longest_micros``. Blocks are cut from counts per
+    (key, ``longest_micros`` bucket). Of events at one instant only the first by ``tie`` can be
+    kept, so the others leave before rows meet in a block, which then has at most ``block_rows``
+    rows plus the distinct instants of one bucket.
     """
     columns = events.columns
-    # Grouping fields through a struct keeps whole rows; the first per instant wins.
-    rest = [c for c in columns if c not in (*keys, tie)]
-    first = (
-        events.filter(F.col(at).isNotNull())
-        .groupBy(*keys, F.unix_micros(at).alias("_us"))
-        .agg(F.min(F.struct(F.col(tie), *rest, hold_micros.cast("long").alias("_hold"))).alias("_row"))
-        .select(
-            *keys,
-            "_us",
-            *[F.col(f"_row.{c}").alias(c) for c in (tie, *rest)],
-            F.col("_row._hold").alias("_hold"),
-        )
-        .withColumn("_tie", F.col(tie))
-        .withColumn("_bucket", F.floor(F.col("_us") / F.lit(longest_micros)).cast("long"))
+    timed = events.filter(F.col(at).isNotNull()).withColumns(
+        {
+            "_us": F.unix_micros(at),
+            "_hold": hold_micros.cast("long"),
+            "_tie": F.col(tie),
+            "_bucket": F.floor(F.unix_micros(at) / F.lit(longest_micros)).cast("long"),
+        }
     )
-    counts = first.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    cut = running_before(counts, keys, "_bucket", "_n", "_before").select(
-        *keys, "_bucket", F.floor(F.col("_before") / block_rows).cast("long").alias("_block")
+    counts = timed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = running_before(counts, keys, "_bucket", "_n", "_before")
+    cut = settle(
+        before.select(*keys, "_bucket", F.floor(F.col("_before") / block_rows).cast("long").alias("_block")),
+        "blocks",
+    )
+    rest = [c for c in columns if c not in keys]
+    blocked = (
+        timed.join(cut, [*keys, "_bucket"])
+        .groupBy(*keys, "_block", "_us")
+        .agg(F.min(F.struct("_tie", "_hold", *rest)).alias("_row"))
+        .select(*keys, "_block", "_us", "_row.*")
     )
-    blocked = first.join(cut, [*keys, "_bucket"]).drop("_bucket")
 
     types = {f.name: f for f in events.schema.fields}
     key_fields = [types[k] for k in keys]
@@ -142,7 +144,7 @@ def greedy_holdoff(
         .groupBy(*keys, "_block")
         .applyInPandas(_step_table(keys, longest_micros), steps_type)
     )
-    entry = settle(steps.groupBy(*keys).applyInPandas(_entry_times(keys), entry_type))
+    entry = settle(steps.groupBy(*keys).applyInPandas(_entry_times(keys), entry_type), "entries")
     return (
         blocked.groupBy(*keys, "_block")
         .cogroup(entry.groupBy(*keys, "_block"))

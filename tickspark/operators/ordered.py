@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import shared_dir
+from ..session import scratch_path
 
 PART_WIDTH = 4096
 
 
-def settle(frame: DataFrame) -> DataFrame:
-    """Compute a small derived table once and keep it in the shared checkpoint folder."""
-    spark: SparkSession = frame.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return frame.checkpoint(eager=True)
+def settle(frame: DataFrame, name: str = "settled") -> DataFrame:
+    """Compute a derived table once, as a table in the shared folder.
+
+    Later plans start from its files: nothing behind it is computed again, lost executors do not
+    matter, and the planner knows its size, so it broadcasts the table only when that is small.
+    """
+    spark = frame.sparkSession
+    path = scratch_path(spark, name)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def running_before(

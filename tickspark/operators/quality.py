@@ -48,6 +48,12 @@ def sanity_counters(trades: DataFrame, bounds=PRICE_BOUNDS, cap: float = OTHER_P
     )
 
 
+def clean_side(side: Column) -> Column:
+    """Lower case without surrounding white space; the usual values need no work."""
+    tidy = F.lower(F.btrim(side, F.lit(SPACE)))
+    return F.when(side.isin("buy", "sell"), side).otherwise(tidy)
+
+
 def with_defaults(trades: DataFrame) -> DataFrame:
     """Default product, cleaned side, parsed numbers; a present but unreadable number is NULL."""
     return trades.withColumns(
@@ -55,7 +61,7 @@ def with_defaults(trades: DataFrame) -> DataFrame:
             "product": F.coalesce("product", F.lit(UNKNOWN_PRODUCT)),
             "price": given_number("price"),
             "size": given_number("size"),
-            "side": F.lower(F.btrim(F.coalesce("side", F.lit("")), F.lit(SPACE))),
+            "side": clean_side(F.coalesce("side", F.lit(""))),
             "latency_ms": given_number("latency_ms"),
         }
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numeric import exact_avg, exact_sum, number_or, round_half_up
 from ..functions.times import diff_ms, minute_label, minute_of_day, parse_iso
-from .ordered import exact_percentiles
+from .ordered import exact_percentiles, settle
 from .quality import event_time_fallback
 
 RECENT_SECONDS = 300
@@ -153,14 +153,15 @@ def minute_of_day_history(trades: DataFrame, n: int = HISTORY_ROWS) -> DataFrame
     at = processed_time(trades)
     return (
         trades.filter(at.isNotNull())
-        .groupBy(minute_of_day(at).alias("minute"))
+        .groupBy((F.hour(at) * 60 + F.minute(at)).alias("_minute"))
         .agg(
             F.count(F.lit(1)).alias("trades"),
             round_half_up(exact_avg(number_or("price")), 2).alias("price"),
             round_half_up(exact_sum(number_or("size")), 4).alias("volume"),
         )
-        .orderBy(F.col("minute").desc())
+        .orderBy(F.col("_minute").desc())
         .limit(n)
+        .select(minute_of_day(F.timestamp_seconds(F.col("_minute") * 60)).alias("minute"), "trades", "price", "volume")
     )
 
 
@@ -168,29 +169,50 @@ def minute_of_day_history(trades: DataFrame, n: int = HISTORY_ROWS) -> DataFrame
 RATES = (10, 50, 100, 200, 500)
 
 
+def latency_tail(trades: DataFrame, as_of=None, seconds: int = RECENT_SECONDS) -> DataFrame:
+    """Mean and 95th percentile of the stored latency over the last ``seconds``.
+
+    The figures of the SQL statement in ``sources.catalog``, from counts per value: no task holds
+    all values, whatever the period.
+    """
+    at = processed_time(trades)
+    since = as_of_column(trades, as_of) - F.make_dt_interval(secs=F.lit(seconds))
+    counted = (
+        trades.filter((at >= since) & F.col("latency_ms").isNotNull())
+        .groupBy(F.lit(0).alias("_all"), "latency_ms")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    mean = counted.groupBy("_all").agg(_weighted_mean("latency_ms", "n").alias("avg_latency"))
+    tail = exact_percentiles(counted, ["_all"], "latency_ms", "n", {"p95_latency": 0.95})
+    return mean.join(tail, "_all").drop("_all")
+
+
+def _weighted_mean(value: str, freq: str) -> Column:
+    total = F.sum(F.col(value).cast("decimal(28,8)") * F.col(freq).cast("decimal(10,0)"))
+    return total.cast("double") / F.sum(freq)
+
+
 def latency_by_rate(trades: DataFrame, rates=RATES, unit: str = "MINUTE") -> DataFrame:
     """Measured latency per observed ingestion rate (trades per minute, or other unit).
 
-    Latencies are counted per (minute, value) before they meet the minute's rate, and percentiles
-    come from counts per (bucket, value), so no task sees all trades of a bucket.
+    The rates, one row per minute, are kept as a small table, so that trades usually meet them
+    without a shuffle. Percentiles come from counts per (bucket, value): no task sees all trades
+    of a bucket.
     """
     timed = trades.withColumn("at", F.date_trunc(unit, "time")).filter(F.col("at").isNotNull())
-    rate = timed.groupBy("at").agg(F.count(F.lit(1)).alias("rate"))
-    counted = latency_per_trade(timed).groupBy("at", "latency").agg(F.count(F.lit(1)).alias("n"))
+    rate = settle(timed.groupBy("at").agg(F.count(F.lit(1)).alias("rate")), "rates")
     bucket = F.lit(rates[-1])
     for top in reversed(rates[:-1]):
         bucket = F.when(F.col("rate") <= top, F.lit(top)).otherwise(bucket)
-    pooled = (
-        counted.join(rate, "at")
+    counted = (
+        latency_per_trade(timed.join(rate, "at"))
         .groupBy(bucket.cast("int").alias("rate_bucket"), "latency")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    total = F.sum(F.col("latency").cast("decimal(28,8)") * F.col("n").cast("decimal(10,0)"))
-    means = pooled.groupBy("rate_bucket").agg(
-        F.sum("n").alias("samples"),
-        (total.cast("double") / F.sum("n")).alias("avg_latency"),
+    means = counted.groupBy("rate_bucket").agg(
+        F.sum("n").alias("samples"), _weighted_mean("latency", "n").alias("avg_latency")
     )
     tails = exact_percentiles(
-        pooled, ["rate_bucket"], "latency", "n", {"p95_latency": 0.95, "p99_latency": 0.99}
+        counted, ["rate_bucket"], "latency", "n", {"p95_latency": 0.95, "p99_latency": 0.99}
     )
     return means.join(tails, "rate_bucket")

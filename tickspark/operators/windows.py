@@ -135,7 +135,7 @@ def rolling_last_n_snapshot(
     keys = ["product", "slot_no"]
     rows = _arrivals(trades, slot_seconds)
     slots = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    slots = settle(running_before(slots, ["product"], "slot_no", "n", "before"))
+    slots = settle(running_before(slots, ["product"], "slot_no", "n", "before"), "slots")
     own = F.floor(F.col("before") / block_rows)
     end = F.col("before") + F.col("n")
     feeds = F.array_distinct(F.array(own, F.floor(end / block_rows), F.floor((end + n - 2) / block_rows)))
@@ -143,7 +143,7 @@ def rolling_last_n_snapshot(
 
     crowded = slots.filter(F.col("n") > block_rows)
     if not crowded.isEmpty():
-        cuts = settle(_crowded_slot_cuts(rows, crowded, n - 1, slot_seconds))
+        cuts = settle(_crowded_slot_cuts(rows, crowded, n - 1, slot_seconds), "cuts")
         rows = (
             rows.join(cuts, keys, "left")
             .filter(
