@@ -37,9 +37,7 @@ def exact_total(c: Column | str) -> Column:
     The whole part and two groups of four decimals are summed as integers, several times faster
     than a decimal per row. Each integer sum has room for 10^14 rows.
     """
-    x = _col(c).cast("double")
-    whole = F.floor(x)
-    decimals = F.floor((x - whole) * F.lit(float(SUM_SCALE)) + F.lit(0.5))
+    whole, decimals = whole_part(c), fraction_part(c)
     upper = F.floor(decimals / F.lit(10_000))
     parts = (F.sum(whole), "1"), (F.sum(upper), "0.0001"), (F.sum(decimals - upper * 10_000), "0.00000001")
     total = None
@@ -76,14 +74,14 @@ def format_volume(c: Column | str) -> Column:
 
 
 def whole_part(c: Column | str) -> Column:
-    """Integer part of the fixed-point form of ``c``; pairs with :func:`fraction_part`."""
-    return F.floor(_col(c).cast(SUM_TYPE)).cast("long")
+    """Integer part of ``c``; pairs with :func:`fraction_part`."""
+    return F.floor(_col(c).cast("double"))
 
 
 def fraction_part(c: Column | str) -> Column:
-    """Remaining eight decimals of ``c`` as an integer in [0, 10^8)."""
-    fixed = _col(c).cast(SUM_TYPE)
-    return ((fixed - F.floor(fixed)) * F.lit(SUM_SCALE)).cast("long")
+    """The eight decimals of ``c`` above its integer part, as an integer up to 10^8."""
+    x = _col(c).cast("double")
+    return F.floor((x - F.floor(x)) * F.lit(float(SUM_SCALE)) + F.lit(0.5))
 
 
 def join_parts(whole: Column, fraction: Column) -> Column:

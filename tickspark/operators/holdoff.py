@@ -12,6 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .dedup import latest_per_key
 from .ordered import running_before, settle
 
 BLOCK_ROWS = 200_000
@@ -48,7 +49,7 @@ def kept_positions(us: np.ndarray, hold: np.ndarray, ready: int) -> list[int]:
 
 def _step_table(keys: list[str], longest: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["_us", "_tie"], kind="stable", ignore_index=True)
+        rows = rows.sort_values("_us", ignore_index=True)
         us, hold = rows["_us"].to_numpy(np.int64), rows["_hold"].to_numpy(np.int64)
         leave = exit_times(us, hold)
         begin = us[0] // longest * longest
@@ -84,11 +85,11 @@ def _entry_times(keys: list[str]):
     return run
 
 
-def _select_block(columns: list[str]):
+def _select_block(keys: list[str]):
     def run(rows: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["_us", "_tie"], kind="stable", ignore_index=True)
+        rows = rows.sort_values("_us", ignore_index=True)
         us, hold = rows["_us"].to_numpy(np.int64), rows["_hold"].to_numpy(np.int64)
-        return rows.iloc[kept_positions(us, hold, int(entry["ready"].iloc[0]))][columns]
+        return rows.iloc[kept_positions(us, hold, int(entry["ready"].iloc[0]))][[*keys, "_us", "_tie"]]
 
     return run
 
@@ -107,10 +108,11 @@ def greedy_holdoff(
     ``hold_micros`` is positive and at most ``longest_micros``. Blocks are cut from counts per
     (key, ``longest_micros`` bucket). Of events at one instant only the first by ``tie`` can be
     kept, so the others leave before rows meet in a block, which then has at most ``block_rows``
-    rows plus the distinct instants of one bucket.
+    rows plus the distinct instants of one bucket. Only key, time, tie and hold-off travel; whole
+    rows are looked up for the events kept, by key, time and ``tie``.
     """
     columns = events.columns
-    timed = events.filter(F.col(at).isNotNull()).withColumns(
+    timed = events.filter(F.col(at).isNotNull() & F.col(tie).isNotNull()).withColumns(
         {
             "_us": F.unix_micros(at),
             "_hold": hold_micros.cast("long"),
@@ -124,12 +126,10 @@ def greedy_holdoff(
         before.select(*keys, "_bucket", F.floor(F.col("_before") / block_rows).cast("long").alias("_block")),
         "blocks",
     )
-    rest = [c for c in columns if c not in keys]
     blocked = (
         timed.join(cut, [*keys, "_bucket"])
         .groupBy(*keys, "_block", "_us")
-        .agg(F.min(F.struct("_tie", "_hold", *rest)).alias("_row"))
-        .select(*keys, "_block", "_us", "_row.*")
+        .agg(F.min("_tie").alias("_tie"), F.min_by("_hold", "_tie").alias("_hold"))
     )
 
     types = {f.name: f for f in events.schema.fields}
@@ -140,16 +140,22 @@ def greedy_holdoff(
     )
     entry_type = T.StructType([*key_fields, block, T.StructField("ready", T.LongType())])
     steps = (
-        blocked.select(*keys, "_block", "_us", "_hold", "_tie")
-        .groupBy(*keys, "_block")
+        blocked.groupBy(*keys, "_block")
         .applyInPandas(_step_table(keys, longest_micros), steps_type)
     )
     entry = settle(steps.groupBy(*keys).applyInPandas(_entry_times(keys), entry_type), "entries")
-    return (
+    kept_type = T.StructType(
+        [*key_fields, T.StructField("_us", T.LongType()), T.StructField("_tie", types[tie].dataType)]
+    )
+    kept = settle(
         blocked.groupBy(*keys, "_block")
         .cogroup(entry.groupBy(*keys, "_block"))
-        .applyInPandas(_select_block(columns), events.schema)
+        .applyInPandas(_select_block(keys), kept_type),
+        "kept",
     )
+    found = timed.join(kept, [*keys, "_us", "_tie"])
+    rest = [F.struct(*[c for c in columns if c not in keys])]
+    return latest_per_key(found, [*keys, "_us"], rest).select(*columns)
 
 
 def throttle_min_gap(

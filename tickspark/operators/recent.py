@@ -6,7 +6,15 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.numeric import exact_avg, exact_sum, number_or, round_half_up
+from ..functions.numeric import (
+    SUM_SCALE,
+    exact_avg,
+    exact_sum,
+    fraction_part,
+    number_or,
+    round_half_up,
+    whole_part,
+)
 from ..functions.times import diff_ms, minute_label, minute_of_day, parse_iso
 from .ordered import exact_percentiles, settle
 from .quality import event_time_fallback
@@ -188,8 +196,10 @@ def latency_tail(trades: DataFrame, as_of=None, seconds: int = RECENT_SECONDS) -
 
 
 def _weighted_mean(value: str, freq: str) -> Column:
-    total = F.sum(F.col(value).cast("decimal(28,8)") * F.col(freq).cast("decimal(10,0)"))
-    return total.cast("double") / F.sum(freq)
+    n = F.col(freq).cast("decimal(19,0)")
+    whole = F.sum(whole_part(value).cast("decimal(19,0)") * n).cast("double")
+    fraction = F.sum(fraction_part(value).cast("decimal(9,0)") * n).cast("double")
+    return (whole + fraction / F.lit(float(SUM_SCALE))) / F.sum(freq)
 
 
 def latency_by_rate(trades: DataFrame, rates=RATES, unit: str = "MINUTE") -> DataFrame:

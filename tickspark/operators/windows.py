@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.numeric import exact_total, fraction_part, join_parts, round_half_up, whole_part
+from ..functions.numeric import SUM_SCALE, exact_total, join_parts, round_half_up
 from ..functions.times import micros
 from .ordered import running_before, settle, tail_cut
 from .quality import usable_for_windows
@@ -58,6 +58,9 @@ def _snapshot_block(n: int, top_k: int):
             running = np.r_[0, np.cumsum(np.asarray(values, dtype=np.int64))]
             return running[at + 1] - running[begin]
 
+        def decimals(values) -> np.ndarray:
+            return np.floor((values - np.floor(values)) * SUM_SCALE + 0.5)
+
         price, size = rows["price"].to_numpy(), rows["size"].to_numpy()
         side = rows["side"].to_numpy(dtype=object)
         rolling = rows["price"].rolling(n, min_periods=1)
@@ -70,10 +73,10 @@ def _snapshot_block(n: int, top_k: int):
                 "trade_id": ids[at],
                 "us": rows["us"].to_numpy()[at],
                 "trade_count": at - begin + 1,
-                "price_whole": total(rows["price_whole"]),
-                "price_fraction": total(rows["price_fraction"]),
-                "size_whole": total(rows["size_whole"]),
-                "size_fraction": total(rows["size_fraction"]),
+                "price_whole": total(np.floor(price)),
+                "price_fraction": total(decimals(price)),
+                "size_whole": total(np.floor(size)),
+                "size_fraction": total(decimals(size)),
                 "max_price": rolling.max().to_numpy()[at],
                 "min_price": rolling.min().to_numpy()[at],
                 "buy_count": total(side == "buy"),
@@ -165,10 +168,6 @@ def rolling_last_n_snapshot(
         "price",
         "size",
         "side",
-        whole_part("price").alias("price_whole"),
-        fraction_part("price").alias("price_fraction"),
-        whole_part("size").alias("size_whole"),
-        fraction_part("size").alias("size_fraction"),
     )
     found = blocks.groupBy("product", "block").applyInPandas(_snapshot_block(n, top_k), _SNAPSHOT)
     return label_snapshots(found, slot_seconds, label_seconds)

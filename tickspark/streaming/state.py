@@ -15,7 +15,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..functions.numeric import fraction_part, whole_part
 from ..operators.fleet import AlertRule, event_rows
 from ..operators.holdoff import NEVER, kept_positions
 from ..operators.windows import (
@@ -68,10 +67,7 @@ def stream_throttle(trades: DataFrame, seconds: float = 1.0, key: str = "product
     )
 
 
-_TAIL = (
-    "us long, time_us long, trade_id long, slot_no long, price double, size double, side string,"
-    "price_whole long, price_fraction long, size_whole long, size_fraction long"
-)
+_TAIL = "us long, time_us long, trade_id long, slot_no long, price double, size double, side string"
 _TAIL_COLUMNS = [part.strip().split()[0] for part in _TAIL.split(",")]
 
 
@@ -119,14 +115,7 @@ def stream_rolling_last_n(
     top_k: int = TOP_TRADES,
 ) -> DataFrame:
     """Streaming form of ``rolling_last_n_snapshot``; slots already emitted stay as they are."""
-    rows = _arrivals(trades, slot_seconds).select(
-        "product",
-        *_TAIL_COLUMNS[:7],
-        whole_part("price").alias("price_whole"),
-        fraction_part("price").alias("price_fraction"),
-        whole_part("size").alias("size_whole"),
-        fraction_part("size").alias("size_fraction"),
-    )
+    rows = _arrivals(trades, slot_seconds).select("product", *_TAIL_COLUMNS)
     found = rows.groupBy("product").transformWithStateInPandas(
         LastN(n, top_k), T._parse_datatype_string(_SNAPSHOT), outputMode="Append", timeMode="None"
     )
