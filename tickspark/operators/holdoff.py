@@ -85,11 +85,22 @@ def _entry_times(keys: list[str]):
     return run
 
 
+def _kept_rows(rows: pd.DataFrame, ready: int, keys: list[str]) -> pd.DataFrame:
+    rows = rows.sort_values("_us", ignore_index=True)
+    us, hold = rows["_us"].to_numpy(np.int64), rows["_hold"].to_numpy(np.int64)
+    return rows.iloc[kept_positions(us, hold, ready)][[*keys, "_us", "_tie"]]
+
+
 def _select_block(keys: list[str]):
     def run(rows: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("_us", ignore_index=True)
-        us, hold = rows["_us"].to_numpy(np.int64), rows["_hold"].to_numpy(np.int64)
-        return rows.iloc[kept_positions(us, hold, int(entry["ready"].iloc[0]))][[*keys, "_us", "_tie"]]
+        return _kept_rows(rows, int(entry["ready"].iloc[0]), keys)
+
+    return run
+
+
+def _select_all(keys: list[str]):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        return _kept_rows(rows, NEVER, keys)
 
     return run
 
@@ -139,20 +150,17 @@ def greedy_holdoff(
         [*key_fields, block, T.StructField("upto", T.LongType()), T.StructField("leave", T.LongType())]
     )
     entry_type = T.StructType([*key_fields, block, T.StructField("ready", T.LongType())])
-    steps = (
-        blocked.groupBy(*keys, "_block")
-        .applyInPandas(_step_table(keys, longest_micros), steps_type)
-    )
-    entry = settle(steps.groupBy(*keys).applyInPandas(_entry_times(keys), entry_type), "entries")
     kept_type = T.StructType(
         [*key_fields, T.StructField("_us", T.LongType()), T.StructField("_tie", types[tie].dataType)]
     )
-    kept = settle(
-        blocked.groupBy(*keys, "_block")
-        .cogroup(entry.groupBy(*keys, "_block"))
-        .applyInPandas(_select_block(keys), kept_type),
-        "kept",
-    )
+    groups = blocked.groupBy(*keys, "_block")
+    if cut.filter(F.col("_block") > 0).isEmpty():  # every key fits one block, entered at no time
+        chosen = groups.applyInPandas(_select_all(keys), kept_type)
+    else:
+        steps = groups.applyInPandas(_step_table(keys, longest_micros), steps_type)
+        entry = settle(steps.groupBy(*keys).applyInPandas(_entry_times(keys), entry_type), "entries")
+        chosen = groups.cogroup(entry.groupBy(*keys, "_block")).applyInPandas(_select_block(keys), kept_type)
+    kept = settle(chosen, "kept")
     found = timed.join(kept, [*keys, "_us", "_tie"])
     rest = [F.struct(*[c for c in columns if c not in keys])]
     return latest_per_key(found, [*keys, "_us"], rest).select(*columns)

@@ -7,24 +7,29 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.tiers import speedup_tier, throughput_tier
 
 
-def run_stats(runs: DataFrame, config: list[str], time: str = "time_ms", order: str = "iteration") -> DataFrame:
+def run_stats(
+    runs: DataFrame,
+    config: list[str],
+    time: str = "time_ms",
+    order: str = "iteration",
+    keep_times: bool = True,
+) -> DataFrame:
     """Mean, least and greatest time per configuration, with its times in run order.
 
-    A configuration is repeated a handful of times, so its list is short.
+    The list of times suits configurations repeated a handful of times; for logs in which one may
+    repeat without limit, leave it out with ``keep_times=False``.
     """
+    figures = [
+        F.count(F.lit(1)).alias("runs"),
+        F.avg(time).alias("avg_ms"),
+        F.min(time).alias("min_ms"),
+        F.max(time).alias("max_ms"),
+    ]
+    if not keep_times:
+        return runs.groupBy(*config).agg(*figures)
     listed = F.array_sort(F.collect_list(F.struct(F.col(order), F.col(time).alias("t"))))
-    return (
-        runs.groupBy(*config)
-        .agg(
-            F.count(F.lit(1)).alias("runs"),
-            F.avg(time).alias("avg_ms"),
-            F.min(time).alias("min_ms"),
-            F.max(time).alias("max_ms"),
-            listed.alias("_listed"),
-        )
-        .withColumn("times", F.transform("_listed", lambda e: e["t"]))
-        .drop("_listed")
-    )
+    found = runs.groupBy(*config).agg(*figures, listed.alias("_listed"))
+    return found.withColumn("times", F.col("_listed.t")).drop("_listed")
 
 
 def relative_to_baseline(stats: DataFrame, group: list[str], workers: str = "workers", time: str = "avg_ms"):

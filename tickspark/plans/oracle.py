@@ -163,8 +163,7 @@ x AS (
 
 _SNAPSHOTS = f"""
 o AS (
-  SELECT *, to_timestamp(CAST(floor(epoch(processed_at) / 3600) * 3600 AS BIGINT)) AT TIME ZONE 'UTC' AS slot
-  FROM t
+  SELECT *, date_trunc('hour', processed_at) AS slot FROM t
 ),
 a AS (
   SELECT *, row_number() OVER (PARTITION BY product, slot ORDER BY processed_at, trade_id) AS arrival,
@@ -179,6 +178,12 @@ a AS (
   WINDOW last AS (PARTITION BY product ORDER BY processed_at, trade_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)
 )"""
 
+_DEFAULT_SNAPSHOTS = (
+    _SNAPSHOTS.replace("date_trunc('hour', processed_at)", "time_bucket(INTERVAL 10 SECOND, processed_at)")
+    .replace("ROWS BETWEEN 9 PRECEDING", "ROWS BETWEEN 9999 PRECEDING")
+    .replace("list({'a': -size, 'b': processed_at, 'c': trade_id}) OVER last", "NULL")
+)
+
 _SNAPSHOT_ROWS = f"""
 SELECT product, trade_count, {_round('price_sum / trade_count', 2)} AS avg_price,
        {_round('max_p', 2)} AS max_price, {_round('min_p', 2)} AS min_price,
@@ -430,12 +435,22 @@ SELECT (SELECT count(*) FROM t) AS rows_read, (SELECT count(*) FROM t WHERE {_SA
        (SELECT count(*) FROM t WHERE {_SANE}) = 0 AS is_empty
 FROM v""",
     "rolling_last_n_snapshot": _with(_TRADES, _SNAPSHOTS) + _SNAPSHOT_ROWS,
+    "rolling_last_n_default": _with(_TRADES, _DEFAULT_SNAPSHOTS)
+    + _SNAPSHOT_ROWS[: _SNAPSHOT_ROWS.index(",\n       array_to_string")]
+    + "\nFROM a WHERE arrival = 1",
     "slot_first_emission": f"""{_with(_TRADES, _SNAPSHOTS)}
 SELECT product, slot AS slot_start, trade_id, processed_at AS emitted_at FROM a WHERE arrival = 1""",
     "window_label": f"""{_with(_TRADES, _SNAPSHOTS)}
 SELECT product, slot AS window_start, slot + INTERVAL 60 SECOND AS window_end, count(*) AS trades_in_slot
 FROM o GROUP BY product, slot""",
     "sliding_window_summary": f"{_W} SELECT {_WINDOW_COLUMNS} FROM w",
+    "sliding_window_default": _with(
+        _TRADES,
+        _WINDOWS.replace("INTERVAL 10 MINUTE", "INTERVAL 10 SECOND")
+        .replace("to_minutes(", "to_seconds(")
+        .replace("INTERVAL 1 HOUR", "INTERVAL 60 SECOND"),
+    )
+    + f" SELECT {_WINDOW_COLUMNS} FROM w",
     "top_k_trades_per_window": f"{_with(_TRADES, _WINDOWS, _TOP)} SELECT * FROM x WHERE rank <= 5",
     "latest_windows": f"{_L} SELECT * FROM l WHERE recency <= 10",
     "window_history": f"""{_L}

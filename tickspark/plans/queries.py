@@ -19,6 +19,7 @@ HOUR, DAY = 3600, 86_400
 SNAPSHOT_N = 10
 SLIDE = 600
 THROTTLE_SECONDS = 300
+FLUSH_ROWS = 5_000  # the stock 100 rows per file would drown large tables in files
 ALERTS = fleet.AlertRule(
     high=60.0, low=45.0, min_level=1, max_level=3, hold=7200.0, cooldown=10800.0, up_delay=16.0, down_delay=1.0
 )
@@ -156,7 +157,7 @@ def sink_keyed_stream(spark, sf_dir):
 @query
 def sink_raw_batches(spark, sf_dir):
     out = scratch_path(spark, "raw")
-    feeds.run_available(spark, feeds.raw_batches(event_stream(spark, sf_dir), out))
+    feeds.run_available(spark, feeds.raw_batches(event_stream(spark, sf_dir), out, FLUSH_ROWS))
     good, _ = quality.split_rejects(stores.scan_trade_json(spark, out, multi_line=False))
     return quality.type_trades(good)
 
@@ -569,6 +570,13 @@ def rolling_last_n_snapshot(spark, sf_dir):
     return flat_snapshots(windows.rolling_last_n_snapshot(read_trades(spark, sf_dir), SNAPSHOT_N, HOUR))
 
 
+@query
+def rolling_last_n_default(spark, sf_dir):
+    """Snapshots with the stock parameters: 10,000 trades, ten-second slots."""
+    found = windows.rolling_last_n_snapshot(read_trades(spark, sf_dir))
+    return found.drop("top_5_trades", "window_end")
+
+
 @query
 def slot_first_emission(spark, sf_dir):
     return windows.slot_first_emission(read_trades(spark, sf_dir), HOUR)
@@ -584,6 +592,12 @@ def sliding_window_summary(spark, sf_dir):
     return hourly_windows(spark, sf_dir)
 
 
+@query
+def sliding_window_default(spark, sf_dir):
+    """Sliding windows with the stock parameters: 60 seconds every 10."""
+    return windows.sliding_window_summary(read_trades(spark, sf_dir))
+
+
 @query
 def top_k_trades_per_window(spark, sf_dir):
     ranked = windows.top_k_trades_per_window(read_trades(spark, sf_dir), 5, HOUR, SLIDE)
@@ -692,10 +706,10 @@ def micro_batch_refresh(spark, sf_dir):
 @query
 def flush_count_or_time(spark, sf_dir):
     out = scratch_path(spark, "flush")
-    feeds.run_available(spark, feeds.raw_batches(event_stream(spark, sf_dir), out, rows=100))
+    feeds.run_available(spark, feeds.raw_batches(event_stream(spark, sf_dir), out, FLUSH_ROWS))
     files_read = spark.read.schema("trade_id long").json(out).groupBy(F.input_file_name().alias("file"))
     sizes = files_read.agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.sum("n").alias("rows"), F.count_if(F.col("n") > 100).alias("oversized_files"))
+    return sizes.agg(F.sum("n").alias("rows"), F.count_if(F.col("n") > FLUSH_ROWS).alias("oversized_files"))
 
 
 def alert_ticks(spark, sf_dir) -> DataFrame:
