@@ -156,6 +156,17 @@ def test_report_document_and_csv(spark, folder, stats):
     assert {int(r["workers"]): json.loads(r["times"]) for r in table.collect()} == RUNS
 
 
+def test_tiers_are_exclusive(spark):
+    frame = spark.createDataFrame([(3.0, 50), (3.01, 51), (1.5, 30), (1.51, 31)], "s double, p long")
+    found = [tuple(r)[2:] for r in reports.scaling_tier(frame, "s", "p").collect()]
+    assert found == [("good", "moderate"), ("excellent", "high"), ("limited", "low"), ("good", "moderate")]
+
+
+def test_runs_without_limit(spark):
+    frame = spark.range(1000).selectExpr("'x' AS name", "id % 2 AS workers", "cast(id AS double) AS time_ms")
+    assert "times" not in reports.run_stats(frame, ["name", "workers"], keep_times=False).columns
+
+
 def test_trend_line(spark):
     series = spark.createDataFrame([("s", d, 3.0 + 2.0 * i) for i, d in enumerate("abcd")], "g string, d string, y double")
     rows = reports.trend_line(series, ["g"], "d", "y").orderBy("d").collect()

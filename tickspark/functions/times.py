@@ -20,13 +20,14 @@ def diff_ms(later: Column | str, earlier: Column | str) -> Column:
     return (micros(later) - micros(earlier)).cast("double") / F.lit(1000.0)
 
 
-def slot_of(c: Column | str, seconds: int) -> Column:
-    """Epoch second at which the slot holding ``c`` starts."""
-    return F.floor(F.unix_seconds(_col(c)) / F.lit(seconds)).cast("long") * F.lit(seconds)
+def slot_number(c: Column | str, seconds: int) -> Column:
+    """Number, from the epoch on, of the slot of ``seconds`` that holds ``c``."""
+    return F.floor(F.unix_seconds(_col(c)) / F.lit(seconds)).cast("long")
 
 
-def slot_start(slot: Column | str) -> Column:
-    return F.timestamp_seconds(_col(slot))
+def slot_start(number: Column | str, seconds: int, shift: int = 0) -> Column:
+    """Start of a numbered slot, ``shift`` seconds later."""
+    return F.timestamp_seconds(_col(number) * F.lit(seconds) + F.lit(shift))
 
 
 def minute_label(c: Column | str) -> Column:

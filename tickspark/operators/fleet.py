@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numeric import exact_avg, round_half_up
+from ..functions.times import slot_number, slot_start
 from .holdoff import BLOCK_ROWS, greedy_holdoff
 from .ordered import settle
 
@@ -27,18 +28,24 @@ class AlertRule:
 
 def fleet_average(samples: DataFrame, period_seconds: int = 60) -> DataFrame:
     """Mean over instances of their newest sample per (fleet, period); zero where none has data."""
-    start = F.floor(F.unix_seconds("ts") / F.lit(period_seconds)).cast("long") * F.lit(period_seconds)
+    period = slot_number("ts", period_seconds)
     newest = F.max(F.when(F.col("cpu").isNotNull(), F.struct("ts", "cpu")))["cpu"]
     return (
-        samples.groupBy("fleet", start.alias("start"), "instance_id")
+        samples.groupBy("fleet", period.alias("period"), "instance_id")
         .agg(newest.alias("cpu"))
-        .groupBy("fleet", "start")
+        .groupBy("fleet", "period")
         .agg(
             F.coalesce(exact_avg("cpu"), F.lit(0.0)).alias("cpu"),
             F.count("cpu").alias("instances_with_data"),
             F.count(F.lit(1)).alias("instances"),
         )
-        .select("fleet", F.timestamp_seconds("start").alias("ts"), "cpu", "instances_with_data", "instances")
+        .select(
+            "fleet",
+            slot_start("period", period_seconds).alias("ts"),
+            "cpu",
+            "instances_with_data",
+            "instances",
+        )
     )
 
 
@@ -56,7 +63,7 @@ def low_since(ticks: DataFrame, low: Column, part_seconds: int = 86_400) -> Data
         {
             "_us": F.unix_micros("ts"),
             "_low": low,
-            "_part": F.floor(F.unix_seconds("ts") / F.lit(part_seconds)).cast("long"),
+            "_part": slot_number("ts", part_seconds),
         }
     )
     ends = rows.groupBy("fleet", "_part").agg(F.max_by("_low", "_us").alias("_ended_low"))

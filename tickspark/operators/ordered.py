@@ -28,10 +28,11 @@ def running_before(
 
     ``position`` is an integer, unique per key. Sums run inside parts of ``width`` positions, and
     the part totals run over the key, so a window group holds ``width`` rows or one row per part.
+    ``rows`` are counts or the like; they are needed twice and therefore settled.
     """
     value = F.col(amount) if isinstance(amount, str) else amount
     zero = F.lit(0)
-    parted = rows.withColumn("_part", F.floor(F.col(position) / F.lit(width)))
+    parted = settle(rows.withColumn("_part", F.floor(F.col(position) / F.lit(width))), "parts")
     inside = Window.partitionBy(*keys, "_part").orderBy(position).rowsBetween(Window.unboundedPreceding, -1)
     across = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
@@ -67,14 +68,14 @@ def tail_cut(rows: DataFrame, keys: list[str], need: int, micros_per_step: int)
 def exact_percentiles(
     counted: DataFrame, keys: list[str], value: str, freq: str, probs: dict[str, float], bin_width: float = 1.0
 ) -> DataFrame:
-    """Interpolated percentiles per key from a (key, value, frequency) table.
+    """Interpolated percentiles per key from a settled (key, value, frequency) table.
 
     Values are counted per bin, the bin that holds each wanted rank is found from the running bin
     counts, and only those bins are looked into. ``probs`` maps output columns to probabilities.
     """
     binned = counted.withColumn("_bin", F.floor(F.col(value) / F.lit(float(bin_width))).cast("long"))
     bins = binned.groupBy(*keys, "_bin").agg(F.sum(freq).alias("_n"))
-    bins = running_before(bins, keys, "_bin", "_n", "_before")
+    bins = settle(running_before(bins, keys, "_bin", "_n", "_before"), "bins")
     sizes = bins.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     wanted = []
     for name, p in probs.items():

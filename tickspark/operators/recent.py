@@ -185,10 +185,11 @@ def latency_tail(trades: DataFrame, as_of=None, seconds: int = RECENT_SECONDS) -
     """
     at = processed_time(trades)
     since = as_of_column(trades, as_of) - F.make_dt_interval(secs=F.lit(seconds))
-    counted = (
+    counted = settle(
         trades.filter((at >= since) & F.col("latency_ms").isNotNull())
         .groupBy(F.lit(0).alias("_all"), "latency_ms")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "counts",
     )
     mean = counted.groupBy("_all").agg(_weighted_mean("latency_ms", "n").alias("avg_latency"))
     tail = exact_percentiles(counted, ["_all"], "latency_ms", "n", {"p95_latency": 0.95})
@@ -214,10 +215,11 @@ def latency_by_rate(trades: DataFrame, rates=RATES, unit: str = "MINUTE") -> Dat
     bucket = F.lit(rates[-1])
     for top in reversed(rates[:-1]):
         bucket = F.when(F.col("rate") <= top, F.lit(top)).otherwise(bucket)
-    counted = (
+    counted = settle(
         latency_per_trade(timed.join(rate, "at"))
         .groupBy(bucket.cast("int").alias("rate_bucket"), "latency")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "counts",
     )
     means = counted.groupBy("rate_bucket").agg(
         F.sum("n").alias("samples"), _weighted_mean("latency", "n").alias("avg_latency")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numeric import SUM_SCALE, exact_total, join_parts, round_half_up
-from ..functions.times import micros
+from ..functions.times import clock_label, micros, slot_number, slot_start
 from .ordered import running_before, settle, tail_cut
 from .quality import usable_for_windows
 
@@ -29,10 +29,6 @@ _SNAPSHOT = (
 )
 
 
-def _slot_no(at: str, seconds: int) -> Column:
-    return F.floor(F.unix_seconds(F.col(at)) / F.lit(seconds)).cast("long")
-
-
 def largest_first(sizes: np.ndarray, k: int) -> np.ndarray:
     """Positions of the ``k`` largest values, equal values in arrival order."""
     if len(sizes) > k:
@@ -98,7 +94,7 @@ def _arrivals(trades: DataFrame, slot_seconds: int) -> DataFrame:
         .filter(F.col("processed_at").isNotNull())
         .withColumns(
             {
-                "slot_no": _slot_no("processed_at", slot_seconds),
+                "slot_no": slot_number("processed_at", slot_seconds),
                 "us": micros("processed_at"),
                 "time_us": micros("time"),
             }
@@ -107,15 +103,12 @@ def _arrivals(trades: DataFrame, slot_seconds: int) -> DataFrame:
 
 
 def _crowded_slot_cuts(rows: DataFrame, crowded: DataFrame, need: int, slot_seconds: int) -> DataFrame:
-    """For slots too large for a block: where their last ``need`` rows begin, and their first row."""
+    """For slots too large for a block: from where on their last ``need`` rows are found."""
     keys = ["product", "slot_no"]
-    inside = rows.select(*keys, "us", "trade_id").join(crowded.select(*keys), keys)
-    step = max(1, slot_seconds * 1_000_000 // 4096)
-    coarse = tail_cut(inside, keys, need, step)
+    inside = rows.select(*keys, "us").join(crowded, keys)
+    coarse = tail_cut(inside, keys, need, max(1, slot_seconds * 1_000_000 // 4096))
     ends = inside.join(coarse, keys).filter(F.col("us") >= F.col("cut")).drop("cut")
-    fine = tail_cut(ends, keys, need, 1)
-    first = inside.groupBy(*keys).agg(F.min(F.struct("us", "trade_id")).alias("first"))
-    return fine.join(first, keys)
+    return tail_cut(ends, keys, need, 1).join(crowded, keys)
 
 
 def rolling_last_n_snapshot(
@@ -130,21 +123,21 @@ def rolling_last_n_snapshot(
 
     Slots are laid end to end per product and cut into blocks of about ``block_rows`` trades; each
     block also receives the slots that reach into the ``n - 1`` trades before it. A slot larger
-    than a block contributes its first trade and its last ``n - 1``, all that any summary can use.
+    than a block contributes its first instant and its last ``n - 1``, all that any summary can use.
     So a task holds a few blocks' worth of rows however the trades spread over products and slots.
     Trades of one product in the same microsecond stay together.
     """
     block_rows = max(block_rows, n)
     keys = ["product", "slot_no"]
     rows = _arrivals(trades, slot_seconds)
-    slots = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    slots = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("us").alias("first_us"))
     slots = settle(running_before(slots, ["product"], "slot_no", "n", "before"), "slots")
     own = F.floor(F.col("before") / block_rows)
     end = F.col("before") + F.col("n")
     feeds = F.array_distinct(F.array(own, F.floor(end / block_rows), F.floor((end + n - 2) / block_rows)))
     targets = slots.select(*keys, own.alias("own"), F.explode(feeds).alias("block"))
 
-    crowded = slots.filter(F.col("n") > block_rows)
+    crowded = slots.filter(F.col("n") > block_rows).select(*keys, "first_us")
     if not crowded.isEmpty():
         cuts = settle(_crowded_slot_cuts(rows, crowded, n - 1, slot_seconds), "cuts")
         rows = (
@@ -152,9 +145,9 @@ def rolling_last_n_snapshot(
             .filter(
                 F.col("cut").isNull()
                 | (F.col("us") >= F.col("cut"))
-                | (F.struct("us", "trade_id") == F.col("first"))
+                | (F.col("us") == F.col("first_us"))
             )
-            .drop("cut", "first")
+            .drop("cut", "first_us")
         )
 
     blocks = rows.join(targets, keys).select(
@@ -178,7 +171,6 @@ def label_snapshots(found: DataFrame, slot_seconds: int, label_seconds: int) ->
 
     The label starts at the slot and ends ``label_seconds`` later, after the data it covers.
     """
-    start = F.col("slot_no") * F.lit(slot_seconds)
     top = F.transform(
         F.arrays_zip("top_ids", "top_times", "top_prices", "top_sizes", "top_sides"),
         lambda t: F.struct(
@@ -193,8 +185,8 @@ def label_snapshots(found: DataFrame, slot_seconds: int, label_seconds: int) ->
     price = join_parts(F.col("price_whole"), F.col("price_fraction"))
     volume = join_parts(F.col("size_whole"), F.col("size_fraction"))
     return found.select(
-        F.timestamp_seconds(start).alias("window_start"),
-        F.timestamp_seconds(start + F.lit(label_seconds)).alias("window_end"),
+        slot_start("slot_no", slot_seconds).alias("window_start"),
+        slot_start("slot_no", slot_seconds, label_seconds).alias("window_end"),
         "product",
         "trade_count",
         round_half_up(price / F.col("trade_count"), 2).alias("avg_price"),
@@ -217,7 +209,7 @@ def slot_first_emission(trades: DataFrame, slot_seconds: int = SLOT_SECONDS) ->
         .agg(F.min(F.struct("us", "trade_id")).alias("first"))
         .select(
             "product",
-            F.timestamp_seconds(F.col("slot_no") * F.lit(slot_seconds)).alias("slot_start"),
+            slot_start("slot_no", slot_seconds).alias("slot_start"),
             F.col("first.trade_id").alias("trade_id"),
             F.timestamp_micros("first.us").alias("emitted_at"),
         )
@@ -228,15 +220,14 @@ def window_label(
     trades: DataFrame, slot_seconds: int = SLOT_SECONDS, label_seconds: int = WINDOW_SECONDS
 ) -> DataFrame:
     """Each non-empty (product, slot) with its window label and number of trades."""
-    start = F.col("slot_no") * F.lit(slot_seconds)
     return (
         _arrivals(trades, slot_seconds)
         .groupBy("product", "slot_no")
         .agg(F.count(F.lit(1)).alias("trades_in_slot"))
         .select(
             "product",
-            F.timestamp_seconds(start).alias("window_start"),
-            F.timestamp_seconds(start + F.lit(label_seconds)).alias("window_end"),
+            slot_start("slot_no", slot_seconds).alias("window_start"),
+            slot_start("slot_no", slot_seconds, label_seconds).alias("window_end"),
             "trades_in_slot",
         )
     )
@@ -245,7 +236,7 @@ def window_label(
 def _panes(trades: DataFrame, size: int, slide: int, at: str) -> tuple[DataFrame, int]:
     pane = gcd(size, slide)
     rows = usable_for_windows(trades).filter(F.col(at).isNotNull())
-    return rows.withColumn("pane_no", _slot_no(at, pane)), pane
+    return rows.withColumn("pane_no", slot_number(at, pane)), pane
 
 
 def _window_starts(size: int, slide: int, pane: int) -> Column:
@@ -387,7 +378,7 @@ def window_history(windows: DataFrame, n: int = LATEST_WINDOWS) -> DataFrame:
     return latest_windows(windows.filter(F.col("window_start").isNotNull()), n).select(
         "product",
         "recency",
-        F.date_format("window_start", "HH:mm:ss").alias("timestamp"),
+        clock_label("window_start").alias("timestamp"),
         "trade_count",
         "avg_price",
         F.col("total_volume").alias("volume"),

@@ -59,8 +59,6 @@ BATCH_SUMMARY = T.StructType(
     ]
 )
 
-BOUNDS = "product string, lo double, hi double"
-
 # Inclusive price bounds per product, and the cap for any other product.
 PRICE_BOUNDS = (
     ("BTC-USD", 1000.0, 200000.0),
@@ -79,11 +77,6 @@ EVENT_PRICE_BOUNDS = (
 )
 
 
-def bounds_frame(spark: SparkSession, bounds=PRICE_BOUNDS) -> DataFrame:
-    """Price bounds as a dimension. Its size is that of the given tuple."""
-    return spark.createDataFrame(list(bounds), BOUNDS)
-
-
 EVENTS = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
