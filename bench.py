@@ -11,6 +11,7 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
+from tickspark.operators import reports  # noqa: E402
 from tickspark.plans.queries import QUERIES  # noqa: E402
 from tickspark.session import local_session  # noqa: E402
 
@@ -36,34 +37,54 @@ def run(frame) -> None:
     frame.write.format("noop").mode("overwrite").save()
 
 
-def main() -> None:
-    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    cores = os.environ.get("BENCH_CPUS", "8")
-    names = sys.argv[1:] or HEADLINE
+def measure(names, sf_dir: str, cores: str) -> dict[str, list[float]]:
+    """Seconds of every repeat per query, after one warm-up, on ``local[cores]``."""
     spark = local_session("tickspark-bench", cores=cores, shuffle=int(cores) if cores.isdigit() else 8)
     spark.sparkContext.setLogLevel("ERROR")
     took = {}
     for name in names:
-        run(QUERIES[name](spark, sf_dir))  # warm-up
-        times = []
+        run(QUERIES[name](spark, sf_dir))
+        took[name] = []
         for _ in range(REPEATS):
             started = time.perf_counter()
             run(QUERIES[name](spark, sf_dir))
-            times.append(time.perf_counter() - started)
-        took[name] = round(statistics.median(times), 4)
+            took[name].append(time.perf_counter() - started)
+    spark.stop()
+    return took
+
+
+def scaling(names, sf_dir: str, widths: list[str]) -> list[dict]:
+    """Speedup and efficiency over core counts, computed with the report operators themselves."""
+    rows = [
+        (name, int(cores), i, 1000 * seconds)
+        for cores in widths
+        for name, times in measure(names, sf_dir, cores).items()
+        for i, seconds in enumerate(times)
+    ]
+    spark = local_session("tickspark-bench")
+    runs = spark.createDataFrame(rows, "name string, workers int, iteration int, time_ms double")
+    stats = reports.run_stats(runs, ["name", "workers"])
+    table = [r.asDict() for r in reports.relative_to_baseline(stats, ["name"]).orderBy("name", "workers").collect()]
     spark.stop()
-    print(
-        json.dumps(
-            {
-                "metric": "headline_queries_total",
-                "value": round(sum(took.values()), 4),
-                "unit": "sec",
-                "queries": took,
-                "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
-                "cpus": cores,
-            }
-        )
-    )
+    return table
+
+
+def main() -> None:
+    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+    cores = os.environ.get("BENCH_CPUS", "8")
+    names = sys.argv[1:] or HEADLINE
+    took = {name: round(statistics.median(times), 4) for name, times in measure(names, sf_dir, cores).items()}
+    report = {
+        "metric": "headline_queries_total",
+        "value": round(sum(took.values()), 4),
+        "unit": "sec",
+        "queries": took,
+        "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+        "cpus": cores,
+    }
+    if os.environ.get("BENCH_SCALING"):  # for example 1,2,4
+        report["scaling"] = scaling(names, sf_dir, os.environ["BENCH_SCALING"].split(","))
+    print(json.dumps(report))
 
 
 if __name__ == "__main__":

@@ -31,6 +31,16 @@ def given_number(c: Column | str, default: float = 0.0) -> Column:
     return number(F.coalesce(_col(c), F.lit(repr(float(default)))))
 
 
+def parsed(c: Column | str, default: float = 0.0) -> Column:
+    """Double with a default for a missing value; unreadable text is NULL, NaN stays. See :func:`finite`."""
+    return F.coalesce(_col(c), F.lit(repr(float(default)))).try_cast("double")
+
+
+def finite(c: Column | str) -> Column:
+    """Whether a double is a finite number, mentioning the expression only once."""
+    return F.coalesce(_col(c) * F.lit(0.0) == F.lit(0.0), F.lit(False))
+
+
 def exact_total(c: Column | str) -> Column:
     """Order-independent sum as a decimal aggregate.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.numeric import given_number
+from ..functions.numeric import finite, given_number, parsed
 from ..functions.times import parse_iso
 from ..schema import OTHER_PRICE_CAP, PRICE_BOUNDS
 
@@ -55,14 +55,14 @@ def clean_side(side: Column) -> Column:
 
 
 def with_defaults(trades: DataFrame) -> DataFrame:
-    """Default product, cleaned side, parsed numbers; a present but unreadable number is NULL."""
+    """Default product, cleaned side, parsed numbers; :func:`is_normal` tells which rows are usable."""
     return trades.withColumns(
         {
             "product": F.coalesce("product", F.lit(UNKNOWN_PRODUCT)),
-            "price": given_number("price"),
-            "size": given_number("size"),
+            "price": parsed("price"),
+            "size": parsed("size"),
             "side": clean_side(F.coalesce("side", F.lit(""))),
-            "latency_ms": given_number("latency_ms"),
+            "latency_ms": parsed("latency_ms"),
         }
     )
 
@@ -72,8 +72,9 @@ def is_normal() -> Column:
     return (
         (F.col("product") != UNKNOWN_PRODUCT)
         & F.coalesce(F.col("price") > 0, F.lit(False))
-        & F.col("size").isNotNull()
-        & F.col("latency_ms").isNotNull()
+        & finite("price")
+        & finite("size")
+        & finite("latency_ms")
     )
 
 
