@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import mixing, sharding, warc
+from . import bpe, mixing, quality_model, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_toxicity(spark, sf_dir) -> DataFrame:
+    """Toxicity of every document, learned from the labels outside the held-out fifth."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op2_warc(spark, sf_dir) -> DataFrame:
     """Write one record per page, then read the archives back without their payloads."""
@@ -51,6 +57,12 @@ def op4_sharding(spark, sf_dir) -> DataFrame:
     )
 
 
+@query
+def op5_quality(spark, sf_dir) -> DataFrame:
+    """Quality of every document, learned from the labels outside the held-out fifth."""
+    return quality_model.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_mixing(spark, sf_dir) -> DataFrame:
     """Words the mix takes of each document."""
@@ -58,3 +70,9 @@ def op7_mixing(spark, sf_dir) -> DataFrame:
     return mixed.select(
         "kept.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
+
+
+@query
+def op10_bpe(spark, sf_dir) -> DataFrame:
+    """Round trip of every document through the word BPE."""
+    return bpe.digests(table(spark, sf_dir, "documents"))
