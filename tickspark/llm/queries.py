@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import bpe, mixing, quality_model, sharding, toxicity, warc
+from . import ann, bpe, mixing, quality_model, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -42,6 +42,12 @@ def op2_warc(spark, sf_dir) -> DataFrame:
     )
 
 
+@query
+def op3_ann(spark, sf_dir) -> DataFrame:
+    """The 20 nearest vectors, by inner product, of every twentieth vector."""
+    return ann.search(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 @query
 def op4_sharding(spark, sf_dir) -> DataFrame:
     """All documents in 40 shards of the same mixture, counts at most one apart."""
