@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import scratch_path
@@ -56,3 +60,66 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
 def same(left: Column, right: Column) -> Column:
     """Equality under which nulls are equal, for joins on keys that may be null."""
     return left.eqNullSafe(right)
+
+
+def per_process(key: str, build: Callable[[], object]):
+    """What ``build`` makes, once for each Python process: workers keep it from task to task.
+
+    Task functions travel by value, so their own module's globals don't outlive a task.
+    """
+    kept = sys.modules.setdefault("_tickspark_kept", types.ModuleType("_tickspark_kept")).__dict__
+    if key not in kept:
+        kept[key] = build()
+    return kept[key]
+
+
+class Remembered(dict):
+    """Results of a function by its string argument: those used since the last turn, and those before it.
+
+    Holds at most two generations of ``entries``; long arguments are not kept.
+    """
+
+    def __init__(self, function: Callable[[str], object], entries: int, longest: int = 48):
+        super().__init__()
+        self.function, self.entries, self.longest, self.old = function, entries, longest, {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = self.function(key)
+            if len(key) > self.longest:
+                return found
+        if len(self) >= self.entries:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
+def sorted_runs(batches, keys: list[str]):
+    """(key values, table of its rows) for each run of equal keys in batches sorted by ``keys``.
+
+    Holds one run at a time. Keys are integers without nulls.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    held, last = [], None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        columns = [b.column(b.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.zeros(b.num_rows, dtype=bool)
+        new[0] = True
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        starts = np.flatnonzero(new).tolist()
+        for i, j in zip(starts, [*starts[1:], b.num_rows]):
+            key = tuple(c[i].item() for c in columns)
+            if key != last and held:
+                yield last, pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(b.slice(i, j - i))
+    if held:
+        yield last, pa.Table.from_batches(held)

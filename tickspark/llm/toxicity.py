@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import held_out
+from .common import held_out, per_process
 from .labelled import label_sample
 
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -36,10 +35,11 @@ class Settings:
     seed: int = 5
 
 
-@cache
 def letters() -> np.ndarray:
     """Whether each code point is a letter."""
-    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
+    return per_process(
+        "letters", lambda: np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
+    )
 
 
 @dataclass
@@ -118,6 +118,20 @@ def windows(b: Bags, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return text, start, np.minimum(start + window, b.first[text + 1])
 
 
+def sample_windows(texts: list[str], s: Settings) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """Subwords of all texts one after the other, and (text, first subword, last + 1) of each window."""
+    flat, found, texts_before, before = [], [], 0, 0
+    kind = np.uint16 if s.buckets <= 1 << 16 else np.uint32
+    for block in blocks(texts):
+        b = bags(block, s)
+        text, start, stop = windows(b, s.window)
+        found.append((text + texts_before, b.offset[start] + before, b.offset[stop] + before))
+        flat.append(b.flat.astype(kind))
+        texts_before += len(block)
+        before += len(b.flat)
+    return np.concatenate(flat), tuple(np.concatenate(x) for x in zip(*found))
+
+
 def fit(sample: pd.DataFrame, s: Settings = Settings()) -> tuple[np.ndarray, float]:
     """Train embeddings and softmax together; returns each bucket's weight in the logit, and the bias.
 
@@ -132,9 +146,7 @@ def fit(sample: pd.DataFrame, s: Settings = Settings()) -> tuple[np.ndarray, flo
     emb = rng.normal(0, 1 / s.width, (s.buckets, s.width)).astype(np.float32)
     soft, bias = np.zeros((s.width, 2)), np.zeros(2)
     past = [np.full_like(emb, 1e-6), np.full_like(soft, 1e-6), np.full_like(bias, 1e-6)]
-    b = bags([t for t in sample["text"]], s)
-    text, start, stop = windows(b, s.window)
-    low, high = b.offset[start], b.offset[stop]
+    flat, (text, low, high) = sample_windows(list(sample["text"]), s)
     filled = high > low
     text, low, high = text[filled], low[filled], high[filled]
     label = sample["label"].to_numpy(dtype=np.int64)
@@ -143,13 +155,18 @@ def fit(sample: pd.DataFrame, s: Settings = Settings()) -> tuple[np.ndarray, flo
     def grams(pick):
         size = high[pick] - low[pick]
         edge = np.concatenate([[0], np.cumsum(size)])
-        return b.flat[np.repeat(low[pick] - edge[:-1], size) + np.arange(edge[-1])], edge[:-1], size
+        return flat[np.repeat(low[pick] - edge[:-1], size) + np.arange(edge[-1])], edge[:-1], size
 
     for epoch in range(s.epochs):
         if epoch:
-            weight = emb @ (soft[:, 1] - soft[:, 0])
-            summed = np.concatenate([[0.0], np.cumsum(weight[b.flat], dtype=np.float64)])
-            odds = (summed[high] - summed[low]) / np.maximum(high - low, s.least_bag) + bias[1] - bias[0]
+            weight = (emb @ (soft[:, 1] - soft[:, 0])).astype(np.float32)
+            odds = np.empty(len(text))
+            for i in range(0, len(text), s.batch):  # windows are in the order of their subwords
+                part = slice(i, i + s.batch)
+                lead = low[part].min()
+                summed = np.concatenate([[0.0], np.cumsum(weight[flat[lead : high[part].max()]], dtype=np.float64)])
+                odds[part] = summed[high[part] - lead] - summed[low[part] - lead]
+            odds = odds / np.maximum(high - low, s.least_bag) + bias[1] - bias[0]
             best = np.full(len(label), -np.inf)
             np.maximum.at(best, text, odds)
             live = (label[text] == 0) | (odds > 0) | (odds >= best[text])
