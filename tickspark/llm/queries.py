@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import ann, bpe, mixing, quality_model, sharding, toxicity, warc
+from . import ann, bpe, mixing, quality_model, quality_rules, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -78,6 +78,13 @@ def op7_mixing(spark, sf_dir) -> DataFrame:
     )
 
 
+@query
+def op8_quality_rules(spark, sf_dir) -> DataFrame:
+    """Base statistics of every document, and whether it is kept."""
+    found, names = quality_rules.judged(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[F.col(n).alias(n.lstrip("_")) for n in names])
+
+
 @query
 def op10_bpe(spark, sf_dir) -> DataFrame:
     """Round trip of every document through the word BPE."""
