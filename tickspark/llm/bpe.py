@@ -13,6 +13,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .common import Remembered, per_process
+
 CACHE_ENTRIES = 250_000
 WORD_END = "</w>"
 # White space that str.split() knows and the tokenizer's \s doesn't.
@@ -27,29 +29,6 @@ def byte_letters() -> list[str]:
     return [letters[b] if b in letters else next(spare) for b in range(256)]
 
 
-class Remembered(dict):
-    """Results of a function by its argument: those used since the last turn, and those before it.
-
-    Holds at most two generations of ``CACHE_ENTRIES`` entries; long arguments are not kept.
-    """
-
-    def __init__(self, function):
-        super().__init__()
-        self.function, self.old = function, {}
-
-    def __missing__(self, key: str):
-        found = self.old.get(key)
-        if found is None:
-            found = self.function(key)
-            if len(key) > 48:
-                return found
-        if len(self) >= CACHE_ENTRIES:
-            self.old = dict(self)
-            self.clear()
-        self[key] = found
-        return found
-
-
 class Tokenizer:
     """Reads a tokenizers JSON file of the kind of ``word_bpe_49k.json`` and encodes as that library does.
 
@@ -75,8 +54,8 @@ class Tokenizer:
         for rank, (a, b) in enumerate(m.split(" ") if isinstance(m, str) else m for m in model["merges"]):
             self.merges[self.vocab[a], self.vocab[b]] = rank, self.vocab[a + b]
         self.inside = {p for token in self.vocab for p in self.inner_pairs(token)}
-        self.fragments = Remembered(self.merge)
-        self.chunks = Remembered(self.chunk)
+        self.fragments = Remembered(self.merge, CACHE_ENTRIES)
+        self.chunks = Remembered(self.chunk, CACHE_ENTRIES)
 
     @staticmethod
     def inner_pairs(token: str) -> Iterator[str]:
@@ -163,14 +142,9 @@ class Tokenizer:
         return " ".join(map(self.names.__getitem__, ids))
 
 
-_LOADED: dict[str, Tokenizer] = {}
-
-
 def tokenizer(path: str) -> Tokenizer:
-    """The tokenizer of a file, once for each process."""
-    if path not in _LOADED:
-        _LOADED[path] = Tokenizer(path)
-    return _LOADED[path]
+    """The tokenizer of a file, with what it remembers, once for each process."""
+    return per_process(f"bpe:{path}", lambda: Tokenizer(path))
 
 
 def default_path() -> str:

@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import held_out
+from .common import held_out, per_process
 from .labelled import label_sample
 
 CACHE_ENTRIES = 300_000
@@ -132,7 +132,7 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, s: Settings = Setti
     """
 
     def run(batches):
-        hasher = Hasher(s)
+        hasher = per_process(f"quality:{s}", lambda: Hasher(s))
         for b in batches:
             found = []
             for t in b.column(b.schema.get_field_index("text")):
