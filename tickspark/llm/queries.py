@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import ann, bpe, mixing, quality_model, quality_rules, sharding, toxicity, warc
+from . import ann, bpe, mixing, quality_model, quality_rules, secrets, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -69,6 +69,19 @@ def op5_quality(spark, sf_dir) -> DataFrame:
     return quality_model.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op6_secrets(spark, sf_dir) -> DataFrame:
+    """Spans of secrets in every document."""
+    found, names = secrets.scan(table(spark, sf_dir, "documents"))
+    base = F.concat(*[F.col(n) for n in names[:3]])
+    return found.select(
+        "doc_id",
+        *[F.size(n).cast("long").alias(f"n_{k}") for n, k in zip(names[:3], secrets.KINDS)],
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+        secrets.listed(F.concat(base, F.col(names[3]))).alias("spans"),
+    )
+
+
 @query
 def op7_mixing(spark, sf_dir) -> DataFrame:
     """Words the mix takes of each document."""
