@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import ann, bpe, mixing, quality_model, quality_rules, secrets, sharding, toxicity, warc
+from . import ann, bpe, jaccard, mixing, quality_model, quality_rules, secrets, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -98,6 +98,13 @@ def op8_quality_rules(spark, sf_dir) -> DataFrame:
     return found.select("doc_id", *[F.col(n).alias(n.lstrip("_")) for n in names])
 
 
+@query
+def op9_jaccard(spark, sf_dir) -> DataFrame:
+    """Near-duplicate component of every document."""
+    found = jaccard.near_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op10_bpe(spark, sf_dir) -> DataFrame:
     """Round trip of every document through the word BPE."""
