@@ -4,8 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from tickspark.llm import bpe, jaccard, mixing, quality_rules, secrets
 
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality_rules.kept_documents(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays."""
+    return jaccard.one_of_each(docs)
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret found is replaced by a placeholder; all documents stay."""
+    return secrets.redacted(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of the sources takes it, none to three times."""
+    return mixing.mixed_documents(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row for each document of the mix: its id, and its text as token ids."""
+    return bpe.encode(docs)
+
+
+STAGES = [
+    ("quality_rules", keep_good),
+    ("ngram_jaccard_join", drop_near_copies),
+    ("secret_scans", hide_secrets),
+    ("mixing", mix_sources),
+    ("bpe", encode),
+]
+
+#: Estimates, models and encodings are not SQL; tests hold the stages against plain Python.
 ORACLE_SQL = None
 
 

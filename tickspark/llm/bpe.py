@@ -9,6 +9,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -159,16 +160,21 @@ def _field(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 
 def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids array<long>) for every row; a null text is empty and has no ids."""
+    """(id, ids array<int>) for every row; a null text is empty and has no ids."""
 
     def run(batches):
         tok = tokenizer(path or default_path())
         for b in batches:
-            ids = [list(tok.encode(t or "")) for t in _field(b, text_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([_field(b, id_col), pa.array(ids, pa.list_(pa.int64()))], [id_col, "ids"])
+            ids, ends = array("I"), array("i", [0])
+            for t in _field(b, text_col):
+                ids.extend(tok.encode(t.as_py() or ""))
+                ends.append(len(ids))
+            values = pa.array(np.frombuffer(ids, dtype=np.uint32).astype(np.int32))
+            lists = pa.ListArray.from_arrays(pa.array(np.frombuffer(ends, dtype=np.int32)), values)
+            yield pa.RecordBatch.from_arrays([_field(b, id_col), lists], [id_col, "ids"])
 
     slim = docs.select(id_col, text_col)
-    return slim.mapInArrow(run, f"`{id_col}` {dict(slim.dtypes)[id_col]}, ids array<long>")
+    return slim.mapInArrow(run, f"`{id_col}` {dict(slim.dtypes)[id_col]}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id") -> DataFrame:

@@ -141,29 +141,26 @@ def mix(
     most: int = MOST_COPIES,
     seed: int = 11,
     cell_rows: int = CELL_ROWS,
-    keep: Sequence[str] = ("doc_id",),
 ) -> DataFrame:
-    """Copies of each document in a mix of the sources: (kept, size, source_size, target, copies).
-
-    ``kept`` is a struct of the columns named in ``keep``, whatever their names.
+    """Copies of each document in a mix of the sources: (doc_id, mark, size, source_size, target, copies).
 
     A document of a source with target t and size s is wanted t / s times; whole copies are given,
     the fraction is rounded by ``round_copies``. Null texts have size 0 and no copies; a null source
     is a source; repeated rows are documents of their own; no rows give no rows. ``copies`` never
-    exceeds ``most``.
+    exceeds ``most``. ``mark`` is a hash of the text.
     """
-    # read once: words are counted here and nowhere else
-    kept = docs.select(
-        F.struct(*keep).alias("kept"),
-        F.col("source").alias("source"),
+    # texts are read here and nowhere else
+    slim = docs.select(
+        "doc_id",
+        F.xxhash64("text").alias("mark"),
+        "source",
         word_count(text_of("text")).alias("size"),
         F.xxhash64(F.lit(seed), "doc_id", "text").alias("hash"),
     )
-    base = stored(kept.withColumn("row", F.monotonically_increasing_id()), "mix-rows")
+    base = stored(slim.withColumn("row", F.monotonically_increasing_id()), "mix-rows")
     targets = stored(source_targets(base, "source", "size", weights, most), "mix-targets").alias("t")
     wanted = (
-        base.select("row", "source", "size", "hash")
-        .alias("b")
+        base.alias("b")
         .join(targets, same(F.col("b.source"), F.col("t.source")))
         .filter("b.size > 0")
         .select(
@@ -180,11 +177,23 @@ def mix(
         base.alias("b")
         .join(copies, F.col("b.row") == F.col("_row"), "left")
         .join(targets, same(F.col("b.source"), F.col("t.source")))
-        .select("b.kept", "b.size", "t.source_size", "t.target", F.coalesce("_copies", F.lit(0)).alias("copies"))
+        .select("b.doc_id", "b.mark", "b.size", "t.source_size", "t.target", F.coalesce("_copies", F.lit(0)).alias("copies"))
     )
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: the columns of ``docs``, each document as often as the mix takes it."""
-    taken = mix(docs, keep=tuple(docs.columns), **options)
-    return taken.filter("copies > 0").select(F.explode(F.array_repeat("kept", F.col("copies").cast("int"))).alias("k")).select("k.*")
+    """The mix itself: the columns of ``docs``, each document as often as the mix takes it.
+
+    Documents meet their copies by id and hash of the text; rows alike in both, which are copies of
+    each other, take their numbers one by one.
+    """
+    own = Window.partitionBy("doc_id", "mark")
+    taken = mix(docs, **options).withColumn("nth", F.row_number().over(own.orderBy(F.col("copies").desc()))).filter("copies > 0")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("mark"))
+    numbered = rows.withColumn("nth", F.row_number().over(own.orderBy(F.xxhash64("row.source")))).alias("d")
+    met = [same(F.col(f"d.{c}"), F.col(f"t.{c}")) for c in ("doc_id", "mark", "nth")]
+    return (
+        numbered.join(taken.alias("t"), met)
+        .select(F.explode(F.array_repeat("d.row", F.col("t.copies").cast("int"))).alias("k"))
+        .select("k.*")
+    )

@@ -226,23 +226,19 @@ def minimum_covariance(vectors: DataFrame, group: str, steps: int = STEPS) -> Da
     )
 
 
-def judged(
-    docs: DataFrame, group: Sequence[str] = ("lang", "source"), cutoff: float = CUTOFF, small: int = SMALL_GROUP, steps: int = STEPS
-) -> tuple[DataFrame, list[str]]:
-    """All columns of ``docs``, the base statistics, ``base_failed`` and ``kept``; and the names of these seven.
-
-    Estimates are learned per ``group`` from rows that pass the base rules; groups with fewer than
-    ``small`` such rows are pooled, and a pool that is still smaller gives no verdict. A document is
-    kept if it passes the base rules and its squared distance is at most ``cutoff``. Null texts have no
-    words and fail the base rules; nulls in ``group`` form groups; the verdict depends on a row's own
-    values and its group, so ids may be null or repeated. No rows give no rows.
-    """
-    key, failed, kept = free_names(docs, "group", "base_failed", "kept")
+def _measured(docs: DataFrame, group: Sequence[str]) -> tuple[DataFrame, list[str], str, str]:
+    """``docs`` with statistics, group key and base verdict; names of the statistics, key and verdict."""
+    key, failed = free_names(docs, "group", "base_failed")
     measured, names = with_statistics(docs)
-    parts = [F.concat(F.when(F.col(c).isNull(), "-").otherwise("+"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("\x1f")) for c in group]
-    measured = measured.withColumn(key, F.concat(*parts)).withColumn(failed, base_failed(names))
-    rows = stored(measured, "quality-rows")
+    parts = [
+        F.concat(F.when(F.col(c).isNull(), "-").otherwise("+"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("\x1f"))
+        for c in group
+    ]
+    return measured.withColumn(key, F.concat(*parts)).withColumn(failed, base_failed(names)), names, key, failed
+
 
+def _estimates(rows: DataFrame, names: list[str], key: str, failed: str, small: int, steps: int) -> DataFrame:
+    """(g, mean and inverse) for each group of the stored ``rows``, learned from what passes the base rules."""
     learned = rows.filter(~F.col(failed)).select(F.col(key).alias("g"), *[v.alias(f"x{i}") for i, v in enumerate(vector(names))])
     sizes = stored(learned.groupBy("g").agg(F.count(F.lit(1)).alias("n")), "quality-groups")
     large = sizes.filter(F.col("n") >= small).select("g")
@@ -250,23 +246,61 @@ def judged(
     named = learned.join(large.withColumn("own", F.lit(True)), "g", "left").withColumn(
         "g", F.when(F.col("own"), F.col("g")).otherwise(F.lit("pool"))
     )
-    vectors = stored(named.select("g", *[f"x{i}" for i in range(4)]).filter((F.col("g") != "pool") | F.lit(pooled >= small)), "quality-vectors")
-    estimates = minimum_covariance(vectors, "g", steps)
-    table = stored(
-        sizes.select("g", F.when(F.col("n") >= small, F.col("g")).otherwise("pool").alias("e")).join(
-            estimates.withColumnRenamed("g", "e"), "e"
-        ),
+    usable = (F.col("g") != "pool") | F.lit(pooled >= small)
+    vectors = stored(named.select("g", *[f"x{i}" for i in range(4)]).filter(usable), "quality-vectors")
+    estimates = minimum_covariance(vectors, "g", steps).withColumnRenamed("g", "e")
+    return stored(
+        sizes.select("g", F.when(F.col("n") >= small, F.col("g")).otherwise("pool").alias("e")).join(estimates, "e").drop("e"),
         "quality-estimates",
     )
-    name = dict(zip(["g", *MEANS, *INVERSE], free_names(rows, "of", *MEANS, *INVERSE)))
-    table = table.select(*[F.col(c).alias(name[c]) for c in name])
+
+
+def _with_verdict(rows: DataFrame, table: DataFrame, names: list[str], key: str, failed: str, cutoff: float) -> tuple[DataFrame, str]:
+    name = dict(zip(["g", *MEANS, *INVERSE, "kept"], free_names(rows, "of", *MEANS, *INVERSE, "kept")))
+    table = table.select(*[F.col(c).alias(name[c]) for c in table.columns])
     far = F.coalesce(distance(vector(names), name.get), F.lit(0.0))
-    verdict = ~F.col(failed) & (far <= cutoff)
     joined = rows.join(table, F.col(key) == F.col(name["g"]), "left")
-    return joined.select(*docs.columns, *names[:5], failed, verdict.alias(kept)), [*names[:5], failed, kept]
+    # one expression over both sides, so that no part of a filter on it moves below the join, where
+    # the statistics would be worked out again inside the condition
+    return joined.withColumn(name["kept"], F.when(F.col(failed), False).otherwise(far <= cutoff)), name["kept"]
+
 
+def judged(
+    docs: DataFrame,
+    keep: Sequence[str] = ("doc_id",),
+    group: Sequence[str] = ("lang", "source"),
+    cutoff: float = CUTOFF,
+    small: int = SMALL_GROUP,
+    steps: int = STEPS,
+) -> tuple[DataFrame, list[str]]:
+    """The columns ``keep``, the base statistics, ``base_failed`` and ``kept``; and the names of these seven.
 
-def kept_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents that the rules keep, with their columns as they were."""
-    found, names = judged(docs, **options)
-    return found.filter(F.col(names[-1])).select(*docs.columns)
+    Estimates are learned per ``group`` from rows that pass the base rules; groups with fewer than
+    ``small`` such rows are pooled, and a pool that is still smaller gives no verdict. A document is
+    kept if it passes the base rules and its squared distance is at most ``cutoff``. Null texts have no
+    words and fail the base rules; nulls in ``group`` form groups; the verdict depends on a row's own
+    values and its group, so ids may be null or repeated. No rows give no rows.
+    """
+    measured, names, key, failed = _measured(docs, group)
+    rows = stored(measured.select(*keep, *names, key, failed), "quality-rows")
+    table = _estimates(rows, names, key, failed, small, steps)
+    found, kept = _with_verdict(rows, table, names, key, failed, cutoff)
+    return found.select(*keep, *names[:5], failed, kept), [*names[:5], failed, kept]
+
+
+def kept_documents(
+    docs: DataFrame,
+    group: Sequence[str] = ("lang", "source"),
+    cutoff: float = CUTOFF,
+    small: int = SMALL_GROUP,
+    steps: int = STEPS,
+) -> DataFrame:
+    """The documents that the rules keep, with their columns as they were.
+
+    Statistics are computed twice, to learn from and to judge by, which costs less than a copy of the texts.
+    """
+    measured, names, key, failed = _measured(docs, group)
+    rows = stored(measured.select(*names, key, failed), "quality-rows")
+    table = _estimates(rows, names, key, failed, small, steps)
+    found, kept = _with_verdict(measured, table, names, key, failed, cutoff)
+    return found.filter(F.col(kept)).select(*docs.columns)

@@ -85,9 +85,9 @@ def op6_secrets(spark, sf_dir) -> DataFrame:
 @query
 def op7_mixing(spark, sf_dir) -> DataFrame:
     """Words the mix takes of each document."""
-    mixed = mixing.mix(table(spark, sf_dir, "documents"), keep=("doc_id",))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select(
-        "kept.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 
