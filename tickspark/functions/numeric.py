@@ -8,6 +8,8 @@ from pyspark.sql import Column, functions as F
 # does not depend on the order in which tasks add their rows.
 SUM_TYPE = "decimal(38,8)"
 SUM_SCALE = 100_000_000
+LARGEST_REGULAR = float(2**43)
+SMALLEST_REGULAR = 1e-6
 LARGEST = 1.7976931348623157e308
 
 
@@ -41,13 +43,23 @@ def finite(c: Column | str) -> Column:
     return F.coalesce(_col(c) * F.lit(0.0) == F.lit(0.0), F.lit(False))
 
 
+def is_regular(c: Column | str) -> Column:
+    """Whether integer part and eight decimals stand for a number: its size is below ``LARGEST_REGULAR``,
+    and at least ``SMALLEST_REGULAR`` unless it is a multiple of the last decimal anyway."""
+    size = F.abs(_col(c).cast("double"))
+    units = size * F.lit(float(SUM_SCALE))
+    whole = F.abs(units - F.rint(units)) <= F.lit(1e-9)
+    return (size < F.lit(LARGEST_REGULAR)) & ((size >= F.lit(SMALLEST_REGULAR)) | whole)
+
+
 def exact_total(c: Column | str) -> Column:
-    """Order-independent sum as a decimal aggregate.
+    """Order-independent sum of the regular values as a decimal aggregate; pairs with :func:`odd_total`.
 
     The whole part and two groups of four decimals are summed as integers, several times faster
-    than a decimal per row. Each integer sum has room for 10^14 rows.
+    than a decimal per row. The sum of whole parts has room for 10^18.
     """
-    whole, decimals = whole_part(c), fraction_part(c)
+    regular = F.when(is_regular(c), _col(c).cast("double"))
+    whole, decimals = whole_part(regular), fraction_part(regular)
     upper = F.floor(decimals / F.lit(10_000))
     parts = (F.sum(whole), "1"), (F.sum(upper), "0.0001"), (F.sum(decimals - upper * 10_000), "0.00000001")
     total = None
@@ -57,9 +69,25 @@ def exact_total(c: Column | str) -> Column:
     return total.cast(SUM_TYPE)
 
 
+def odd_total(c: Column | str) -> Column:
+    """Plain double sum of the values that :func:`exact_total` leaves out, NULL if there are none.
+
+    Values that small or that large are faulty records as a rule. They add up like any doubles:
+    nothing saturates or fails, and only among themselves may the order show in the last digit.
+    """
+    x = _col(c).cast("double")
+    return F.sum(F.when(~is_regular(x), x))
+
+
+def joined_total(regular: Column | str, odd: Column | str) -> Column:
+    """Double from the two totals; NULL where both are."""
+    a, b = _col(regular).cast("double"), _col(odd)
+    return F.when(b.isNull(), a).otherwise(F.coalesce(a, F.lit(0.0)) + b)
+
+
 def exact_sum(c: Column | str) -> Column:
-    """Order-independent sum as a double aggregate."""
-    return exact_total(c).cast("double")
+    """Sum as a double aggregate that does not depend on the order of regular values."""
+    return joined_total(exact_total(c), odd_total(c))
 
 
 def exact_avg(c: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.numeric import exact_sum, exact_total, number_or, round_half_up
+from ..functions.numeric import exact_sum, exact_total, joined_total, number_or, odd_total, round_half_up
 from ..schema import OTHER_PRICE_CAP, PRICE_BOUNDS
 from .quality import (
     UNKNOWN_PRODUCT,
@@ -27,6 +27,8 @@ METRICS = (
     "sell_count",
 )
 
+ODD = ("price_odd", "volume_odd", "latency_odd")
+
 
 def valid_trades(trades: DataFrame, bounds=PRICE_BOUNDS, cap: float = OTHER_PRICE_CAP) -> DataFrame:
     return normalize_trades(price_sanity_filter(trades, bounds, cap))
@@ -39,10 +41,13 @@ def product_partials(trades: DataFrame, *more_keys: str | Column) -> DataFrame:
     return trades.groupBy("product", *more_keys).agg(
         F.count(F.lit(1)).alias("count"),
         exact_total(price).alias("price_sum"),
+        odd_total(price).alias("price_odd"),
         F.max(price).alias("price_max"),
         F.min(price).alias("price_min"),
         exact_total(size).alias("volume"),
+        odd_total(size).alias("volume_odd"),
         exact_total(F.when(timed, latency)).alias("latency_sum"),
+        odd_total(F.when(timed, latency)).alias("latency_odd"),
         F.count_if(timed).alias("latency_count"),
         F.count_if(F.col("side") == "buy").alias("buy_count"),
         F.count_if(F.col("side") == "sell").alias("sell_count"),
@@ -53,7 +58,7 @@ def merge_partials(partials: DataFrame, *keys: str) -> DataFrame:
     """Combine partials of any split of the rows; the result does not depend on the split."""
     merged = {
         name: F.max(name) if name == "price_max" else F.min(name) if name == "price_min" else F.sum(name)
-        for name in METRICS
+        for name in (*METRICS, *ODD)
     }
     return partials.groupBy(*(keys or ("product",))).agg(*[agg.alias(name) for name, agg in merged.items()])
 
@@ -61,14 +66,14 @@ def merge_partials(partials: DataFrame, *keys: str) -> DataFrame:
 def finish_summary(partials: DataFrame) -> DataFrame:
     """Rounded report rows from one partial per product."""
     count = F.col("count").cast("double")
-    latency = F.try_divide(F.col("latency_sum").cast("double"), F.col("latency_count").cast("double"))
-    return partials.filter((F.col("count") > 0) & (F.col("price_sum") > 0)).select(
+    latency = F.try_divide(joined_total("latency_sum", "latency_odd"), F.col("latency_count").cast("double"))
+    return partials.filter((F.col("count") > 0) & (F.col("price_max") > 0)).select(
         "product",
         F.col("count").cast("long").alias("total_trades"),
-        round_half_up(F.col("price_sum").cast("double") / count, 2).alias("average_price"),
+        round_half_up(joined_total("price_sum", "price_odd") / count, 2).alias("average_price"),
         round_half_up(F.col("price_max"), 2).alias("maximum_price"),
         round_half_up(F.col("price_min"), 2).alias("minimum_price"),
-        round_half_up(F.col("volume").cast("double"), 4).alias("total_volume"),
+        round_half_up(joined_total("volume", "volume_odd"), 4).alias("total_volume"),
         F.col("buy_count").cast("long").alias("buy_trades"),
         F.col("sell_count").cast("long").alias("sell_trades"),
         F.coalesce(latency, F.lit(0.0)).alias("avg_latency_ms"),

@@ -88,8 +88,13 @@ def require_product(trades: DataFrame) -> DataFrame:
 
 
 def usable_for_windows(trades: DataFrame) -> DataFrame:
-    """Rows a window summary can use: a product, a price and a size."""
-    return require_product(trades).filter(F.col("price").isNotNull() & F.col("size").isNotNull())
+    """Rows a window summary can use: a product, a price and a size that are finite numbers."""
+    return finite_trades(require_product(trades))
+
+
+def finite_trades(trades: DataFrame) -> DataFrame:
+    """Rows whose price and size are numbers; a NaN or an infinity drops that record only."""
+    return trades.filter(finite("price") & finite("size"))
 
 
 def event_time_fallback(trades: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from ..functions.numeric import (
     SUM_SCALE,
     exact_avg,
     exact_sum,
+    finite,
     fraction_part,
     number_or,
     round_half_up,
@@ -17,7 +18,7 @@ from ..functions.numeric import (
 )
 from ..functions.times import diff_ms, minute_label, minute_of_day, parse_iso
 from .ordered import exact_percentiles, settle
-from .quality import event_time_fallback
+from .quality import event_time_fallback, finite_trades
 
 RECENT_SECONDS = 300
 FALLBACK_ROWS = 30
@@ -90,7 +91,9 @@ def recent_or_last_n(
 def recent_summary(chosen: DataFrame) -> DataFrame:
     """Per-product figures over :func:`recent_or_last_n`; a missing latency counts as zero."""
     latency = number_or("latency_ms")
-    return chosen.groupBy("product").agg(
+    # a null number stays a trade without that number; NaN and infinities drop the record
+    readable = lambda c: F.col(c).isNull() | finite(c)
+    return chosen.filter(readable("price") & readable("size")).groupBy("product").agg(
         F.count(F.lit(1)).alias("trades"),
         round_half_up(exact_avg("price"), 2).alias("avg_price"),
         round_half_up(exact_sum("size"), 4).alias("volume"),
@@ -143,7 +146,7 @@ def throughput_per_minute(
     """Count, mean price and volume per minute (or other unit); the first or last ``n``, or all."""
     timed = event_time_fallback(trades)
     series = (
-        timed.filter(F.col("price").isNotNull() & F.col("size").isNotNull())
+        finite_trades(timed)
         .groupBy(F.date_trunc(unit, "event_time").alias("at"))
         .agg(
             F.count(F.lit(1)).alias("trades_per_minute"),

@@ -8,7 +8,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.numeric import SUM_SCALE, exact_total, join_parts, round_half_up
+from ..functions.numeric import (
+    LARGEST_REGULAR,
+    SMALLEST_REGULAR,
+    SUM_SCALE,
+    exact_total,
+    join_parts,
+    joined_total,
+    odd_total,
+    round_half_up,
+)
 from ..functions.times import clock_label, micros, slot_number, slot_start
 from .ordered import running_before, settle, tail_cut
 from .quality import usable_for_windows
@@ -23,6 +32,7 @@ LATEST_WINDOWS = 10
 _SNAPSHOT = (
     "product string, slot_no bigint, trade_id bigint, us bigint, trade_count bigint,"
     "price_whole bigint, price_fraction bigint, size_whole bigint, size_fraction bigint,"
+    "price_odd double, size_odd double,"
     "max_price double, min_price double, buy_count bigint, sell_count bigint,"
     "top_ids array<bigint>, top_times array<bigint>, top_prices array<double>,"
     "top_sizes array<double>, top_sides array<string>"
@@ -57,7 +67,19 @@ def _snapshot_block(n: int, top_k: int):
         def decimals(values) -> np.ndarray:
             return np.floor((values - np.floor(values)) * SUM_SCALE + 0.5)
 
+        def split(values) -> tuple[np.ndarray, np.ndarray]:
+            """Regular values, and the sums of the others in each frame."""
+            far = np.abs(values)
+            units = far * SUM_SCALE
+            odd = (far >= LARGEST_REGULAR) | ((far < SMALLEST_REGULAR) & (np.abs(units - np.rint(units)) > 1e-9))
+            if not odd.any():
+                return values, np.zeros(len(at))
+            others = np.where(odd, values, 0.0)
+            return np.where(odd, 0.0, values), np.array([others[b : e + 1].sum() for b, e in zip(begin, at)])
+
         price, size = rows["price"].to_numpy(), rows["size"].to_numpy()
+        plain_price, odd_price = split(price)
+        plain_size, odd_size = split(size)
         side = rows["side"].to_numpy(dtype=object)
         rolling = rows["price"].rolling(n, min_periods=1)
         top = [b + largest_first(size[b : e + 1], top_k) for b, e in zip(begin, at)]
@@ -69,10 +91,12 @@ def _snapshot_block(n: int, top_k: int):
                 "trade_id": ids[at],
                 "us": rows["us"].to_numpy()[at],
                 "trade_count": at - begin + 1,
-                "price_whole": total(np.floor(price)),
-                "price_fraction": total(decimals(price)),
-                "size_whole": total(np.floor(size)),
-                "size_fraction": total(decimals(size)),
+                "price_whole": total(np.floor(plain_price)),
+                "price_fraction": total(decimals(plain_price)),
+                "size_whole": total(np.floor(plain_size)),
+                "size_fraction": total(decimals(plain_size)),
+                "price_odd": odd_price,
+                "size_odd": odd_size,
                 "max_price": rolling.max().to_numpy()[at],
                 "min_price": rolling.min().to_numpy()[at],
                 "buy_count": total(side == "buy"),
@@ -138,17 +162,12 @@ def rolling_last_n_snapshot(
     targets = slots.select(*keys, own.alias("own"), F.explode(feeds).alias("block"))
 
     crowded = slots.filter(F.col("n") > block_rows).select(*keys, "first_us")
-    if not crowded.isEmpty():
-        cuts = settle(_crowded_slot_cuts(rows, crowded, n - 1, slot_seconds), "cuts")
-        rows = (
-            rows.join(cuts, keys, "left")
-            .filter(
-                F.col("cut").isNull()
-                | (F.col("us") >= F.col("cut"))
-                | (F.col("us") == F.col("first_us"))
-            )
-            .drop("cut", "first_us")
-        )
+    cuts = settle(_crowded_slot_cuts(rows, crowded, n - 1, slot_seconds), "cuts")
+    rows = (
+        rows.join(cuts, keys, "left")
+        .filter(F.col("cut").isNull() | (F.col("us") >= F.col("cut")) | (F.col("us") == F.col("first_us")))
+        .drop("cut", "first_us")
+    )
 
     blocks = rows.join(targets, keys).select(
         "product",
@@ -182,8 +201,8 @@ def label_snapshots(found: DataFrame, slot_seconds: int, label_seconds: int) ->
             t["top_sides"].alias("side"),
         ),
     )
-    price = join_parts(F.col("price_whole"), F.col("price_fraction"))
-    volume = join_parts(F.col("size_whole"), F.col("size_fraction"))
+    price = join_parts(F.col("price_whole"), F.col("price_fraction")) + F.col("price_odd")
+    volume = join_parts(F.col("size_whole"), F.col("size_fraction")) + F.col("size_odd")
     return found.select(
         slot_start("slot_no", slot_seconds).alias("window_start"),
         slot_start("slot_no", slot_seconds, label_seconds).alias("window_end"),
@@ -253,9 +272,11 @@ def window_stats() -> list[Column]:
     return [
         F.count(F.lit(1)).alias("trade_count"),
         exact_total("price").alias("price_total"),
+        odd_total("price").alias("price_odd"),
         F.max("price").alias("max_price"),
         F.min("price").alias("min_price"),
         exact_total("size").alias("size_total"),
+        odd_total("size").alias("size_odd"),
         F.count_if(F.col("side") == "buy").alias("buy_count"),
         F.count_if(F.col("side") == "sell").alias("sell_count"),
     ]
@@ -267,10 +288,10 @@ def finish_windows(stats: DataFrame, start: Column, end: Column) -> DataFrame:
         end.alias("window_end"),
         "product",
         "trade_count",
-        round_half_up(F.col("price_total").cast("double") / F.col("trade_count"), 2).alias("avg_price"),
+        round_half_up(joined_total("price_total", "price_odd") / F.col("trade_count"), 2).alias("avg_price"),
         round_half_up(F.col("max_price"), 2).alias("max_price"),
         round_half_up(F.col("min_price"), 2).alias("min_price"),
-        round_half_up(F.col("size_total").cast("double"), 4).alias("total_volume"),
+        round_half_up(joined_total("size_total", "size_odd"), 4).alias("total_volume"),
         "buy_count",
         "sell_count",
     )
@@ -292,9 +313,11 @@ def sliding_window_summary(
         .agg(
             F.sum("trade_count").alias("trade_count"),
             F.sum("price_total").alias("price_total"),
+            F.sum("price_odd").alias("price_odd"),
             F.max("max_price").alias("max_price"),
             F.min("min_price").alias("min_price"),
             F.sum("size_total").alias("size_total"),
+            F.sum("size_odd").alias("size_odd"),
             F.sum("buy_count").alias("buy_count"),
             F.sum("sell_count").alias("sell_count"),
         )

@@ -65,7 +65,7 @@ def rewritten(trades: DataFrame) -> DataFrame:
 
 
 def event_stream(spark, sf_dir) -> DataFrame:
-    return feeds.stream_events(spark, sf_dir, "events.parquet")
+    return feeds.stream_events(spark, f"{sf_dir}/events.parquet")
 
 
 def stored(spark, stream: DataFrame) -> DataFrame:

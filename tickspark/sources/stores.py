@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.dedup import dedup_by_trade_id, latest_per_key
 from ..schema import TRADE_JSON
@@ -23,14 +24,21 @@ def scan_trade_json(spark: SparkSession, path: str, multi_line: bool = True) ->
     )
 
 
-def read_appended(spark: SparkSession, path: str) -> DataFrame:
-    """All rows appended by micro-batches, with their ``batch_id``."""
-    return spark.read.option("basePath", path).parquet(path)
+def read_appended(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """All rows appended by micro-batches, with their ``batch_id``. With ``schema``, that of the rows,
+    a store nothing was written to yet reads as an empty table."""
+    if schema is None:
+        return spark.read.option("basePath", path).parquet(path)
+    full = StructType([*schema.fields, StructField("batch_id", LongType())])
+    store = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not store.getFileSystem(spark._jsc.hadoopConfiguration()).exists(store):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", path).parquet(path)
 
 
-def read_speed_store(spark: SparkSession, path: str, key=("product", "trade_id")) -> DataFrame:
+def read_speed_store(spark: SparkSession, path: str, key=("product", "trade_id"), schema=None) -> DataFrame:
     """Current content of a keyed trade store: the last write of every key."""
-    return dedup_by_trade_id(read_appended(spark, path).drop("batch_id"), key)
+    return dedup_by_trade_id(read_appended(spark, path, schema).drop("batch_id"), key)
 
 
 def scan_window_store(spark: SparkSession, path: str, product: str | None = None) -> DataFrame:

@@ -14,14 +14,16 @@ FLUSH = "60 seconds"
 FLUSH_ROWS = 100
 
 
-def stream_events(spark: SparkSession, folder: str, pattern: str = "*.parquet", files_per_batch: int = 1000):
-    """Events files of a folder as a stream of processed trades."""
-    rows = (
-        spark.readStream.schema(EVENTS)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(folder)
-    )
+def as_pattern(path: str) -> str:
+    """A pattern that matches this path; one that is a pattern already stays as it is."""
+    path = path.rstrip("/")
+    return path if any(c in path for c in "*?[{") else f"{path[:-1]}[{path[-1]}]"
+
+
+def stream_events(spark: SparkSession, table: str, files_per_batch: int = 1000):
+    """An events table, one file or a folder of part files, as a stream of processed trades."""
+    # a stream's path must be a folder or a pattern; as a pattern for itself it may also be one file
+    rows = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files_per_batch).parquet(as_pattern(table))
     return trades_from_events(rows)
 
 
