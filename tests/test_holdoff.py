@@ -75,6 +75,26 @@ def test_random_variable_holds(spark):
     assert [r["id"] for r in kept.orderBy("us").collect()] == want
 
 
+@pytest.mark.parametrize("seed,fan", [(21, 2), (22, 3), (23, 5)])
+def test_step_tables_in_a_tree(spark, seed, fan):
+    """Many blocks of one key, several levels of joined tables, gaps and dense stretches."""
+    rng = random.Random(seed)
+    rows, at = [], 0
+    for i in range(500):
+        at += rng.choice([0, 1_000, 50_000, 300_000]) if rng.random() < 0.98 else 9_000_000
+        rows.append((rng.choice("ab"), at, i, rng.choice([200_000, 900_000, 1_500_000])))
+    frame = spark.createDataFrame(rows, "key string, us long, id long, hold long").withColumn("at", F.timestamp_micros("us"))
+    kept = holdoff.greedy_holdoff(frame, ["key"], "at", "id", F.col("hold"), 1_500_000, block_rows=6, fan=fan)
+    want = []
+    for key in "ab":
+        ready = -1
+        for k, us, i, hold in sorted(rows, key=lambda r: (r[1], r[2])):
+            if k == key and us >= ready:
+                want.append(i)
+                ready = us + hold
+    assert sorted(r["id"] for r in kept.collect()) == sorted(want)
+
+
 def golden_ticks(spark):
     text = (Path(__file__).parent / "golden_ticks.txt").read_text()
     rows = [

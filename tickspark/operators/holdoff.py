@@ -2,8 +2,9 @@
 
 The choice depends on everything before it, yet only through one number, the time from which the
 next event may be kept. The events of a key are cut into blocks. Each block first reports, for
-every time it may be entered with, the time it leaves with (a short step table). Running through
-the step tables gives each block its true entry time, and all blocks then select in parallel.
+every time it may be entered with, the time it leaves with (a short step table). Step tables of
+neighbouring blocks are joined in a tree; back down the tree each block gets its true entry time,
+and all blocks then select in parallel.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from .dedup import latest_per_key
 from .ordered import running_before, settle
 
 BLOCK_ROWS = 200_000
+FAN = 256  # step tables that are joined at a time
 NEVER = -(2**62)
 
 
@@ -60,23 +62,65 @@ def _step_table(keys: list[str], longest: int):
         out = pd.DataFrame({"upto": us[spots], "leave": leave[spots]})
         for key in [*keys, "_block"]:
             out[key] = rows[key].iloc[0]
-        return out[[*keys, "_block", "upto", "leave"]]
+        out["begin"] = begin
+        return out[[*keys, "_block", "begin", "upto", "leave"]]
 
     return run
 
 
-def _entry_times(keys: list[str]):
+def _pass(tables: list[tuple[np.ndarray, np.ndarray]], ready: int) -> int:
+    """The time the last of consecutive blocks leaves with when the first is entered with ``ready``."""
+    for upto, leave in tables:
+        spot = int(np.searchsorted(upto, ready, side="left"))
+        if spot < len(upto):
+            ready = int(leave[spot])
+    return ready
+
+
+def _tables(steps: pd.DataFrame, number: str) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    steps = steps.sort_values([number, "upto"], ignore_index=True)
+    blocks, first = np.unique(steps[number].to_numpy(), return_index=True)
+    upto, leave = steps["upto"].to_numpy(), steps["leave"].to_numpy()
+    ends = np.r_[first[1:], len(steps)]
+    return blocks, [(upto[i:j], leave[i:j]) for i, j in zip(first, ends)]
+
+
+def _joined_table(keys: list[str], longest: int):
+    """One step table for a run of consecutive blocks; entries lie in the run's first bucket or at the
+    event after it, so it is no longer than that of a single block."""
+
     def run(steps: pd.DataFrame) -> pd.DataFrame:
-        steps = steps.sort_values(["_block", "upto"], ignore_index=True)
-        blocks, first = np.unique(steps["_block"].to_numpy(), return_index=True)
-        upto, leave = steps["upto"].to_numpy(), steps["leave"].to_numpy()
-        ends = np.r_[first[1:], len(steps)]
-        ready, entered = NEVER, []
-        for begin, end in zip(first, ends):
+        _, tables = _tables(steps, "_block")
+        bound = int(steps["begin"].min()) + longest
+        upto, leave = [], []
+        for k, (ends, leaves) in enumerate(tables):
+            for end, left in zip(ends, leaves):
+                upto.append(int(end))
+                leave.append(_pass(tables[k + 1 :], int(left)))
+                if end >= bound:
+                    break
+            if upto[-1] >= bound:
+                break
+        upto, leave = np.array(upto), np.array(leave)
+        spots = np.flatnonzero(np.r_[leave[1:] != leave[:-1], True])
+        out = pd.DataFrame({"upto": upto[spots], "leave": leave[spots]})
+        for name in [*keys, "_parent"]:
+            out[name] = steps[name].iloc[0]
+        out["begin"] = steps["begin"].min()
+        return out[[*keys, "_parent", "begin", "upto", "leave"]]
+
+    return run
+
+
+def _entries(keys: list[str]):
+    """Entry times of consecutive blocks, from that of the run they form."""
+
+    def run(steps: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+        blocks, tables = _tables(steps, "_block")
+        ready, entered = int(entry["ready"].iloc[0]), []
+        for table in tables:
             entered.append(ready)
-            spot = begin + int(np.searchsorted(upto[begin:end], ready, side="left"))
-            if spot < end:
-                ready = int(leave[spot])
+            ready = _pass([table], ready)
         out = pd.DataFrame({"_block": blocks, "ready": entered})
         for key in keys:
             out[key] = steps[key].iloc[0]
@@ -85,6 +129,31 @@ def _entry_times(keys: list[str]):
     return run
 
 
+def _entry_times(steps: DataFrame, keys: list[str], longest: int, fan: int) -> DataFrame:
+    """(keys, _block, ready): the time each block is entered with.
+
+    Step tables of ``fan`` consecutive blocks are joined into one, level by level, until a key has one
+    run; entry times then go back down the same tree. So no task holds more than ``fan`` tables of a
+    key, however many blocks it has.
+    """
+    fields = {f.name: f for f in steps.schema.fields}
+    own = [fields[k] for k in keys]
+    longs = lambda *names: T.StructType([*own, *[T.StructField(n, T.LongType()) for n in names]])
+    parent = F.floor(F.col("_block") / fan).cast("long")
+    levels = [settle(steps.withColumn("_parent", parent), "steps")]
+    while levels[-1].filter(F.col("_parent") > 0).limit(1).count():
+        joined = levels[-1].groupBy(*keys, "_parent").applyInPandas(
+            _joined_table(keys, longest), longs("_parent", "begin", "upto", "leave")
+        )
+        levels.append(settle(joined.withColumnRenamed("_parent", "_block").withColumn("_parent", parent), "steps"))
+    entry = levels[-1].select(*keys, "_parent").distinct().withColumn("ready", F.lit(NEVER))
+    for level in reversed(levels):
+        runs = level.groupBy(*keys, "_parent").cogroup(entry.groupBy(*keys, "_parent"))
+        below = settle(runs.applyInPandas(_entries(keys), longs("_block", "ready")), "entries")
+        entry = below.withColumnRenamed("_block", "_parent")
+    return below
+
+
 def _kept_rows(rows: pd.DataFrame, ready: int, keys: list[str]) -> pd.DataFrame:
     rows = rows.sort_values("_us", ignore_index=True)
     us, hold = rows["_us"].to_numpy(np.int64), rows["_hold"].to_numpy(np.int64)
@@ -106,6 +175,7 @@ def greedy_holdoff(
     hold_micros: Column,
     longest_micros: int,
     block_rows: int = BLOCK_ROWS,
+    fan: int = FAN,
 ) -> DataFrame:
     """Keep, per key and in time order, each event no kept event before it still holds off.
 
@@ -140,15 +210,14 @@ def greedy_holdoff(
     key_fields = [types[k] for k in keys]
     block = T.StructField("_block", T.LongType())
     steps_type = T.StructType(
-        [*key_fields, block, T.StructField("upto", T.LongType()), T.StructField("leave", T.LongType())]
+        [*key_fields, block, *[T.StructField(n, T.LongType()) for n in ("begin", "upto", "leave")]]
     )
-    entry_type = T.StructType([*key_fields, block, T.StructField("ready", T.LongType())])
     kept_type = T.StructType(
         [*key_fields, T.StructField("_us", T.LongType()), T.StructField("_tie", types[tie].dataType)]
     )
     groups = blocked.groupBy(*keys, "_block")
     steps = groups.applyInPandas(_step_table(keys, longest_micros), steps_type)
-    entry = settle(steps.groupBy(*keys).applyInPandas(_entry_times(keys), entry_type), "entries")
+    entry = _entry_times(steps, keys, longest_micros, fan)
     chosen = groups.cogroup(entry.groupBy(*keys, "_block")).applyInPandas(_select_block(keys), kept_type)
     kept = settle(chosen, "kept")
     found = timed.join(kept, [*keys, "_us", "_tie"])
