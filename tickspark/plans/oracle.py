@@ -294,14 +294,15 @@ SELECT product, {', '.join(f'{c} AS {name}' for name, c in _SERVED.items())} FRO
     "stream_trades": f"{_T} SELECT {_TRADE_COLUMNS} FROM t",
     "sql_catalog": f"""{_T}
 SELECT product, side, count(*) AS trade_count, {_total('size')} AS total_volume FROM t GROUP BY product, side""",
-    "sink_keyed_stream": f"{_T} SELECT product, trade_id, price FROM t",
+    "sink_keyed_stream": f"{_T} SELECT {_TRADE_COLUMNS} FROM t",
     "sink_raw_batches": f"{_T} SELECT {_TRADE_COLUMNS} FROM t",
     "sink_speed_upsert": _T + _dedup(),
     "sink_window_summary": f"{_W} SELECT {_WINDOW_COLUMNS} FROM w",
     "sink_batch_json": f"{_B} SELECT * FROM b",
     "sink_batch_csv": f"{_B} SELECT * FROM b",
     "sink_report_csv": f"""{_S}
-SELECT name, workers, {_round('avg_ms', 6)} AS avg_ms, runs, {_round('max_ms', 6)} AS max_ms FROM s""",
+SELECT name, workers, {_round('avg_ms', 6)} AS avg_ms, runs, {_round('max_ms', 6)} AS max_ms,
+       {_round('min_ms', 6)} AS min_ms, times FROM s""",
     "sink_report_json": f"""{_S}
 SELECT (SELECT count(*) FROM s) AS result_rows, count(*) AS speedup_rows,
        {_round('max(speedup)', 6)} AS best_speedup, {_round('max(efficiency)', 6)} AS best_efficiency,
@@ -339,9 +340,14 @@ SELECT product, window_start, window_end, trade_count, CASE WHEN trade_count > 1
 SELECT trade_id, printf('$%.2f', CASE WHEN trade_id % 9 = 0 THEN 0.0::DOUBLE ELSE price END) AS money,
        printf('%.4f', size) AS volume FROM t""",
     "merged_view": f"""{_with(_TRADES, _NORMAL, _VALID, _SUMMARY, _RECENT_DAY, _WINDOWS, _NEWEST_WINDOWS, _FLAT)}
-SELECT m.*, coalesce(c.window_rows, 0) AS window_rows, c.newest_window, c.newest_count
+SELECT m.*, coalesce(c.window_rows, 0) AS window_rows, c.newest_window, c.newest_count,
+       coalesce(c.windows, '') AS windows
 FROM m LEFT JOIN (SELECT product, count(*) AS window_rows, max(window_start) AS newest_window,
-                         max(trade_count) FILTER (recency = 1) AS newest_count
+                         max(trade_count) FILTER (recency = 1) AS newest_count,
+                         string_agg(concat_ws(':', CAST(epoch(window_start) AS BIGINT), trade_count, buy_count, sell_count,
+                           CAST(floor(avg_price * 100 + 0.5) AS BIGINT), CAST(floor(max_price * 100 + 0.5) AS BIGINT),
+                           CAST(floor(min_price * 100 + 0.5) AS BIGINT), CAST(floor(total_volume * 10000 + 0.5) AS BIGINT)),
+                           ' ' ORDER BY recency) AS windows
                   FROM l WHERE recency <= 10 GROUP BY product) c USING (product)""",
     "batch_lookup_or_zero": f"""{_B}
 SELECT product, {', '.join(f'coalesce({c}, 0) AS {name}' for name, c in _SERVED.items())},

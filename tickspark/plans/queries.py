@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.numeric import format_money, format_volume, round_half_up
 from ..operators import batch, dedup, fleet, holdoff, merged, quality, recent, reports, windows
-from ..schema import BATCH_SUMMARY, EVENT_PRICE_BOUNDS as BOUNDS, read_trades
+from ..schema import BATCH_SUMMARY, EVENT_PRICE_BOUNDS as BOUNDS, TRADE, read_trades
 from ..session import ROCKSDB_PROVIDER, scratch_path
 from ..sinks import appended, files
 from ..sources import catalog, feed, stores
@@ -150,8 +150,9 @@ def sink_keyed_stream(spark, sf_dir):
     out = scratch_path(spark, "keyed")
     feeds.run_available(spark, feeds.publish_keyed_files(event_stream(spark, sf_dir), out))
     messages = spark.read.schema("value string, product string").json(out)
-    body = F.from_json("value", "trade_id long, price double")
-    return messages.select("product", body["trade_id"].alias("trade_id"), body["price"].alias("price"))
+    body = F.from_json("value", TRADE, {"timestampFormat": feeds.MICROS_ISO})
+    keyed = messages.select(F.col("product").alias("key"), body.alias("m"))
+    return keyed.filter(F.col("key").eqNullSafe(F.col("m.product"))).select("m.*")
 
 
 @query
@@ -203,6 +204,8 @@ def sink_report_csv(spark, sf_dir):
         round_half_up(F.col("avg_ms").cast("double"), 6).alias("avg_ms"),
         F.size(times).cast("long").alias("runs"),
         round_half_up(F.array_max(times), 6).alias("max_ms"),
+        round_half_up(F.col("min_ms").cast("double"), 6).alias("min_ms"),
+        F.array_join(F.transform(times, lambda t: F.format_string("%.6f", t)), " ").alias("times"),
     )
 
 
@@ -316,6 +319,14 @@ def recent_figures(spark, sf_dir) -> DataFrame:
     return recent.recent_summary(recent.recent_or_last_n(read_trades(spark, sf_dir), seconds=DAY))
 
 
+def window_text(w) -> Column:
+    """All figures of a window as text, prices in cents and volumes in ten thousandths."""
+    figures = [F.unix_seconds(w["window_start"]), w["trade_count"], w["buy_count"], w["sell_count"]]
+    figures += [F.floor(w[c] * 100 + 0.5) for c in ("avg_price", "max_price", "min_price")]
+    figures += [F.floor(w["total_volume"] * 10_000 + 0.5)]
+    return F.concat_ws(":", *[x.cast("string") for x in figures])
+
+
 @query
 def merged_view(spark, sf_dir):
     nested = merged.merged_view(
@@ -329,6 +340,7 @@ def merged_view(spark, sf_dir):
         F.size("window_metrics").cast("long").alias("window_rows"),
         F.col("window_metrics")[0]["window_start"].alias("newest_window"),
         F.col("window_metrics")[0]["trade_count"].alias("newest_count"),
+        F.array_join(F.transform("window_metrics", window_text), " ").alias("windows"),
     )
 
 
