@@ -79,13 +79,19 @@ def recent_or_last_n(
 ) -> DataFrame:
     """Recent trades; a product without any contributes its last ``n`` instead.
 
-    The fallback rows are picked first, so only ``n`` rows per product meet the anti join.
+    One pass finds each product's newest time. The reference instant and the idle products follow
+    from that small table; trades are then read once for the recent ones and once for the idle products.
     """
-    fresh = recent_trades(trades, as_of, seconds)
-    stale = newest_per_product(trades, n, scan_order).join(
-        fresh.select("product").distinct(), "product", "left_anti"
+    at = processed_time(trades)
+    newest = settle(
+        trades.groupBy("product").agg(F.max(at).alias("newest"), (F.count_if(at.isNull()) > 0).alias("untimed")), "newest"
     )
-    return fresh.unionByName(stale)
+    reference = newest.select(F.max("newest")).scalar() if as_of is None else as_of_column(trades, as_of)
+    since = reference - F.make_dt_interval(secs=F.lit(seconds))
+    idle = newest.filter(~F.col("untimed") & (F.col("newest") < since)).select(F.col("product").alias("_idle"))
+    fresh = trades.filter(at.isNull() | (at >= since))
+    stale = trades.join(idle, F.col("product").eqNullSafe(F.col("_idle")), "left_semi")
+    return fresh.unionByName(newest_per_product(stale, n, scan_order))
 
 
 def recent_summary(chosen: DataFrame) -> DataFrame:
