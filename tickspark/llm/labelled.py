@@ -38,4 +38,4 @@ def label_sample(
         .groupBy("doc_id")
         .agg(F.min("text").alias("text"), F.first("label").alias("label"))
     )
-    return rows.toPandas().sort_values("doc_id", ignore_index=True)
+    return rows.toArrow().to_pandas().sort_values("doc_id", ignore_index=True)

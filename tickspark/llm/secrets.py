@@ -36,6 +36,15 @@ class Settings:
     seed: int = 13
 
 
+# Everyday parts of names in programs, for ordinary samples beside the corpus's own words.
+NAME_PARTS = (
+    "get set user account server connection timeout config path file name value index buffer stream module package "
+    "version request response client session table column query update delete insert status message error handler "
+    "service library system number string object array list parse format default local remote public private static "
+    "final python spark count maximum minimum retry settings database report site local user bin usr home http"
+).split()
+
+
 def default_samples(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Labelled samples (value, random): strings of digests in the usual spellings, and ordinary
     identifiers made of the corpus's words."""
@@ -54,27 +63,29 @@ def default_samples(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         .limit(s.sample_docs)
     )
     word = F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z]{4,30}(?![A-Za-z0-9+/_=-])"), F.lit(0))
-    # neighbouring words in the ways identifiers join them
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.size("w") - 1),
-        lambda i: F.array(
-            F.element_at("w", i),
-            F.concat_ws("_", F.lower(F.element_at("w", i)), F.lower(F.element_at("w", i + 1))),
-            F.concat(F.lower(F.element_at("w", i)), F.initcap(F.element_at("w", i + 1))),
-            F.concat_ws("-", F.lower(F.element_at("w", i)), F.element_at("w", i + 1), (i % 100).cast("string")),
-            F.concat_ws("/", F.lower(F.element_at("w", i)), F.lower(F.element_at("w", i + 1))),
-            F.upper(F.concat_ws("_", F.element_at("w", i), F.element_at("w", i + 1))),
-        ),
+    pair = lambda x, y: F.struct(x.alias("a"), y.alias("b"))
+    neighbours = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: pair(F.element_at("w", i), F.element_at("w", i + 1)))
+    corpus = chosen.select(word.alias("w")).filter(F.size("w") > 1).select(F.inline(neighbours))
+    parts, n = F.array(*[F.lit(x) for x in NAME_PARTS]), len(NAME_PARTS)
+    at = lambda i: F.element_at(parts, (i % n + 1).cast("int"))
+    usual = docs.sparkSession.range(s.samples // 2).select(at(F.col("id")).alias("a"), at(F.col("id") * 7 + F.floor(F.col("id") / n)).alias("b"))
+    a, b = F.col("a"), F.col("b")
+    # in the ways identifiers join words
+    joined = F.array(
+        a,
+        F.concat_ws("_", F.lower(a), F.lower(b)),
+        F.concat(F.lower(a), F.initcap(b)),
+        F.concat_ws("-", F.lower(a), b, (F.length(a) * 7 + F.length(b)).cast("string")),
+        F.concat(F.lit("/"), F.lower(a), F.lit("/"), F.lower(b)),
+        F.upper(F.concat_ws("_", a, b)),
     )
-    ordinary = (
-        chosen.select(word.alias("w"))
-        .filter(F.size("w") > 1)
-        .select(F.explode(F.flatten(pairs)).alias("value"))
+    half = lambda pairs: (
+        pairs.select(F.explode(joined).alias("value"))
         .distinct()
         .orderBy(F.xxhash64(F.lit(s.seed), "value"), "value")
-        .limit(s.samples)
-        .withColumn("random", F.lit(False))
+        .limit(s.samples // 2)
     )
+    ordinary = half(corpus).unionByName(half(usual)).withColumn("random", F.lit(False))
     return random.unionByName(ordinary)
 
 
@@ -189,7 +200,7 @@ def redacted(docs: DataFrame, s: Settings = Settings(), samples: DataFrame | Non
     """``docs`` with every span replaced by a placeholder, overlapping spans by one; ``n_chars``, where
     there is such a column, is the new length. Other texts, null ones too, stay as they are."""
     found, names = scan(docs, s, samples)
-    (spans,) = free_names(found, "spans")
+    spans, new = free_names(found, "spans", "clean")
     text = F.col("text")
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
 
@@ -205,6 +216,7 @@ def redacted(docs: DataFrame, s: Settings = Settings(), samples: DataFrame | Non
         F.array_join(a["out"], ""), F.substring(text, (a["at"] + 1).cast("int"), F.length(text))
     )
     clean = F.when(F.size(spans) > 0, F.aggregate(F.col(spans), zero, step, rest)).otherwise(text)
-    marked = found.withColumn(spans, F.sort_array(F.concat(*[F.col(n) for n in names])))
-    out = {"text": clean, "n_chars": F.when(F.size(spans) > 0, F.length(clean).cast("long")).otherwise(F.col("n_chars"))}
+    marked = found.withColumn(spans, F.sort_array(F.concat(*[F.col(n) for n in names]))).withColumn(new, clean)
+    hit = F.size(spans) > 0
+    out = {"text": F.col(new), "n_chars": F.when(hit, F.length(new).cast("long")).otherwise(F.col("n_chars"))}
     return marked.select(*[out[c].alias(c) if c in out else F.col(c) for c in docs.columns])

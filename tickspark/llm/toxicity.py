@@ -32,6 +32,7 @@ class Settings:
     epochs: int = 4
     rate: float = 0.3
     batch: int = 1024
+    least_steps: int = 50
     seed: int = 5
 
 
@@ -171,8 +172,9 @@ def fit(sample: pd.DataFrame, s: Settings = Settings()) -> tuple[np.ndarray, flo
             np.maximum.at(best, text, odds)
             live = (label[text] == 0) | (odds > 0) | (odds >= best[text])
         order = rng.permutation(np.flatnonzero(live))
-        for i in range(0, len(order), s.batch):
-            pick = order[i : i + s.batch]
+        size_of = int(np.clip(len(order) // s.least_steps, 32, s.batch))  # small samples take small steps
+        for i in range(0, len(order), size_of):
+            pick = order[i : i + size_of]
             ids, edge, size = grams(pick)
             count = np.maximum(size, s.least_bag)[:, None]
             h = np.add.reduceat(emb[ids], edge, axis=0) / count
@@ -186,7 +188,8 @@ def fit(sample: pd.DataFrame, s: Settings = Settings()) -> tuple[np.ndarray, flo
             for value, grad, seen in ((soft, h.T @ p, past[1]), (bias, p.sum(axis=0), past[2]), (emb, to_emb, past[0])):
                 seen += grad**2
                 value -= s.rate * grad / np.sqrt(seen)
-    weights = (emb @ (soft[:, 1] - soft[:, 0])).astype(np.float32)
+    # multiples of 2^-16 add up exactly, whatever else a batch holds
+    weights = (np.round((emb @ (soft[:, 1] - soft[:, 0])) * 65536) / 65536).astype(np.float32)
     return weights, centred(sample, weights, float(bias[1] - bias[0]), s)
 
 
