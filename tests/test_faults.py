@@ -104,3 +104,20 @@ def test_huge_values_in_a_snapshot_leave_later_ones_alone(spark):
 def test_a_store_without_writes_is_empty(spark, folder):
     schema = trades(spark, []).schema
     assert stores.read_speed_store(spark, os.path.join(folder, "none"), schema=schema).count() == 0
+
+
+def test_a_tick_without_level_or_reading_does_not_end_the_alert_stream(spark, folder):
+    from tickspark.operators import fleet
+    from tickspark.streaming import state
+
+    q.stateful(spark)
+    rows = [("f", 1_700_000_000 + 60 * i, None if i % 4 == 1 else 1, None if i % 5 == 2 else 90.0) for i in range(40)]
+    ticks = spark.createDataFrame(rows, "fleet string, at long, level int, cpu double").select(
+        "fleet", F.timestamp_seconds("at").alias("ts"), "level", "cpu"
+    )
+    ticks.write.parquet(f"{folder}/ticks")
+    stream = spark.readStream.schema(ticks.schema).parquet(f"{folder}/ticks")
+    got = q.stored(spark, state.stream_alerts(stream, fleet.AlertRule()))
+    want = fleet.hysteresis_alerts(ticks, fleet.AlertRule())
+    left, right = (sorted(map(str, x.select(*want.columns).collect())) for x in (got, want))
+    assert left == right and left

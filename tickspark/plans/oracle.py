@@ -474,6 +474,11 @@ SELECT trade_id, product, price, CASE WHEN trade_id % 3 <> 1 THEN latency_ms END
         _THROTTLE_HOP.format(key="feed"),
         recursive=True,
     ),
+    "stream_throttle_all": _with(
+        _TRADES.replace("SELECT event_id", "SELECT 0 AS feed, event_id"),
+        _THROTTLE_HOP.format(key="feed"),
+        recursive=True,
+    ),
     "stream_throttle": _with(_TRADES, _THROTTLE_HOP.format(key="product"), recursive=True),
     "stream_sliding_windows": f"""{_W}
 SELECT {_WINDOW_COLUMNS} FROM w

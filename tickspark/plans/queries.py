@@ -674,6 +674,13 @@ def stream_throttle(spark, sf_dir):
     return kept.select("product", "trade_id", "time")
 
 
+@query
+def stream_throttle_all(spark, sf_dir):
+    stateful(spark)
+    kept = stored(spark, state.stream_throttle(event_stream(spark, sf_dir), THROTTLE_SECONDS, key=None))
+    return kept.select("product", "trade_id", "time")
+
+
 @query
 def stream_sliding_windows(spark, sf_dir):
     return stored(spark, flows.stream_sliding_windows(event_stream(spark, sf_dir), HOUR, SLIDE))
@@ -739,5 +746,5 @@ def stream_hysteresis_alerts(spark, sf_dir):
     path = scratch_path(spark, "ticks")
     ticks = alert_ticks(spark, sf_dir).select("fleet", "ts", "level", "cpu")
     ticks.write.parquet(path)
-    stream = spark.readStream.schema(ticks.schema).parquet(path)
-    return stored(spark, state.stream_alerts(stream, ALERTS))
+    reader = spark.readStream.schema(ticks.schema).option("maxFilesPerTrigger", feeds.FILES_PER_BATCH)
+    return stored(spark, state.stream_alerts(reader.parquet(path), ALERTS))

@@ -12,6 +12,7 @@ MICROS_ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 POLL = "1 second"
 FLUSH = "60 seconds"
 FLUSH_ROWS = 100
+FILES_PER_BATCH = 32  # bounds what one micro-batch, and in it one key, can hold
 
 
 def as_pattern(path: str) -> str:
@@ -20,14 +21,14 @@ def as_pattern(path: str) -> str:
     return path if any(c in path for c in "*?[{") else f"{path[:-1]}[{path[-1]}]"
 
 
-def stream_events(spark: SparkSession, table: str, files_per_batch: int = 1000):
+def stream_events(spark: SparkSession, table: str, files_per_batch: int = FILES_PER_BATCH):
     """An events table, one file or a folder of part files, as a stream of processed trades."""
     # a stream's path must be a folder or a pattern; as a pattern for itself it may also be one file
     rows = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files_per_batch).parquet(as_pattern(table))
     return trades_from_events(rows)
 
 
-def stream_trade_json(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+def stream_trade_json(spark: SparkSession, folder: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """Trade JSON files of a folder as a stream of text-typed records."""
     return spark.readStream.schema(TRADE_JSON).option("maxFilesPerTrigger", files_per_batch).json(folder)
 

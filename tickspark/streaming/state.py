@@ -53,16 +53,18 @@ class MinGap(StatefulProcessor):
         kept = kept_positions(us, np.full(len(us), self.hold), ready)
         if kept:
             self.ready.update((int(us[kept[-1]] + self.hold),))
-            yield batch.iloc[kept].drop(columns="us")
+            yield batch.iloc[kept].drop(columns=["us", "_all"], errors="ignore")
 
     def close(self) -> None:
         pass
 
 
-def stream_throttle(trades: DataFrame, seconds: float = 1.0, key: str = "product") -> DataFrame:
+def stream_throttle(trades: DataFrame, seconds: float = 1.0, key: str | None = "product") -> DataFrame:
+    """Streaming form of ``throttle_min_gap``. ``key=None`` runs one clock for all products, in one task."""
     hold = round(seconds * 1_000_000)
     rows = trades.filter(F.col("time").isNotNull()).withColumn("us", F.unix_micros("time"))
-    return rows.groupBy(key).transformWithStateInPandas(
+    keyed = rows.groupBy(key) if key else rows.withColumn("_all", F.lit(0)).groupBy("_all")
+    return keyed.transformWithStateInPandas(
         MinGap(hold), trades.schema, outputMode="Append", timeMode="None"
     )
 
@@ -138,13 +140,11 @@ class Hysteresis(StatefulProcessor):
         batch = batch.sort_values("us", kind="stable", ignore_index=True)
         low_since, ready = self.state.get() if self.state.exists() else (NEVER, NEVER)
         spots, actions = [], []
-        for spot, (us, level, cpu) in enumerate(zip(batch["us"], batch["level"], batch["cpu"])):
-            low = level > rule.min_level and cpu < rule.low
+        for spot, (us, low, up) in enumerate(zip(batch["us"], batch["low"], batch["up"])):
             if not low:
                 low_since = NEVER
             elif low_since == NEVER:
                 low_since = us
-            up = level < rule.max_level and cpu > rule.high
             down = low and us - low_since > rule.hold * 1_000_000
             if (up or down) and us >= ready:
                 delay = rule.up_delay if up else rule.down_delay
@@ -160,8 +160,12 @@ class Hysteresis(StatefulProcessor):
 
 
 def stream_alerts(ticks: DataFrame, rule: AlertRule = AlertRule()) -> DataFrame:
-    """Streaming form of ``hysteresis_alerts``."""
-    rows = ticks.select("fleet", "ts", "level", "cpu").withColumn("us", F.unix_micros("ts"))
+    """Streaming form of ``hysteresis_alerts``. A tick without level or reading is neither low nor high."""
+    low = (F.col("level") > rule.min_level) & (F.col("cpu") < rule.low)
+    up = (F.col("level") < rule.max_level) & (F.col("cpu") > rule.high)
+    rows = ticks.select("fleet", "ts", "level", "cpu").withColumns(
+        {"us": F.unix_micros("ts"), "low": F.coalesce(low, F.lit(False)), "up": F.coalesce(up, F.lit(False))}
+    )
     acted = rows.groupBy("fleet").transformWithStateInPandas(
         Hysteresis(rule),
         T._parse_datatype_string("fleet string, ts timestamp, level int, cpu double, action string"),
