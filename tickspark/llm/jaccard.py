@@ -88,6 +88,28 @@ def set_id(tokens: np.ndarray) -> int:
     return int(np.array([xxhash.xxh3_64_intdigest(tokens.tobytes())], dtype=U64).view(np.int64)[0])
 
 
+def profile(tokens: np.ndarray) -> np.ndarray:
+    """How many tokens of a set fall into each of 2^k slots, about three a slot: a twentieth of the set.
+
+    The slots' smaller counts add up to an upper bound of the intersection of two sets.
+    """
+    slots = 1 << max(4, math.ceil(math.log2(max(1, len(tokens)) / 3)))
+    return np.minimum(np.bincount((tokens & U64(slots - 1)).astype(np.int64), minlength=slots), 255).astype(np.uint8)
+
+
+def most_common(p: np.ndarray, q: np.ndarray) -> int:
+    """Upper bound of the intersection of the sets with these profiles; of two lengths the longer is folded."""
+    p, q = p.astype(np.int64), q.astype(np.int64)
+    if p.max() >= 255 or q.max() >= 255:  # cut off, so no bound
+        return 1 << 60
+    while len(p) != len(q):
+        if len(p) > len(q):
+            p = p[: len(p) // 2] + p[len(p) // 2 :]
+        else:
+            q = q[: len(q) // 2] + q[len(q) // 2 :]
+    return int(np.minimum(p, q).sum())
+
+
 def pack_gaps(sorted_values: np.ndarray) -> bytes:
     """Sorted numbers as gaps of one byte; 255 stands for 255 and more to come."""
     gaps = np.diff(sorted_values, prepend=0).astype(np.int64)
@@ -107,7 +129,7 @@ def _texts(batch) -> list:
 
 
 def measured(docs: DataFrame, extra: list[str], bits: int, s: Settings) -> DataFrame:
-    """One row (doc_id, extra, n, cls) for each document, and rows (block, gaps, more) that count tokens.
+    """One row (doc_id, extra, n, cls, profile) for each document, the profile once a task, and rows (block, gaps, more) that count tokens.
 
     A token falls into one of 2 ** bits cells. Each task counts its tokens, the first of equal sets
     only, and sends cells as gaps and counts above one as pairs.
@@ -134,21 +156,24 @@ def measured(docs: DataFrame, extra: list[str], bits: int, s: Settings) -> DataF
                 *empty,
                 blank,
                 blank,
+                pa.nulls(len(rows), pa.binary()),
                 pa.array([r[0] for r in rows], pa.int64()),
                 pa.array([r[1] for r in rows], pa.binary()),
                 pa.array([r[2] for r in rows], pa.binary()),
             ],
-            ["doc_id", *extra, "n", "cls", "block", "gaps", "more"],
+            ["doc_id", *extra, "n", "cls", "profile", "block", "gaps", "more"],
         )
 
     def run(batches):
         sh, seen, held, size, schema = shingler(s.words), set(), [], 0, None
         for b in batches:
-            schema, ns, classes = b.schema, [], []
+            schema, ns, classes, profiles = b.schema, [], [], []
             for text in _texts(b):
                 tokens = sh.tokens(text)
                 ns.append(len(tokens))
                 classes.append(set_id(tokens) if len(tokens) else None)
+                new = len(tokens) > 0 and classes[-1] not in seen
+                profiles.append(profile(tokens).tobytes() if new else None)
                 if len(tokens) and classes[-1] not in seen:
                     seen.add(classes[-1])
                     held.append(tokens >> U64(64 - bits))
@@ -162,17 +187,18 @@ def measured(docs: DataFrame, extra: list[str], bits: int, s: Settings) -> DataF
                     *[b.column(b.schema.get_field_index(c)) for c in ["doc_id", *extra]],
                     pa.array(ns, pa.int64()),
                     pa.array(classes, pa.int64()),
+                    pa.array(profiles, pa.binary()),
                     none,
                     pa.nulls(b.num_rows, pa.binary()),
                     pa.nulls(b.num_rows, pa.binary()),
                 ],
-                ["doc_id", *extra, "n", "cls", "block", "gaps", "more"],
+                ["doc_id", *extra, "n", "cls", "profile", "block", "gaps", "more"],
             )
         if held:
             yield count_batch(held, schema)
 
     slim = docs.select("doc_id", *extra, "text")
-    return slim.mapInArrow(run, f"{own}, n long, cls long, block long, gaps binary, more binary")
+    return slim.mapInArrow(run, f"{own}, n long, cls long, profile binary, block long, gaps binary, more binary")
 
 
 def frequent_cells(counts: DataFrame, s: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -199,8 +225,10 @@ def frequent_cells(counts: DataFrame, s: Settings) -> tuple[np.ndarray, np.ndarr
         if n > left:
             break
         left, lowest = left - n, level
-    table = heavy.filter(F.col("level") >= lowest).toPandas().sort_values("cell")
-    return table["cell"].to_numpy(dtype=U64), table["level"].to_numpy(dtype=np.uint8)
+    table = heavy.filter(F.col("level") >= lowest).toArrow()
+    cells, levels = (table.column(c).to_numpy() for c in ("cell", "level"))
+    order = np.argsort(cells)
+    return cells[order].astype(U64), levels[order].astype(np.uint8)
 
 
 def signatures(tokens: np.ndarray, level: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -355,6 +383,29 @@ def candidates(packed: DataFrame) -> DataFrame:
     return stored(both.groupBy("hub", "cls").agg(F.max("crowd").alias("crowd")), "candidates")
 
 
+def possible(pairs: DataFrame, profiles: DataFrame, s: Settings) -> DataFrame:
+    """(hub, cls, good, least) of ``pairs`` (hub, cls, na, nb): whether their profiles allow a link, and
+    the least distance that these allow."""
+
+    def run(batches):
+        for b in batches:
+            na, nb = (b.column(i).to_numpy() for i in (2, 3))
+            sides = [[np.frombuffer(x, dtype=np.uint8) for x in b.column(i).to_pylist()] for i in (4, 5)]
+            bound = np.array([most_common(p, q) for p, q in zip(*sides)], dtype=np.int64)
+            bound = np.minimum(bound, np.minimum(na, nb))
+            least = 1.0 - bound / np.maximum(na + nb - bound, 1)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(s.links(bound, na, nb)), pa.array(least)], ["hub", "cls", "good", "least"]
+            )
+
+    both = (
+        pairs.join(profiles.toDF("hub", "pa"), "hub")
+        .join(profiles.toDF("cls", "pb"), "cls")
+        .select("hub", "cls", "na", "nb", "pa", "pb")
+    )
+    return both.mapInArrow(run, "hub long, cls long, good boolean, least double")
+
+
 def spot_of(column: str | Column) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(1 << SPOT_BITS))
 
@@ -431,12 +482,10 @@ def compared(docs: DataFrame, classes: DataFrame, pairs: DataFrame, s: Settings)
     )
 
 
-def block_links(t: pa.Table, s: Settings) -> list[tuple[int, int]]:
-    """Links between different components among the members of two blocks, no more than it takes to join
-    these components. Pairs that the sizes or the distances to the common hub rule out are passed over."""
+def open_pairs(t: pa.Table, size: np.ndarray, s: Settings) -> np.ndarray:
+    """Which members of two blocks may link and are not in one component yet: neither the sizes nor the
+    distances to the common hub rule it out."""
     roots = t.column("root").to_numpy()
-    sets = [np.frombuffer(x, dtype=U64) for x in t.column("tokens").to_pylist()]
-    size = np.array([len(x) for x in sets], dtype=np.int64)
     far = t.column("far").to_numpy(zero_copy_only=False)  # null, not a number: not known
     side = t.column("block").to_numpy()
     apart = 1.0 - s.percent / 100 + 1e-9
@@ -446,6 +495,27 @@ def block_links(t: pa.Table, s: Settings) -> list[tuple[int, int]]:
     maybe &= np.minimum.outer(size, size) * 100 >= np.maximum.outer(size, size) * s.percent
     with np.errstate(invalid="ignore"):
         maybe &= ~(np.abs(far[:, None] - far[None, :]) > apart)
+    return maybe
+
+
+def open_members(t: pa.Table, s: Settings) -> np.ndarray:
+    """Members of two blocks with an open pair that their profiles allow to link."""
+    size = t.column("n").to_numpy()
+    shape = [np.frombuffer(x, dtype=np.uint8) for x in t.column("profile").to_pylist()]
+    use = np.zeros(len(size), dtype=bool)
+    for i, j in zip(*np.nonzero(open_pairs(t, size, s))):
+        if not (use[i] and use[j]) and s.links(min(most_common(shape[i], shape[j]), size[i], size[j]), size[i], size[j]):
+            use[i] = use[j] = True
+    return use
+
+
+def block_links(t: pa.Table, s: Settings) -> list[tuple[int, int]]:
+    """Links between different components among the members of two blocks, no more than it takes to join
+    these components."""
+    roots = t.column("root").to_numpy()
+    sets = [np.frombuffer(x, dtype=U64) for x in t.column("tokens").to_pylist()]
+    size = np.array([len(x) for x in sets], dtype=np.int64)
+    maybe = open_pairs(t, size, s)
     use = np.flatnonzero(maybe.any(axis=0) | maybe.any(axis=1))
     if not len(use):
         return []
@@ -484,16 +554,19 @@ def block_links(t: pa.Table, s: Settings) -> list[tuple[int, int]]:
 
 
 def remaining_links(
-    docs: DataFrame, classes: DataFrame, members: DataFrame, seen: DataFrame, roots: DataFrame, s: Settings
+    docs: DataFrame, classes: DataFrame, profiles: DataFrame, members: DataFrame, seen: DataFrame, roots: DataFrame, s: Settings
 ) -> DataFrame:
     """(a, b): links between components that the comparisons with hubs have left apart.
 
     Two classes that link share a key, and with it the key's hub. Members in the hub's own component
     are its core; the others are outsiders, near ones if the distance to the hub allows a link with
     something linked to the hub. Outsiders are compared with each other, and near ones with the core,
-    block against block, so no task holds more than two blocks.
+    block against block, so no task holds more than two blocks. Profiles come first; sets are fetched
+    only for members that these leave with somebody to link with.
     """
     root = lambda c: F.coalesce(F.col(f"{c}.root"), F.col("m.hub" if c == "h" else "m.cls"))
+    # without anything better, sizes alone keep two sets apart
+    apart = 1.0 - F.least("c.n", "z.n") / F.greatest("c.n", "z.n")
     far_limit = 2 * (1.0 - s.percent / 100) + 1e-9
     family = (
         members.filter("crowd")
@@ -502,6 +575,7 @@ def remaining_links(
         .join(roots.alias("r"), F.col("r.node") == F.col("m.cls"), "left")
         .join(seen.alias("s"), (F.col("s.hub") == F.col("m.hub")) & (F.col("s.cls") == F.col("m.cls")), "left")
         .join(classes.alias("c"), F.col("c.cls") == F.col("m.cls"))
+        .join(classes.alias("z"), F.col("z.cls") == F.col("m.hub"))
         .select(
             "m.hub",
             "m.cls",
@@ -509,7 +583,7 @@ def remaining_links(
             "s.far",
             root("r").alias("root"),
             # the core beyond direct links may be farther from the hub: only distances rule pairs out
-            F.when(root("h") == root("r"), 2).when(F.coalesce(F.col("s.far"), F.lit(0.0)) <= far_limit, 0).otherwise(1).alias("kind"),
+            F.when(root("h") == root("r"), 2).when(F.coalesce("s.least", apart) <= far_limit, 0).otherwise(1).alias("kind"),
             F.when(root("h") == root("r"), F.coalesce(F.col("s.linked"), F.lit(False))).alias("direct"),
         )
     )
@@ -537,10 +611,25 @@ def remaining_links(
         .withColumn("block", (first + F.pmod(F.xxhash64("cls"), wide)).cast("int"))
         .withColumn("upto", upto)
         .filter("upto > 0")
-        .select("hub", "cls", "root", "far", "block", F.explode(F.sequence(F.lit(0), F.col("upto") - 1)).alias("other"))
-        .select("hub", "cls", "root", "far", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        .select("hub", "cls", "n", "root", "far", "block", F.explode(F.sequence(F.lit(0), F.col("upto") - 1)).alias("other"))
+        .select("hub", "cls", "n", "root", "far", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    )
+
+    def narrow(batches):
+        for _, t in sorted_runs(batches, ["hub", "i", "j"]):
+            use = open_members(t, s)
+            if use.any():
+                yield from t.filter(pa.array(use)).drop_columns(["n", "profile"]).to_batches()
+
+    columns = "hub long, cls long, root long, far double, block int, i int, j int"
+    dealt = stored(
+        dealt.join(profiles, "cls")
+        .select("hub", "cls", "root", "far", "block", "i", "j", "n", "profile")
+        .repartition("hub", "i", "j")
+        .sortWithinPartitions("hub", "i", "j")
+        .mapInArrow(narrow, columns),
+        "blocks",
     )
-    dealt = stored(dealt, "blocks")
     if dealt.isEmpty():
         return dealt.select(F.col("cls").alias("a"), F.col("root").alias("b"))
     sets = sets_of(docs, classes, dealt.select("cls").distinct(), s)
@@ -572,6 +661,7 @@ def near_groups(docs: DataFrame, s: Settings = Settings(), extra: tuple[str, ...
     part_bits = min(20, max(0, math.ceil(math.log2(0.25 * shingles / s.postings_per_part))))
     rows = stored(measured(docs, list(extra), bits, s), "shingled")
     found = rows.filter("block is null").select("doc_id", *extra, "n", "cls")
+    shaped = rows.filter("profile is not null").select("cls", "profile")
     classes = found.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"))
     classes = stored(classes, "classes")
     cells, levels = frequent_cells(rows.filter("block is not null").select("block", "gaps", "more"), s)
@@ -580,12 +670,16 @@ def near_groups(docs: DataFrame, s: Settings = Settings(), extra: tuple[str, ...
 
     size = classes.select("cls", "n")
     fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * s.percent
-    pairs = (
-        members.join(size.toDF("hub", "na"), "hub").join(size.toDF("cls", "nb"), "cls").filter(fits).select("hub", "cls")
+    pairs = members.join(size.toDF("hub", "na"), "hub").join(size.toDF("cls", "nb"), "cls").filter(fits)
+    involved = members.select("cls").unionByName(members.select(F.col("hub").alias("cls"))).distinct()
+    profiles = stored(
+        shaped.join(involved, "cls", "left_semi").groupBy("cls").agg(F.first("profile").alias("profile")), "profiles"
     )
-    seen = compared(docs, classes, stored(pairs, "stars"), s)
+    stars = stored(possible(pairs.select("hub", "cls", "na", "nb"), profiles, s), "stars")
+    exact = compared(docs, classes, stars.filter("good").select("hub", "cls"), s)
+    seen = stars.join(exact, ["hub", "cls"], "left").select("hub", "cls", "far", "linked", F.coalesce("far", "least").alias("least"))
     roots = stored(components(seen.filter("linked").select(F.col("hub").alias("a"), F.col("cls").alias("b"))), "roots")
-    more = stored(remaining_links(docs, classes, members, seen, roots, s), "more-links")
+    more = stored(remaining_links(docs, classes, profiles, members, seen, roots, s), "more-links")
     if not more.isEmpty():
         higher = components(more)
         over = roots.alias("r").join(higher.alias("h"), F.col("r.root") == F.col("h.node"), "full")
