@@ -121,3 +121,13 @@ def test_a_tick_without_level_or_reading_does_not_end_the_alert_stream(spark, fo
     want = fleet.hysteresis_alerts(ticks, fleet.AlertRule())
     left, right = (sorted(map(str, x.select(*want.columns).collect())) for x in (got, want))
     assert left == right and left
+
+
+def test_report_rows_hold_every_record(spark):
+    from tickspark.operators import reports
+
+    runs = spark.createDataFrame([("a", w, i, 10.0 / w + i) for w in (1, 2, 4) for i in range(3)], "name string, workers int, iteration int, time_ms double")
+    stats = reports.run_stats(runs, ["name", "workers"], keep_times=False)
+    speedups = reports.relative_to_baseline(stats, ["name"])
+    rows = reports.report_rows(stats, speedups, speedups.agg(F.max("speedup").alias("best_speedup"))).collect()
+    assert sorted(r.section for r in rows) == ["results"] * 3 + ["speedup"] * 3 + ["summary"]

@@ -104,10 +104,17 @@ def scaling_tier(summary: DataFrame, speedup: str = "best_speedup", throughput:
     )
 
 
+def report_rows(results: DataFrame, speedups: DataFrame, summary: DataFrame) -> DataFrame:
+    """The report as rows (section, record as JSON), for tables of any length: nothing is gathered."""
+    parts = (("results", results), ("speedup", speedups), ("summary", summary))
+    rows = [t.select(F.lit(name).alias("section"), F.to_json(F.struct(*t.columns)).alias("record")) for name, t in parts]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 def report_document(results: DataFrame, speedups: DataFrame, summary: DataFrame) -> DataFrame:
     """One nested report row: run results, speedups and the headline figures.
 
-    Inputs are report tables of one row per configuration.
+    Inputs are report tables of a few configurations; ``report_rows`` takes any number.
     """
 
     def rows(frame: DataFrame):

@@ -304,7 +304,9 @@ SELECT product, side, count(*) AS trade_count, {_total('size')} AS total_volume
 SELECT name, workers, {_round('avg_ms', 6)} AS avg_ms, runs, {_round('max_ms', 6)} AS max_ms,
        {_round('min_ms', 6)} AS min_ms, times FROM s""",
     "sink_report_json": f"""{_S}
-SELECT (SELECT count(*) FROM s) AS result_rows, count(*) AS speedup_rows,
+SELECT (SELECT string_agg(r, ' ' ORDER BY r)
+        FROM (SELECT concat_ws(':', name, workers, printf('%.6f', avg_ms)) AS r FROM s)) AS results,
+       (SELECT count(*) FROM s) AS result_rows, count(*) AS speedup_rows,
        {_round('max(speedup)', 6)} AS best_speedup, {_round('max(efficiency)', 6)} AS best_efficiency,
        {_round('min(time_ms)', 6)} AS fastest_time
 FROM p""",

@@ -221,7 +221,11 @@ def sink_report_json(spark, sf_dir):
     report = reports.report_document(results, speedups, summary)
     path = files.write_json(report, scratch_path(spark, "report-json"))
     back = spark.read.schema(report.schema).json(path)
+    shown = F.transform(
+        "results", lambda r: F.concat_ws(":", r["name"], r["workers"].cast("string"), F.format_string("%.6f", r["avg_ms"]))
+    )
     return back.select(
+        F.array_join(F.array_sort(shown), " ").alias("results"),
         F.size("results").cast("long").alias("result_rows"),
         F.size("speedup").cast("long").alias("speedup_rows"),
         *[
