@@ -22,10 +22,16 @@ def label_sample(
         .groupBy("doc_id")
         .agg(F.max(label).alias("label"))
     )
-    order = Window.partitionBy("label").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
+    hashed = F.xxhash64(F.lit(seed), "doc_id")
+    order = Window.partitionBy("label").orderBy(hashed, "doc_id")
     most = F.create_map(*[F.lit(x) for kv in per_class.items() for x in kv])
+    # a share of the hashes that leaves some eight times the sample: one task ranks no more than that
+    counts = dict(known.groupBy(F.col("label").cast("int")).count().collect())
+    share = {k: max(1, counts.get(k, 0) // (8 * n)) for k, n in per_class.items()}
+    thinned = F.create_map(*[F.lit(x) for kv in share.items() for x in kv])
     chosen = (
-        known.withColumn("place", F.row_number().over(order))
+        known.filter(F.pmod(hashed, F.element_at(thinned, F.col("label").cast("int"))) == 0)
+        .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= max(per_class.values()))
         .filter(F.col("place") <= F.element_at(most, F.col("label").cast("int")))
     )

@@ -56,10 +56,14 @@ def default_samples(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         F.substring(F.translate(F.base64(F.unhex(digest)), "+/", "-_"), 1, 32),
     )
     random = docs.sparkSession.range(max(1, s.samples // 4)).select(F.explode(spelled).alias("value"), F.lit(True).alias("random"))
+    hashed = F.xxhash64(F.lit(s.seed), "text")
+    # a share of the hashes that leaves some 64 times the sample: the task that picks sees no more
+    share = max(1, docs.count() // (64 * s.sample_docs))
     chosen = (
         docs.select(text_of("text").alias("text"))
         .filter((F.length("text") > 0) & (F.length("text") <= s.longest))
-        .orderBy(F.xxhash64(F.lit(s.seed), "text"), "text")
+        .filter(F.pmod(hashed, F.lit(share)) == 0)
+        .orderBy(hashed, "text")
         .limit(s.sample_docs)
     )
     word = F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z]{4,30}(?![A-Za-z0-9+/_=-])"), F.lit(0))
