@@ -65,12 +65,15 @@ def same(left: Column, right: Column) -> Column:
 def per_process(key: str, build: Callable[[], object]):
     """What ``build`` makes, once for each Python process: workers keep it from task to task.
 
-    Task functions travel by value, so their own module's globals don't outlive a task.
+    Task functions travel by value, so their own module's globals don't outlive a task. A worker keeps
+    one thing at a time: what another operator asks for takes the place of what was there.
     """
     kept = sys.modules.setdefault("_tickspark_kept", types.ModuleType("_tickspark_kept")).__dict__
-    if key not in kept:
-        kept[key] = build()
-    return kept[key]
+    objects = kept.setdefault("objects", {})
+    if key not in objects:
+        objects.clear()
+        objects[key] = build()
+    return objects[key]
 
 
 class Remembered(dict):

@@ -15,8 +15,8 @@ from .components import components
 
 U64 = np.uint64
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-CACHE_ENTRIES = 200_000
-FLUSH = 1 << 22  # tokens a task holds before it sends them on
+CACHE_ENTRIES = 100_000
+FLUSH = 1 << 21  # tokens a task holds before it sends them on
 BLOCK_BITS = 20  # cells of the count table that are added up together
 KEY_BITS = 40
 SPOT_BITS = 26
