@@ -305,6 +305,32 @@ def test_markov_models_tell_keys_from_names(spark, docs):
     assert min(got[k] for k in keys) > 14 > max(got[k] for k in names)
 
 
+def test_keys_are_found_behind_names_and_beside_base_spans(spark, docs):
+    import random
+
+    rnd = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = lambda n: "".join(rnd.choices(letters, k=n))
+    digest = hashlib.md5(b"x").hexdigest()
+    before = ["", "client_key_value=", "production_database_encryption_key=", "/home/user/settings/service/remote/config/", f"files/{digest}/"]
+    rows = [(b, key(32)) for b in before for _ in range(40)]
+    two = (key(40), key(40))
+    rows += [("AWS_SECRET_ACCESS_KEY=", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"), ("/first/key=", f"{two[0]}/second/key={two[1]}")]
+    plain = ["/home/user/settings/service/remote/config/default/database", "production_database_encryption_key=default_connection_timeout"]
+    texts = [f"see {b}{k} end" for b, k in rows] + plain
+    table = frame(spark, [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)])
+    found, names = secrets.with_spans(table, secrets.train(secrets.default_samples(docs)))
+    got = {r.doc_id: r.spans for r in found.select("doc_id", F.col(names[3]).alias("spans")).collect()}
+    hits = collections.Counter()
+    for i, (b, k) in enumerate(rows[:-1]):
+        start = 4 + len(b)
+        hits[b] += any(x.start <= start and start + len(k) <= x.stop for x in got[i])
+        assert b != before[3] or all(x.start >= start - 12 for x in got[i])
+    assert all(hits[b] >= 39 for b in before) and hits["AWS_SECRET_ACCESS_KEY="] == 1, hits
+    assert [texts[201][x.start : x.stop] for x in got[201]] == list(two)
+    assert not got[202] and not got[203]
+
+
 def test_redaction_leaves_no_base_secret(secret_docs):
     docs, texts = secret_docs
     clean = secrets.redacted(docs)

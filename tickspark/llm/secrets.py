@@ -17,7 +17,8 @@ ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 KINDS = ("assign", "access", "hex", "random")
 # Characters that keys and tokens are written in, and the runs of them that are judged.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+LEAST_RUN = 20
+RUN = rf"[A-Za-z0-9+/_=-]{{{LEAST_RUN},}}"
 SPANS = "array<struct<start:long,rank:int,stop:long>>"
 PLACEHOLDER = "[SECRET]"
 
@@ -134,8 +135,80 @@ def ratio(value: Column, model: list[float]) -> Column:
     )
 
 
-def matched(text: Column, pattern: str, rank: int, part: int, good) -> Column:
-    """Spans of the pattern's leftmost matches that do not overlap and whose group ``part`` is ``good``.
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once for each use of the whole."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _widened(run: Column, start: Column, stop: Column) -> Column:
+    """The stretch without separators at its ends, widened to the separators around it. A rest of
+    the run of at most three characters behind one, and padding, count as part of the key."""
+    part = F.substring(run, start + 1, stop - start)
+    first = start + F.length(F.regexp_extract(part, "^[/_=-]*", 0))
+    last = stop - F.length(F.regexp_extract(F.reverse(part), "^[/_=-]*", 0))
+    ahead = F.reverse(F.substring(run, F.lit(1), first))
+    behind = F.substring(run, last + 1, F.length(run))
+    return F.struct(
+        (first - F.length(F.regexp_extract(ahead, "^[A-Za-z0-9+]*(?:[/_-][A-Za-z0-9+]{0,3}$)?", 0))).alias("start"),
+        (last + F.length(F.regexp_extract(behind, "^[A-Za-z0-9+]*(?:[/_-][A-Za-z0-9+]{0,3}(?==*$))?=*", 0))).alias("stop"),
+    )
+
+
+def stretches(run: Column, model: list[float], s: Settings) -> Column:
+    """Parts of a run that are secrets, as an array of (start, stop) in it.
+
+    One pass over the pairs' ratios, each less ``least_each``: a stretch begins where the sum was
+    lowest and ends where it is highest, and is closed when the sum falls to zero or by ``least``, or
+    at '=', which no key has inside. Names and paths around a key so count neither for nor against it,
+    and a run may hold several. A run without such a stretch is judged as one whole.
+    """
+    table = F.array(*[F.lit(float(x)) for x in model])
+    code = lambda i: F.instr(F.lit(ALPHABET), F.substring(run, i, F.lit(1))) - 1
+    pairs = F.transform(
+        F.sequence(F.lit(1), F.length(run) - 1),
+        lambda i: F.struct(
+            i.alias("at"),
+            F.element_at(table, (code(i) * len(ALPHABET) + code(i + 1) + 1).cast("int")).alias("r"),
+            F.substring(run, i, F.lit(2)).contains("=").alias("cut"),
+        ),
+    )
+    found = "array<struct<start:int,stop:int>>"
+    state = lambda start, sum_, raw, top, top_raw, stop, all_, out: F.struct(
+        start.alias("start"), sum_.alias("sum"), raw.alias("raw"), top.alias("top"), top_raw.alias("top_raw"),
+        stop.alias("stop"), all_.alias("all"), out.alias("out"),
+    )
+    zero, none = F.lit(0.0), F.lit(0)
+    keep = lambda a: F.when(
+        a["top_raw"] >= s.least, F.concat(a["out"], F.array(F.struct(a["start"].alias("start"), a["stop"].alias("stop"))))
+    ).otherwise(a["out"])
+
+    def step(a, p):
+        total, raw = a["sum"] + p["r"] - F.lit(s.least_each), a["raw"] + p["r"]
+        over = p["cut"] | (total <= 0) | (total < a["top"] - F.lit(s.least))
+        closed = state(p["at"], zero, zero, zero, zero, none, a["all"] + p["r"], keep(a))
+        higher = state(a["start"], total, raw, total, raw, p["at"] + 1, a["all"] + p["r"], a["out"])
+        lower = state(a["start"], total, raw, a["top"], a["top_raw"], a["stop"], a["all"] + p["r"], a["out"])
+        return F.when(over, closed).when(total > a["top"], higher).otherwise(lower)
+
+    def finish(a):
+        wide = F.transform(keep(a), lambda x: _widened(run, x["start"], x["stop"]))
+        like_key = lambda x: _let(
+            F.substring(run, x["start"] + 1, x["stop"] - x["start"]),
+            lambda part: (F.length(part) >= LEAST_RUN) & (part.rlike("[0-9+]") | part.rlike("[a-z][A-Z]")),
+        )
+        good = F.array_distinct(F.filter(wide, like_key))
+        whole = F.struct(F.lit(0).alias("start"), F.length(run).alias("stop"))
+        passes = a["all"] >= F.greatest(F.lit(s.least), F.length(run) * F.lit(s.least_each))
+        return _let(good, lambda g: F.when((F.size(g) > 0) | ~passes, g).otherwise(F.array(whole)))
+
+    start = state(none, zero, zero, zero, zero, none, zero, F.array().cast(found))
+    judged = F.aggregate(pairs, start, step, finish)
+    return F.when(run.rlike("[0-9+/=_-]") | run.rlike("[a-z][A-Z]"), judged).otherwise(F.array().cast(found))
+
+
+def matched(text: Column, pattern: str, rank: int, part: int, good=None, inner=None) -> Column:
+    """Spans of the pattern's leftmost matches that do not overlap and whose group ``part`` is ``good``;
+    or, with ``inner``, the spans (start, stop) that it finds in each match.
 
     The text between matches and the matches take turns, so their lengths add up to the positions.
     """
@@ -150,10 +223,13 @@ def matched(text: Column, pattern: str, rank: int, part: int, good) -> Column:
     def step(a, t):
         start = a["at"] + F.length(t["gap"])
         stop = start + F.coalesce(F.length(t["hit"]), F.lit(0))
-        span = F.struct(start.cast("long").alias("start"), F.lit(rank).alias("rank"), stop.cast("long").alias("stop"))
-        ok = t["hit"].isNotNull() & good(t["part"])
+        span = lambda x, y: F.struct(x.cast("long").alias("start"), F.lit(rank).alias("rank"), y.cast("long").alias("stop"))
+        if inner is None:
+            ok, spans = t["hit"].isNotNull() & good(t["part"]), F.array(span(start, stop))
+        else:
+            ok, spans = t["hit"].isNotNull(), F.transform(inner(t["hit"]), lambda x: span(start + x["start"], start + x["stop"]))
         return F.struct(
-            stop.cast("long").alias("at"), F.when(ok, F.concat(a["out"], F.array(span))).otherwise(a["out"]).alias("out")
+            stop.cast("long").alias("at"), F.when(ok, F.concat(a["out"], spans)).otherwise(a["out"]).alias("out")
         )
 
     found = F.aggregate(turns, zero, step, lambda a: a["out"])
@@ -163,7 +239,7 @@ def matched(text: Column, pattern: str, rank: int, part: int, good) -> Column:
 def with_spans(docs: DataFrame, model: list[float], s: Settings = Settings(), text_col: str = "text") -> tuple[DataFrame, list[str]]:
     """``docs`` with arrays of the spans of each kind (code points, end exclusive), and these columns' names.
 
-    A null or empty text has none. Runs that overlap a span of a base kind are not judged again.
+    A null or empty text has none. Runs are judged without what spans of base kinds cover of them.
     """
     names = free_names(docs, *KINDS)
     text = text_of(text_col)
@@ -174,13 +250,26 @@ def with_spans(docs: DataFrame, model: list[float], s: Settings = Settings(), te
         matched(text, ACCESS, 1, 0, longer(ACCESS_LEAST)).alias(names[1]),
         matched(text, HEX, 2, 0, longer(1)).alias(names[2]),
     )
-    judged = lambda run: (run.rlike("[0-9+/=_-]") | run.rlike("[a-z][A-Z]")) & (
-        ratio(run, model) >= F.greatest(F.lit(s.least), F.length(run) * F.lit(s.least_each))
+    known = F.sort_array(F.concat(*[F.col(n) for n in names[:3]]))
+    (rest,) = free_names(base, "rest")
+    base = base.withColumn(rest, F.when(F.size(known) > 0, _blanked(text, known)).otherwise(text))
+    runs = matched(F.col(rest), RUN, 3, 0, inner=lambda run: stretches(run, model, s))
+    return base.select(*docs.columns, *names[:3], runs.alias(names[3])), names
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with blanks in place of the sorted spans, which may overlap."""
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(a, x):
+        gap = F.substring(text, (a["at"] + 1).cast("int"), F.greatest(x["start"] - a["at"], F.lit(0)).cast("int"))
+        blank = F.repeat(F.lit(" "), F.greatest(x["stop"] - F.greatest(a["at"], x["start"]), F.lit(0)).cast("int"))
+        return F.struct(F.greatest(a["at"], x["stop"]).alias("at"), F.concat(a["out"], F.array(gap, blank)).alias("out"))
+
+    rest = lambda a: F.concat(
+        F.array_join(a["out"], ""), F.substring(text, (a["at"] + 1).cast("int"), F.length(text))
     )
-    runs = matched(text, RUN, 3, 0, judged)
-    known = F.concat(*[F.col(n) for n in names[:3]])
-    free = F.filter(runs, lambda r: ~F.exists(known, lambda b: (b["start"] < r["stop"]) & (b["stop"] > r["start"])))
-    return base.select(*docs.columns, *names[:3], free.alias(names[3])), names
+    return F.aggregate(spans, zero, step, rest)
 
 
 def listed(spans: Column) -> Column:
