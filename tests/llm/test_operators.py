@@ -397,6 +397,24 @@ def test_quality_rules(spark):
     assert counted(r.doc_id for r in kept.collect()) == counted(r.doc_id for r in got if r[names[6]])
 
 
+def test_small_groups_are_judged_by_their_own_language(spark):
+    import random
+
+    rnd = random.Random(4)
+    vocab = [f"{a}{b}{c}" for a in "bdglmn" for b in "aeiou" for c in ("st", "ran", "lo", "")]
+    text = lambda times: " ".join(w * times for w in rnd.choices(vocab, k=rnd.randrange(60, 300)))
+    rows = [(i, text(1), "en", f"s{i % 5}", None) for i in range(500)]
+    rows += [(1000 + i, text(3), "th", "s1", None) for i in range(150)]  # one source, long words
+    rows += [(2000 + i, text(3), "lo", f"s{i % 6}", None) for i in range(120)]  # six sources of twenty
+    rows += [(3000 + i, text(1) if i < 100 else text(3), "de", "s1" if i < 100 else "s2", None) for i in range(130)]
+    rows += [(4000 + i, text(3), "km", "s1", None) for i in range(3)]
+    odd = [(5000 + i, text(3) + " ###" * 200, lang, "s1", None) for i, lang in enumerate(("th", "lo", "de"))]
+    found, names = quality_rules.judged(frame(spark, rows + odd))
+    got = {r.doc_id: r[names[6]] for r in found.collect()}
+    assert [i for i in got if i < 5000 and not got[i]] == []
+    assert not any(got[r[0]] for r in odd)
+
+
 def test_minimum_covariance_against_numpy(spark):
     rng = np.random.default_rng(5)
     a = np.array([[1, 0.5, 0, 0], [0, 1, 0.3, 0], [0, 0, 1, 0.2], [0, 0, 0, 1]])

@@ -14,7 +14,10 @@ SYMBOLS = "#*$%&|<>"
 MARKS = "!?@^~{}[]=\\"
 MIN_WORDS = 50
 MAX_REPEATED = 50  # per cent of the words
+#: Groups with fewer rows are drawn towards their language's estimate, the more the fewer they have.
 SMALL_GROUP = 200
+#: Rows that a scatter of four statistics takes.
+LEAST_ROWS = 5
 STEPS = 4
 BINS_PER_UNIT = 16  # bins of the squared distance, per unit of its natural logarithm
 #: Least standard deviation of each transformed statistic: narrower spreads are taken as this wide.
@@ -222,37 +225,81 @@ def minimum_covariance(vectors: DataFrame, group: str, steps: int = STEPS) -> Da
     return (
         chosen.alias("e")
         .join(medians, same(F.col(f"e.{group}"), F.col(f"s.{group}")))
-        .select(f"e.{group}", *MEANS, *[(F.col(i) / scale).alias(i) for i in INVERSE])
+        .select(
+            f"e.{group}",
+            *MEANS,
+            *[(F.col(c) * scale).alias(c) for c in ESTIMATE[4:]],
+            *[(F.col(i) / scale).alias(i) for i in INVERSE],
+        )
     )
 
 
-def _measured(docs: DataFrame, group: Sequence[str]) -> tuple[DataFrame, list[str], str, str]:
-    """``docs`` with statistics, group key and base verdict; names of the statistics, key and verdict."""
-    key, failed = free_names(docs, "group", "base_failed")
+def shrunk(own: DataFrame, weight: str) -> DataFrame:
+    """Estimates of groups, and of what they are drawn to in columns ``to_..``, joined with the group's
+    ``weight`` from 0 to 1: mean and scatter of the mixture of both, whose scatter holds the way
+    between the two means, so that a group far from its language isn't rejected for that."""
+    w = F.col(weight)
+    both = F.col("m0").isNotNull() & F.col("to_m0").isNotNull()
+    mixed = lambda c: F.col(c) * w + F.col(f"to_{c}") * (F.lit(1.0) - w)
+    way = [F.col(f"m{i}") - F.col(f"to_m{i}") for i in range(4)]
+    one = lambda c, value: F.when(both, value).otherwise(F.coalesce(F.col(c), F.col(f"to_{c}"))).alias(c)
+    return with_inverse(
+        own.select(
+            "g",
+            *[one(m, mixed(m)) for m in MEANS],
+            *[one(f"c{i}{j}", mixed(f"c{i}{j}") + w * (F.lit(1.0) - w) * way[i] * way[j]) for i, j in PAIRS],
+        )
+    ).select("g", *MEANS, *INVERSE)
+
+
+def _measured(docs: DataFrame, group: Sequence[str]) -> tuple[DataFrame, list[str], str, str, str]:
+    """``docs`` with statistics, group key, base verdict and the key's first part; names of the
+    statistics and of these three."""
+    key, failed, wide = free_names(docs, "group", "base_failed", "language")
     measured, names = with_statistics(docs)
     parts = [
         F.concat(F.when(F.col(c).isNull(), "-").otherwise("+"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("\x1f"))
         for c in group
     ]
-    return measured.withColumn(key, F.concat(*parts)).withColumn(failed, base_failed(names)), names, key, failed
+    keyed = measured.withColumn(key, F.concat(*parts)).withColumn(wide, parts[0] if parts else F.lit(""))
+    return keyed.withColumn(failed, base_failed(names)), names, key, failed, wide
 
 
-def _estimates(rows: DataFrame, names: list[str], key: str, failed: str, small: int, steps: int) -> DataFrame:
-    """(g, mean and inverse) for each group of the stored ``rows``, learned from what passes the base rules."""
-    learned = rows.filter(~F.col(failed)).select(F.col(key).alias("g"), *[v.alias(f"x{i}") for i, v in enumerate(vector(names))])
-    sizes = stored(learned.groupBy("g").agg(F.count(F.lit(1)).alias("n")), "quality-groups")
-    large = sizes.filter(F.col("n") >= small).select("g")
-    pooled = sizes.filter(F.col("n") < small).agg(F.sum("n")).first()[0] or 0
-    named = learned.join(large.withColumn("own", F.lit(True)), "g", "left").withColumn(
-        "g", F.when(F.col("own"), F.col("g")).otherwise(F.lit("pool"))
+def _estimates(rows: DataFrame, names: list[str], key: str, failed: str, wide: str, small: int, steps: int) -> DataFrame:
+    """(g, mean and inverse) for each group of the stored ``rows``, learned from what passes the base rules.
+
+    Groups of ``small`` rows stand for themselves. Smaller ones are drawn to the estimate of all rows
+    with the same first part of the key, the language; those of under ``LEAST_ROWS`` take that alone.
+    """
+    learned = rows.filter(~F.col(failed)).select(
+        F.col(key).alias("g"), F.col(wide).alias("l"), *[v.alias(f"x{i}") for i, v in enumerate(vector(names))]
+    )
+    counted = learned.groupBy("g", "l").agg(F.count(F.lit(1)).alias("n"))
+    alike = counted.groupBy("l").agg(F.sum("n").alias("of_l"), F.count(F.lit(1)).alias("groups"), F.min("n").alias("least"))
+    # a language is estimated where one of its groups is drawn to it
+    asked = (F.col("least") < small) & (F.col("groups") > 1) & (F.col("of_l") >= LEAST_ROWS)
+    sizes = stored(
+        counted.join(alike, "l").select(
+            "g",
+            "n",
+            F.when(F.col("n") >= LEAST_ROWS, F.concat(F.lit("g"), F.col("g"))).alias("own"),
+            F.when(asked, F.concat(F.lit("l"), F.col("l"))).alias("to"),
+            (F.col("n") < small).alias("drawn"),
+        ),
+        "quality-groups",
     )
-    usable = (F.col("g") != "pool") | F.lit(pooled >= small)
-    vectors = stored(named.select("g", *[f"x{i}" for i in range(4)]).filter(usable), "quality-vectors")
-    estimates = minimum_covariance(vectors, "g", steps).withColumnRenamed("g", "e")
-    return stored(
-        sizes.select("g", F.when(F.col("n") >= small, F.col("g")).otherwise("pool").alias("e")).join(estimates, "e").drop("e"),
-        "quality-estimates",
+    levels = F.filter(F.array("own", "to"), lambda e: e.isNotNull())
+    named = learned.join(sizes.select("g", levels.alias("levels")), "g")
+    vectors = stored(named.select(F.explode("levels").alias("e"), *[f"x{i}" for i in range(4)]), "quality-vectors")
+    estimates = stored(minimum_covariance(vectors, "e", steps).select("e", *ESTIMATE), "quality-levels")
+    to = estimates.select(*[F.col(c).alias(f"to_{c}") for c in estimates.columns])
+    both = (
+        sizes.join(estimates, F.col("own") == F.col("e"), "left")
+        .join(to, F.col("drawn") & (F.col("to") == F.col("to_e")), "left")
+        .filter(F.col("m0").isNotNull() | F.col("to_m0").isNotNull())
+        .withColumn("weight", F.col("n") / F.lit(float(small)))
     )
+    return stored(shrunk(both, "weight"), "quality-estimates")
 
 
 def _with_verdict(rows: DataFrame, table: DataFrame, names: list[str], key: str, failed: str, cutoff: float) -> tuple[DataFrame, str]:
@@ -275,15 +322,17 @@ def judged(
 ) -> tuple[DataFrame, list[str]]:
     """The columns ``keep``, the base statistics, ``base_failed`` and ``kept``; and the names of these seven.
 
-    Estimates are learned per ``group`` from rows that pass the base rules; groups with fewer than
-    ``small`` such rows are pooled, and a pool that is still smaller gives no verdict. A document is
+    Estimates are learned per ``group`` from rows that pass the base rules; those of groups with fewer
+    than ``small`` such rows are drawn to the estimate of the group's first column, the language. With
+    fewer than ``LEAST_ROWS`` such rows in a whole language there is no verdict beside the base rules.
+    Nothing is learned across languages. A document is
     kept if it passes the base rules and its squared distance is at most ``cutoff``. Null texts have no
     words and fail the base rules; nulls in ``group`` form groups; the verdict depends on a row's own
     values and its group, so ids may be null or repeated. No rows give no rows.
     """
-    measured, names, key, failed = _measured(docs, group)
-    rows = stored(measured.select(*keep, *names, key, failed), "quality-rows")
-    table = _estimates(rows, names, key, failed, small, steps)
+    measured, names, key, failed, wide = _measured(docs, group)
+    rows = stored(measured.select(*keep, *names, key, failed, wide), "quality-rows")
+    table = _estimates(rows, names, key, failed, wide, small, steps)
     found, kept = _with_verdict(rows, table, names, key, failed, cutoff)
     return found.select(*keep, *names[:5], failed, kept), [*names[:5], failed, kept]
 
@@ -299,8 +348,8 @@ def kept_documents(
 
     Statistics are computed twice, to learn from and to judge by, which costs less than a copy of the texts.
     """
-    measured, names, key, failed = _measured(docs, group)
-    rows = stored(measured.select(*names, key, failed), "quality-rows")
-    table = _estimates(rows, names, key, failed, small, steps)
+    measured, names, key, failed, wide = _measured(docs, group)
+    rows = stored(measured.select(*names, key, failed, wide), "quality-rows")
+    table = _estimates(rows, names, key, failed, wide, small, steps)
     found, kept = _with_verdict(measured, table, names, key, failed, cutoff)
     return found.filter(F.col(kept)).select(*docs.columns)
