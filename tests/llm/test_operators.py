@@ -209,6 +209,13 @@ def test_few_vectors_are_all_found(spark):
     assert ann.search(table.limit(0)).count() == 0
 
 
+def test_one_longer_vector_leaves_the_others_in(spark):
+    rows = [(i, [float(i + 1), float(-i)]) for i in range(9)] + [(20, [1.0, 2.0, 3.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = ann.search(table, every=1).collect()
+    assert len(found) == 72 and {r.query_id for r in found} == set(range(9))
+
+
 # ---- classifiers --------------------------------------------------------------------------------
 
 

@@ -178,14 +178,15 @@ def _ranked(placed: DataFrame, k: int) -> DataFrame:
 
 def taking_part(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(id, vector) of rows with an id and a finite vector other than zero; of vectors of several
-    lengths the longest length takes part."""
+    lengths those of the length that most rows have take part, the longer of two equally frequent."""
     v = F.col(vec_col)
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     good = vectors.filter(
         F.col(id_col).isNotNull() & v.isNotNull() & ~F.coalesce(F.exists(v, bad), F.lit(True)) & F.exists(v, lambda x: x != 0)
     ).select(F.col(id_col).cast("long").alias("id"), v.alias("vector"))
-    longest = good.agg(F.max(F.size("vector"))).first()[0]
-    return good.filter(F.size("vector") == F.lit(longest))
+    counted = good.groupBy(F.size("vector").alias("length")).agg(F.count(F.lit(1)).alias("n"))
+    usual = counted.agg(F.max(F.struct("n", "length"))["length"]).first()[0]
+    return good.filter(F.size("vector") == F.lit(usual))
 
 
 def search(
