@@ -25,3 +25,39 @@ SELECT page_id,
        CASE WHEN page_id IS DISTINCT FROM first_id AND first_id IS NOT NULL THEN first_id END AS refers_to
 FROM firsts
 """
+
+
+def _clusters(count: int = 40, rounds: int = 5, dims: int = 64) -> str:
+    """Rounds written out one after the other, over integers of any size."""
+    near = """
+near{r} AS MATERIALIZED (
+  SELECT row_no, vec_id, v, list_min(list_transform(cs, lambda x: [
+           list_sum(list_transform(range(1, {dims} + 1), lambda i: (v[i] - x.w[i]) * (v[i] - x.w[i])))::HUGEINT, x.c::HUGEINT])) AS best
+  FROM kept, (SELECT list({{'c': c, 'w': w}} ORDER BY c) AS cs FROM centres{r}))"""
+    moved = """
+parts{r} AS (
+  SELECT best[2]::INT AS c, i, sum(v[i]::HUGEINT)::HUGEINT AS s, count(*)::HUGEINT AS n
+  FROM near{p}, range(1, {dims} + 1) AS t(i) GROUP BY ALL),
+centres{r} AS MATERIALIZED (
+  SELECT o.c, coalesce(m.w, o.w) AS w FROM centres{p} o LEFT JOIN (
+    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS w FROM parts{r} GROUP BY c) m ON o.c = m.c)"""
+    steps = [near.format(r=0, dims=dims)]
+    for r in range(1, rounds + 1):
+        steps += [moved.format(r=r, p=r - 1, dims=dims), near.format(r=r, dims=dims)]
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_no, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v, embedding
+  FROM embeddings
+  WHERE len(embedding) = {dims} AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+centres0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY name, embedding) - 1 AS c, v AS w FROM (
+    SELECT v, embedding, sha256('2:' || coalesce(vec_id::VARCHAR, '')) AS name FROM kept) ORDER BY c LIMIT {count}),
+{','.join(steps)},
+own AS (SELECT best[2] AS c, sum(best[1]) AS inertia FROM near{rounds} GROUP BY ALL)
+SELECT vec_id, best[2]::INT AS cluster, best[1]::BIGINT AS distance, own.inertia::BIGINT AS cluster_inertia,
+       (SELECT sum(inertia) FROM own)::BIGINT AS inertia, sha256(array_to_string(w, ',')) AS centroid_sha256
+FROM near{rounds} JOIN own ON own.c = best[2] JOIN centres{rounds} z ON z.c = best[2]
+"""
+
+
+ORACLE["op13_clusters"] = _clusters()

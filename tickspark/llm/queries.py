@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import ann, bpe, jaccard, mixing, quality_model, quality_rules, secrets, sharding, toxicity, warc
+from . import ann, bpe, jaccard, mixing, pivots, quality_model, quality_rules, runs, secrets, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -109,3 +109,25 @@ def op9_jaccard(spark, sf_dir) -> DataFrame:
 def op10_bpe(spark, sf_dir) -> DataFrame:
     """Round trip of every document through the word BPE."""
     return bpe.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_periodic_runs(spark, sf_dir) -> DataFrame:
+    """Runs of repeated words in every document, a tenth of them with a planted one."""
+    found = runs.periodic_runs(runs.with_planted_runs(table(spark, sf_dir, "documents")))
+    best = found.withColumn("best", runs.strongest(F.col("runs")))
+    listed = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_clusters(spark, sf_dir) -> DataFrame:
+    """Forty clusters of the vectors after five rounds, in exact integers."""
+    return pivots.clusters(table(spark, sf_dir, "embeddings"))
