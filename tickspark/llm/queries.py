@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import ann, bpe, jaccard, mixing, pivots, quality_model, quality_rules, runs, secrets, sharding, toxicity, warc
+from . import ann, bpe, jaccard, mixing, pivots, quality_model, quality_rules, repeats, runs, secrets, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -127,6 +127,20 @@ def op11_periodic_runs(spark, sf_dir) -> DataFrame:
     )
 
 
+@query
+def op12_suffix_dedup(spark, sf_dir) -> DataFrame:
+    """What is left of every document without byte strings of 200 that also start anywhere else."""
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op13_clusters(spark, sf_dir) -> DataFrame:
     """Forty clusters of the vectors after five rounds, in exact integers."""
