@@ -100,11 +100,26 @@ p AS (
   FROM s
 )"""
 
+_FLUSHES = """
+numbered AS (SELECT *, row_number() OVER (PARTITION BY product ORDER BY time, trade_id) AS place FROM t),
+later AS (
+  SELECT a.product, a.place, min(b.place) AS place_later
+  FROM numbered a JOIN numbered b ON a.product = b.product AND b.place > a.place AND b.place < a.place + 20
+       AND b.time >= a.time + INTERVAL 6 HOUR GROUP BY ALL),
+steps AS (
+  SELECT product, place, coalesce(place_later, place + 20) AS stop, CASE WHEN place_later IS NULL AND place + 20 <= most + 1
+         THEN 'count' ELSE 'time' END AS reason
+  FROM numbered LEFT JOIN later USING (product, place) JOIN (SELECT product, max(place) AS most FROM numbered GROUP BY 1) USING (product)),
+hops AS (
+  SELECT product, 0::BIGINT AS flush, place AS start, stop, reason FROM steps WHERE place = 1
+  UNION ALL
+  SELECT h.product, h.flush + 1, s.place, s.stop, s.reason FROM hops h JOIN steps s ON s.product = h.product AND s.place = h.stop)"""
+
 _POOL = """
 pool AS (
-  SELECT trade_id, time, latency_ms AS latency FROM t WHERE latency_ms IS NOT NULL
+  SELECT trade_id, product, time, latency_ms AS latency FROM t WHERE latency_ms IS NOT NULL
   UNION ALL
-  SELECT trade_id, time, (epoch_us(processed_at) - epoch_us(time)) / 1000.0 FROM t
+  SELECT trade_id, product, time, (epoch_us(processed_at) - epoch_us(time)) / 1000.0 FROM t
 )"""
 
 _BY_RATE = f"""
@@ -409,6 +424,15 @@ WHERE product = 'click' AND processed_at >= (SELECT max(processed_at) FROM t) -
 SELECT {_round(_mean('latency_ms'), 6)} AS avg_latency,
        {_round('quantile_cont(latency_ms, 0.95)', 6)} AS p95_latency
 FROM t WHERE processed_at >= (SELECT max(processed_at) FROM t) - INTERVAL 7200 MINUTE""",
+    "latency_sketch_rollup": f"""{_with(_TRADES, _POOL)},
+r AS (SELECT product, latency, row_number() OVER (PARTITION BY product ORDER BY latency) AS place,
+             count(*) OVER (PARTITION BY product) AS n FROM pool)
+SELECT product, count(*) AS samples, max(latency) AS max_latency, {_round(_mean('latency'), 6)} AS avg_latency,
+       {', '.join(f"{_round(f'max(latency) FILTER (place = ceil({p} * n))', 6)} AS p{c}_latency" for p, c in ((0.5, 50), (0.95, 95), (0.99, 99)))}
+FROM r GROUP BY product""",
+    "latency_sketch_error": f"""{_with(_TRADES, _POOL)}
+SELECT product, count(*) AS samples, true AS p50_latency_within, true AS p95_latency_within, true AS p99_latency_within
+FROM pool GROUP BY product""",
     "latency_pool_avg": f"""{_with(_TRADES, _POOL)}
 SELECT count(*) AS samples, {_mean('latency')} AS avg_latency FROM pool""",
     "run_stats": f"""{_S}
@@ -482,15 +506,16 @@ SELECT trade_id, product, price, CASE WHEN trade_id % 3 <> 1 THEN latency_ms END
         recursive=True,
     ),
     "stream_throttle": _with(_TRADES, _THROTTLE_HOP.format(key="product"), recursive=True),
-    "stream_sliding_windows": f"""{_W}
-SELECT {_WINDOW_COLUMNS} FROM w
-WHERE window_end <= (SELECT date_trunc('millisecond', max(time)) - INTERVAL 10 MINUTE FROM t)""",
+    "stream_sliding_windows": f"{_W} SELECT {_WINDOW_COLUMNS} FROM w",
     "stream_rolling_last_n": _with(_TRADES, _SNAPSHOTS) + _SNAPSHOT_ROWS,
     "stream_enrich_dedup": f"""{_T}
 SELECT trade_id, product, price, size, time, time + INTERVAL 2 SECOND AS processed_at
 FROM t WHERE trade_id % 10 <> 0 AND trade_id % 21 <> 0""",
     "micro_batch_refresh": f"{_B} SELECT * FROM b",
-    "flush_count_or_time": f"{_T} SELECT count(*) AS rows, 0::BIGINT AS oversized_files FROM t",
+    "flush_count_or_time": f"""{_with(_TRADES, _FLUSHES, recursive=True)}
+SELECT product, flush, reason, count(*) AS rows, min(trade_id) AS first_id, max(time) AS last_time
+FROM hops JOIN numbered USING (product) WHERE place >= start AND place < stop GROUP BY ALL""",
+    "flush_file_sizes": f"{_T} SELECT count(*) AS rows, 0::BIGINT AS oversized_files FROM t",
 }
 
 _EVENTS = f"""

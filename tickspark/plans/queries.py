@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.numeric import format_money, format_volume, round_half_up
-from ..operators import batch, dedup, fleet, holdoff, merged, quality, recent, reports, windows
+from ..operators import batch, dedup, fleet, holdoff, merged, quality, recent, reports, sketches, windows
 from ..schema import BATCH_SUMMARY, EVENT_PRICE_BOUNDS as BOUNDS, TRADE, read_trades
 from ..session import ROCKSDB_PROVIDER, scratch_path
 from ..sinks import appended, files
 from ..sources import catalog, feed, stores
-from ..streaming import feeds, flows, state
+from ..streaming import feeds, flows, flush, state
 
 # Parameters of the registered queries, sized to the event rate of the given tables.
 HOUR, DAY = 3600, 86_400
@@ -20,6 +21,7 @@ SNAPSHOT_N = 10
 SLIDE = 600
 THROTTLE_SECONDS = 300
 FLUSH_ROWS = 5_000  # the stock 100 rows per file would drown large tables in files
+FLUSH_BATCH, FLUSH_HOURS = 20, 6  # so that the given event rate closes batches by count and by time
 ALERTS = fleet.AlertRule(
     high=60.0, low=45.0, min_level=1, max_level=3, hold=7200.0, cooldown=10800.0, up_delay=16.0, down_delay=1.0
 )
@@ -75,6 +77,16 @@ def stored(spark, stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def closed(spark, sf_dir, flow, span: int) -> DataFrame:
+    """Run a stream of all trades to its end, let ``span`` seconds and the usual delay pass, read what it wrote."""
+    last = read_trades(spark, sf_dir).agg(F.max("time")).first()[0]
+    stream, out = event_stream(spark, sf_dir), scratch_path(spark, "stream-out")
+    start = lambda m: flow(stream, m).writeStream.format("parquet").outputMode("append").option("path", out)
+    if last is not None:
+        feeds.run_and_close(spark, start, last + timedelta(seconds=span + DAY))
+    return spark.read.schema(flow(stream, None).schema).parquet(out)
+
+
 def stateful(spark) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
 
@@ -487,6 +499,28 @@ def latency_avg_p95(spark, sf_dir):
     return found.select(*[round_half_up(F.col(c), 6).alias(c) for c in ("avg_latency", "p95_latency")])
 
 
+@query
+def latency_sketch_rollup(spark, sf_dir):
+    """Latency percentiles per product from sketches that micro-batches stored per day."""
+    out = scratch_path(spark, "sketches")
+    feeds.run_available(spark, event_stream(spark, sf_dir).writeStream.foreachBatch(appended.put_sketches(out)))
+    found = sketches.sketched_percentiles(sketches.merge_sketches(stores.read_appended(spark, out), "product"))
+    return found.select(
+        "product", "samples", "max_latency", *[round_half_up(F.col(c), 6).alias(c) for c in ("avg_latency", *sketches.TAILS)]
+    )
+
+
+@query
+def latency_sketch_error(spark, sf_dir):
+    """Whether the percentiles of small sketches, merged over days, have the rank their error bound allows."""
+    trades, k = read_trades(spark, sf_dir), 200
+    merged = sketches.merge_sketches(sketches.latency_sketches(trades, k), "product", k=k)
+    errors = sketches.rank_errors(trades, sketches.sketched_percentiles(merged))
+    # the bound holds at 99 % confidence; three times it practically always
+    within = [(F.col(c) <= 3 * sketches.rank_error(k)).alias(f"{c}_within") for c in sketches.TAILS]
+    return errors.select("product", "samples", *within)
+
+
 @query
 def latency_pool_avg(spark, sf_dir):
     return recent.latency_pool_avg(read_trades(spark, sf_dir))
@@ -687,7 +721,7 @@ def stream_throttle_all(spark, sf_dir):
 
 @query
 def stream_sliding_windows(spark, sf_dir):
-    return stored(spark, flows.stream_sliding_windows(event_stream(spark, sf_dir), HOUR, SLIDE))
+    return closed(spark, sf_dir, lambda s, m: flows.stream_sliding_windows(s, HOUR, SLIDE, marks=m), HOUR)
 
 
 @query
@@ -728,6 +762,17 @@ def micro_batch_refresh(spark, sf_dir):
 
 @query
 def flush_count_or_time(spark, sf_dir):
+    """Batches of at most FLUSH_BATCH trades or FLUSH_HOURS, with the reason why each was closed."""
+    stateful(spark)
+    span = FLUSH_HOURS * HOUR
+    rows = closed(spark, sf_dir, lambda s, m: flush.flush_count_or_time(s, FLUSH_BATCH, span, marks=m), span)
+    return rows.groupBy("product", "flush", "reason").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("trade_id").alias("first_id"), F.max("time").alias("last_time")
+    )
+
+
+@query
+def flush_file_sizes(spark, sf_dir):
     out = scratch_path(spark, "flush")
     feeds.run_available(spark, feeds.raw_batches(event_stream(spark, sf_dir), out, FLUSH_ROWS))
     files_read = spark.read.schema("trade_id long").json(out).groupBy(F.input_file_name().alias("file"))

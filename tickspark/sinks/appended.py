@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.batch import product_partials, valid_trades
 from ..operators.dedup import dedup_by_trade_id
+from ..operators.sketches import SKETCH_K, latency_sketches
 from ..schema import OTHER_PRICE_CAP, PRICE_BOUNDS
 
 
@@ -47,3 +48,12 @@ def put_partials(
         _put(product_partials(valid_trades(batch, bounds, cap)), path, batch_id)
 
     return write
+
+
+def put_sketches(path: str, k: int = SKETCH_K) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer of latency sketches per product and day."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _put(latency_sketches(batch, k), path, batch_id)
+
+    return write

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -103,3 +106,39 @@ def run_available(spark: SparkSession, writer: DataStreamWriter, checkpoint: str
     )
     query.awaitTermination()
     return query
+
+
+def clock_marks(spark: SparkSession, folder: str) -> DataFrame:
+    """Times put into ``folder`` by :func:`put_clock_mark`, as a stream."""
+    store = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(store)
+    return spark.readStream.schema("time timestamp").parquet(folder)
+
+
+def put_clock_mark(spark: SparkSession, folder: str, at: datetime) -> None:
+    spark.createDataFrame([(at,)], "time timestamp").coalesce(1).write.mode("append").parquet(folder)
+
+
+def with_clock(trades: DataFrame, delay: str, marks: DataFrame | None = None, key: str = "product") -> DataFrame:
+    """The stream behind a watermark that also follows ``marks``, rows that have nothing but a time.
+
+    They count in nothing, but bring a stream that has ended, or is idle, to a close. ``trades`` have a key
+    already: tests of the key that come later would move ahead of the watermark and take the marks away,
+    which this one, as it names the time, does not.
+    """
+    if marks is None:
+        return trades.withWatermark("time", delay)
+    timed = trades.unionByName(marks, allowMissingColumns=True).withWatermark("time", delay)
+    return timed.filter(F.col(key).isNotNull() | F.col("time").isNull())
+
+
+def run_and_close(spark: SparkSession, start: Callable[[DataFrame], DataStreamWriter], at: datetime) -> StreamingQuery:
+    """Process what is there, then let the clock pass ``at`` and process what that closes.
+
+    ``start`` makes the stream's writer, given the marks of its clock; both runs share a checkpoint.
+    """
+    folder, checkpoint = scratch_path(spark, "clock"), scratch_path(spark, "stream")
+    marks = clock_marks(spark, folder)
+    run_available(spark, start(marks), checkpoint)
+    put_clock_mark(spark, folder, at)
+    return run_available(spark, start(marks), checkpoint)

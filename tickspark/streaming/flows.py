@@ -6,15 +6,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.quality import require_product, split_rejects, stamp_processed, type_trades, usable_for_windows
 from ..operators.windows import SLOT_SECONDS, WINDOW_SECONDS, finish_windows, window_stats
+from .feeds import with_clock
 
 
 def stream_sliding_windows(
-    trades: DataFrame, size: int = WINDOW_SECONDS, slide: int = SLOT_SECONDS, delay: str = "10 minutes"
+    trades: DataFrame,
+    size: int = WINDOW_SECONDS,
+    slide: int = SLOT_SECONDS,
+    delay: str = "10 minutes",
+    marks: DataFrame | None = None,
 ) -> DataFrame:
-    """Sliding window summaries of a stream. Rows later than ``delay`` no longer count."""
+    """Sliding window summaries of a stream. Rows later than ``delay`` no longer count.
+
+    With append output a window comes once the watermark has passed its end; ``feeds.run_and_close`` lets it
+    pass the last ones. ``sinks.appended.put_windows_and_late`` keeps what comes too late.
+    """
     grouped = (
-        usable_for_windows(trades)
-        .withWatermark("time", delay)
+        with_clock(usable_for_windows(trades), delay, marks)
         .groupBy("product", F.window("time", f"{size} seconds", f"{slide} seconds").alias("w"))
         .agg(*window_stats())
     )
