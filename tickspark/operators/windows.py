@@ -13,6 +13,7 @@ from ..functions.numeric import (
     SMALLEST_REGULAR,
     SUM_SCALE,
     exact_total,
+    finite,
     join_parts,
     joined_total,
     odd_total,
@@ -297,6 +298,46 @@ def finish_windows(stats: DataFrame, start: Column, end: Column) -> DataFrame:
     )
 
 
+def panes_of(trades: DataFrame, size: int, slide: int, at: str = "time") -> DataFrame:
+    """Mergeable statistics per product and pane, the stretch of time that no window cuts."""
+    rows, _ = _panes(trades, size, slide, at)
+    return rows.groupBy("product", "pane_no").agg(*window_stats())
+
+
+def merge_panes(panes: DataFrame, size: int, slide: int, closed_until: Column | None = None) -> DataFrame:
+    """Window summaries from panes of any split of the trades.
+
+    A pane leaves out windows that end at or before its ``closed_until``, in microseconds, if that is given.
+    """
+    spread = panes.withColumn("start", _window_starts(size, slide, gcd(size, slide)))
+    if closed_until is not None:
+        spread = spread.filter(F.coalesce((F.col("start") + size) * 1_000_000 > closed_until, F.lit(True)))
+    merged = spread.groupBy("product", "start").agg(
+        F.sum("trade_count").alias("trade_count"),
+        F.sum("price_total").alias("price_total"),
+        F.sum("price_odd").alias("price_odd"),
+        F.max("max_price").alias("max_price"),
+        F.min("min_price").alias("min_price"),
+        F.sum("size_total").alias("size_total"),
+        F.sum("size_odd").alias("size_odd"),
+        F.sum("buy_count").alias("buy_count"),
+        F.sum("sell_count").alias("sell_count"),
+    )
+    return finish_windows(
+        merged, F.timestamp_seconds("start"), F.timestamp_seconds(F.col("start") + F.lit(size))
+    )
+
+
+def windows_closed_by(trades: DataFrame, size: int, slide: int, until: Column, at: str = "time") -> Column:
+    """How many of a trade's windows end at or before ``until`` (microseconds); 0 for a trade no window can use."""
+    last = F.floor(F.unix_micros(at) / F.lit(slide * 1_000_000))  # number of the last window with this time
+    first = F.floor((F.unix_micros(at) - F.lit(size * 1_000_000)) / F.lit(slide * 1_000_000)) + 1
+    ended = F.floor((until - F.lit(size * 1_000_000)) / F.lit(slide * 1_000_000))  # of the last one that is over
+    usable = F.coalesce((F.length("product") > 0) & finite("price") & finite("size"), F.lit(False))
+    missed = F.greatest(F.lit(0), F.least(last, ended) - first + 1)
+    return F.when(usable & until.isNotNull() & F.col(at).isNotNull(), missed).otherwise(0).cast("long")
+
+
 def sliding_window_summary(
     trades: DataFrame, size: int = WINDOW_SECONDS, slide: int = SLOT_SECONDS, at: str = "time"
 ) -> DataFrame:
@@ -305,26 +346,7 @@ def sliding_window_summary(
     Trades are summed into panes first and the panes into windows, so each trade is shuffled at
     most once however many windows overlap it.
     """
-    rows, pane = _panes(trades, size, slide, at)
-    panes = rows.groupBy("product", "pane_no").agg(*window_stats())
-    merged = (
-        panes.withColumn("start", _window_starts(size, slide, pane))
-        .groupBy("product", "start")
-        .agg(
-            F.sum("trade_count").alias("trade_count"),
-            F.sum("price_total").alias("price_total"),
-            F.sum("price_odd").alias("price_odd"),
-            F.max("max_price").alias("max_price"),
-            F.min("min_price").alias("min_price"),
-            F.sum("size_total").alias("size_total"),
-            F.sum("size_odd").alias("size_odd"),
-            F.sum("buy_count").alias("buy_count"),
-            F.sum("sell_count").alias("sell_count"),
-        )
-    )
-    return finish_windows(
-        merged, F.timestamp_seconds("start"), F.timestamp_seconds(F.col("start") + F.lit(size))
-    )
+    return merge_panes(panes_of(trades, size, slide, at), size, slide)
 
 
 def top_k_trades_per_window(

@@ -64,6 +64,21 @@ w AS (
   FROM e GROUP BY window_start, product
 )"""
 
+_LATE = """
+arrived AS (
+  SELECT *, (row_number() OVER (PARTITION BY trade_id % 10 = 0 ORDER BY time, trade_id) - 1) // 4000 AS poll FROM t),
+clocks AS (SELECT poll, max(time) AS newest FROM arrived GROUP BY poll),
+until AS (
+  SELECT p.poll, max(c.newest) - INTERVAL 1 DAY AS closed
+  FROM (SELECT DISTINCT poll FROM arrived) p LEFT JOIN clocks c ON c.poll < p.poll GROUP BY p.poll)"""
+
+
+def _late_windows() -> str:
+    apart = _WINDOWS.replace("FROM t, range(6)", "FROM (SELECT * FROM arrived JOIN until USING (poll)) t, range(6)")
+    kept = "FROM e WHERE coalesce(window_start + INTERVAL 1 HOUR > closed, true) GROUP"
+    return _LATE + "," + apart.replace("FROM e GROUP", kept)
+
+
 _NEWEST_WINDOWS = """
 l AS (
   SELECT w.*, row_number() OVER (PARTITION BY product ORDER BY window_start DESC) AS recency FROM w
@@ -507,6 +522,22 @@ SELECT trade_id, product, price, CASE WHEN trade_id % 3 <> 1 THEN latency_ms END
     ),
     "stream_throttle": _with(_TRADES, _THROTTLE_HOP.format(key="product"), recursive=True),
     "stream_sliding_windows": f"{_W} SELECT {_WINDOW_COLUMNS} FROM w",
+    "stream_windows_and_late": f"""{_with(_TRADES, _late_windows())}
+SELECT {_WINDOW_COLUMNS} FROM w WHERE window_end <= (SELECT max(time) - INTERVAL 1 DAY FROM t)""",
+    "stream_late_rows": f"""{_with(_TRADES, _late_windows())}
+SELECT product, trade_id, time, count(*) AS missed
+FROM e WHERE window_start + INTERVAL 1 HOUR <= closed GROUP BY ALL""",
+    "stream_shard_polls": f"""{_T},
+numbered AS (
+  SELECT *, trade_id % 16 AS shard, row_number() OVER (PARTITION BY trade_id % 16 ORDER BY time, trade_id) - 1 AS number FROM t),
+start AS (SELECT shard, least(count(*), (SELECT count(*) // 32 FROM t)) AS first_number FROM numbered GROUP BY shard)
+SELECT shard, number, trade_id, price, (number - first_number) // 200 AS poll
+FROM numbered JOIN start USING (shard) WHERE number >= first_number""",
+    "stream_dead_letters": f"""{_T}
+SELECT CAST(trade_id AS VARCHAR) AS trade_id, CASE WHEN trade_id % 10 <> 0 THEN product END AS product,
+       CASE WHEN trade_id % 21 = 0 THEN 'broken' ELSE CAST(price AS VARCHAR) END AS price,
+       CASE WHEN trade_id % 21 = 0 THEN 'price is not a number' ELSE 'product is missing' END AS reason, 2::BIGINT AS records
+FROM t WHERE trade_id % 10 = 0 OR trade_id % 21 = 0""",
     "stream_rolling_last_n": _with(_TRADES, _SNAPSHOTS) + _SNAPSHOT_ROWS,
     "stream_enrich_dedup": f"""{_T}
 SELECT trade_id, product, price, size, time, time + INTERVAL 2 SECOND AS processed_at

@@ -6,14 +6,15 @@ from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.numeric import format_money, format_volume, round_half_up
 from ..operators import batch, dedup, fleet, holdoff, merged, quality, recent, reports, sketches, windows
 from ..schema import BATCH_SUMMARY, EVENT_PRICE_BOUNDS as BOUNDS, TRADE, read_trades
 from ..session import ROCKSDB_PROVIDER, scratch_path
 from ..sinks import appended, files
-from ..sources import catalog, feed, stores
-from ..streaming import feeds, flows, flush, state
+from ..sources import catalog, feed, shards, stores
+from ..streaming import batches, feeds, flows, flush, state
 
 # Parameters of the registered queries, sized to the event rate of the given tables.
 HOUR, DAY = 3600, 86_400
@@ -21,6 +22,8 @@ SNAPSHOT_N = 10
 SLIDE = 600
 THROTTLE_SECONDS = 300
 FLUSH_ROWS = 5_000  # the stock 100 rows per file would drown large tables in files
+POLL_ROWS = 4_000  # records a poll takes from a shard; the stock 100 would need many polls over large tables
+SHARD_ROWS = 200
 FLUSH_BATCH, FLUSH_HOURS = 20, 6  # so that the given event rate closes batches by count and by time
 ALERTS = fleet.AlertRule(
     high=60.0, low=45.0, min_level=1, max_level=3, hold=7200.0, cooldown=10800.0, up_delay=16.0, down_delay=1.0
@@ -87,6 +90,27 @@ def closed(spark, sf_dir, flow, span: int) -> DataFrame:
     return spark.read.schema(flow(stream, None).schema).parquet(out)
 
 
+def run_polls(spark, rows: DataFrame, start, limit: int = POLL_ROWS) -> None:
+    """Write numbered rows as shards and run a stream over them from their first record, ``limit`` a poll and shard."""
+    path = shards.write_shards(rows, scratch_path(spark, "shards"), limit)
+    stream = shards.stream_shards(spark, path, TRADE, scratch_path(spark, "progress"), "earliest", limit, limit)
+    writer = start(stream.drop("shard", "number"))
+    feeds.run_drained(writer.option("checkpointLocation", scratch_path(spark, "stream")))
+
+
+def halves(spark, sf_dir) -> DataFrame:
+    """All trades in one shard, so that polls come in order of time."""
+    return shards.numbered(read_trades(spark, sf_dir), F.lit(0), "time", "trade_id")
+
+
+def late_windows(spark, sf_dir) -> str:
+    """Run windows over two shards of which one has a tenth of the trades: its clock runs ahead of the other's."""
+    rows = shards.numbered(read_trades(spark, sf_dir), F.when(nth(10), 0).otherwise(1), "time", "trade_id")
+    out = scratch_path(spark, "late-windows")
+    run_polls(spark, rows, lambda s: s.writeStream.foreachBatch(batches.put_windows_and_late(out, HOUR, SLIDE, DAY)))
+    return out
+
+
 def stateful(spark) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
 
@@ -714,9 +738,10 @@ def stream_throttle(spark, sf_dir):
 
 @query
 def stream_throttle_all(spark, sf_dir):
-    stateful(spark)
-    kept = stored(spark, state.stream_throttle(event_stream(spark, sf_dir), THROTTLE_SECONDS, key=None))
-    return kept.select("product", "trade_id", "time")
+    """One clock for all products, over polls of one shard."""
+    out = scratch_path(spark, "throttled")
+    run_polls(spark, halves(spark, sf_dir), lambda s: s.writeStream.foreachBatch(batches.put_throttled(out, THROTTLE_SECONDS)))
+    return stores.read_appended(spark, f"{out}/kept", TRADE).select("product", "trade_id", "time")
 
 
 @query
@@ -724,6 +749,37 @@ def stream_sliding_windows(spark, sf_dir):
     return closed(spark, sf_dir, lambda s, m: flows.stream_sliding_windows(s, HOUR, SLIDE, marks=m), HOUR)
 
 
+@query
+def stream_windows_and_late(spark, sf_dir):
+    """Windows of a stream whose shards run apart, with the trades that came too late for them."""
+    path = late_windows(spark, sf_dir)
+    return batches.read_windows(spark, path, HOUR, SLIDE, DAY, closed=True)
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    late = batches.read_late(spark, late_windows(spark, sf_dir), TRADE)
+    return late.select("product", "trade_id", "time", "missed")
+
+
+@query
+def stream_shard_polls(spark, sf_dir):
+    """Records written after a stream has started at the end of every shard, and the poll each came with."""
+    trades = read_trades(spark, sf_dir)
+    rows = shards.numbered(trades, F.col("trade_id") % 16, "time", "trade_id")
+    half = F.col("number") < F.lit(trades.count() // 32)
+    path, progress, out = (scratch_path(spark, n) for n in ("shards", "progress", "polls"))
+    checkpoint, found = scratch_path(spark, "stream"), StructType([*TRADE.fields, *shards.PLACE])
+    write = lambda b, n: appended.put(b, out, n)
+    for part in (rows.filter(half), rows.filter(~half)):  # the second run goes on where the first one stopped
+        shards.write_shards(part, path)
+        stream = shards.stream_shards(spark, path, TRADE, progress, "latest", SHARD_ROWS)
+        feeds.run_drained(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
+    polls = stores.read_appended(spark, out, found)
+    first = polls.agg(F.min("batch_id")).first()[0]
+    return polls.select("shard", "number", "trade_id", "price", (F.col("batch_id") - F.lit(first)).cast("long").alias("poll"))
+
+
 @query
 def stream_rolling_last_n(spark, sf_dir):
     stateful(spark)
@@ -732,8 +788,8 @@ def stream_rolling_last_n(spark, sf_dir):
     )
 
 
-@query
-def stream_enrich_dedup(spark, sf_dir):
+def enriched(spark, sf_dir) -> str:
+    """Run a stream of text records, each twice and some broken, into trades and dead letters."""
     stream = event_stream(spark, sf_dir)
     raw = stream.select(
         F.col("trade_id").cast("string").alias("trade_id"),
@@ -746,10 +802,23 @@ def stream_enrich_dedup(spark, sf_dir):
         F.col("latency_ms").cast("string").alias("latency_ms"),
         F.lit(None).cast("string").alias("_corrupt_record"),
     )
-    good, _ = flows.enrich(raw.union(raw), stamp=F.col("time") + F.expr("INTERVAL 2 SECONDS"))
-    return stored(spark, flows.dedup_stream(good)).select(
-        "trade_id", "product", "price", "size", "time", "processed_at"
-    )
+    out = scratch_path(spark, "enriched")
+    write = batches.put_enriched(out, F.col("time") + F.expr("INTERVAL 2 SECONDS"))
+    feeds.run_available(spark, raw.union(raw).writeStream.foreachBatch(write))
+    return out
+
+
+@query
+def stream_enrich_dedup(spark, sf_dir):
+    good = stores.read_appended(spark, f"{enriched(spark, sf_dir)}/good", TRADE)
+    return batches.first_arrivals(good).select("trade_id", "product", "price", "size", "time", "processed_at")
+
+
+@query
+def stream_dead_letters(spark, sf_dir):
+    """What the same stream could not use, as it came, with the reason."""
+    letters = spark.read.parquet(f"{enriched(spark, sf_dir)}/rejects")
+    return letters.groupBy("trade_id", "product", "price", "reason").agg(F.count(F.lit(1)).alias("records"))
 
 
 @query

@@ -17,7 +17,8 @@ from ..operators.sketches import SKETCH_K, latency_sketches
 from ..schema import OTHER_PRICE_CAP, PRICE_BOUNDS
 
 
-def _put(frame: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
+def put(frame: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
+    """Write a batch's own folder of a store, in place of what an earlier try left there."""
     frame.write.mode("overwrite").partitionBy(*partitions).parquet(f"{path}/batch_id={batch_id}")
 
 
@@ -25,7 +26,7 @@ def upsert_trades(path: str, key=("product", "trade_id")) -> Callable[[DataFrame
     """foreachBatch writer of the keyed trade store."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _put(dedup_by_trade_id(batch, key), path, batch_id)
+        put(dedup_by_trade_id(batch, key), path, batch_id)
 
     return write
 
@@ -34,7 +35,7 @@ def put_windows(path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch writer of window summaries, laid out by product."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _put(batch, path, batch_id, "product")
+        put(batch, path, batch_id, "product")
 
     return write
 
@@ -45,7 +46,7 @@ def put_partials(
     """foreachBatch writer of per-product partial sums; history is never read again."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _put(product_partials(valid_trades(batch, bounds, cap)), path, batch_id)
+        put(product_partials(valid_trades(batch, bounds, cap)), path, batch_id)
 
     return write
 
@@ -54,6 +55,6 @@ def put_sketches(path: str, k: int = SKETCH_K) -> Callable[[DataFrame, int], Non
     """foreachBatch writer of latency sketches per product and day."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _put(latency_sketches(batch, k), path, batch_id)
+        put(latency_sketches(batch, k), path, batch_id)
 
     return write

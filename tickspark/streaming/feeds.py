@@ -108,6 +108,16 @@ def run_available(spark: SparkSession, writer: DataStreamWriter, checkpoint: str
     return query
 
 
+def run_drained(writer: DataStreamWriter) -> StreamingQuery:
+    """Poll until nothing is left, then stop: for sources that bound each poll themselves."""
+    query = writer.trigger(processingTime="0 seconds").start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
+
+
 def clock_marks(spark: SparkSession, folder: str) -> DataFrame:
     """Times put into ``folder`` by :func:`put_clock_mark`, as a stream."""
     store = spark._jvm.org.apache.hadoop.fs.Path(folder)

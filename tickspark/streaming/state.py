@@ -27,6 +27,7 @@ from ..operators.windows import (
     _snapshot_block,
     label_snapshots,
 )
+from .feeds import with_clock
 
 
 def _gather(parts: Iterator[pd.DataFrame]) -> pd.DataFrame:
@@ -53,18 +54,17 @@ class MinGap(StatefulProcessor):
         kept = kept_positions(us, np.full(len(us), self.hold), ready)
         if kept:
             self.ready.update((int(us[kept[-1]] + self.hold),))
-            yield batch.iloc[kept].drop(columns=["us", "_all"], errors="ignore")
+            yield batch.iloc[kept].drop(columns=["us"])
 
     def close(self) -> None:
         pass
 
 
-def stream_throttle(trades: DataFrame, seconds: float = 1.0, key: str | None = "product") -> DataFrame:
-    """Streaming form of ``throttle_min_gap``. ``key=None`` runs one clock for all products, in one task."""
+def stream_throttle(trades: DataFrame, seconds: float = 1.0, key: str = "product") -> DataFrame:
+    """Streaming form of ``throttle_min_gap`` per key; ``batches.put_throttled`` has one clock for all."""
     hold = round(seconds * 1_000_000)
     rows = trades.filter(F.col("time").isNotNull()).withColumn("us", F.unix_micros("time"))
-    keyed = rows.groupBy(key) if key else rows.withColumn("_all", F.lit(0)).groupBy("_all")
-    return keyed.transformWithStateInPandas(
+    return rows.groupBy(key).transformWithStateInPandas(
         MinGap(hold), trades.schema, outputMode="Append", timeMode="None"
     )
 
@@ -73,38 +73,76 @@ _TAIL = "us long, time_us long, trade_id long, slot_no long, price double, size
 _TAIL_COLUMNS = [part.strip().split()[0] for part in _TAIL.split(",")]
 
 
+_CHUNK = "rows long, " + ", ".join(
+    f"{n} array<{t}>" for n, t in (part.strip().split() for part in _TAIL.split(","))
+)
+
+
 class LastN(StatefulProcessor):
-    """Last-n snapshots: the previous n - 1 trades and the last slot that emitted."""
+    """Last-n snapshots: the previous n - 1 trades and the last slot that emitted.
 
-    def __init__(self, n: int, top_k: int):
-        self.n, self.top_k = n, top_k
+    Trades are kept in chunks, one for what each micro-batch brought. A batch writes its own chunk and
+    removes those that n - 1 later trades have pushed out, so writes follow the batch and not n. With
+    ``idle`` (seconds of event time) a timer forgets a product that has had no trade for so long.
+    """
+
+    def __init__(self, n: int, top_k: int, idle: float | None = None):
+        self.n, self.top_k, self.idle = n, top_k, idle
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.tail = handle.getListState("tail", _TAIL)
-        self.slot = handle.getValueState("slot", "slot long")
+        self.handle = handle
+        self.chunks = handle.getMapState("chunks", "chunk long", _CHUNK)
+        self.mark = handle.getValueState("mark", "first long, next long, slot long, timer long")
+
+    def _before(self, first: int, following: int) -> tuple[pd.DataFrame, list[int]]:
+        frames, sizes = [], []
+        for number in range(first, following):
+            rows, *columns = self.chunks.getValue((number,))
+            sizes.append(int(rows))
+            frames.append(pd.DataFrame(dict(zip(_TAIL_COLUMNS, map(list, columns)))))
+        return (pd.concat(frames, ignore_index=True) if frames else pd.DataFrame()), sizes
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = _gather(rows)
         if not len(batch):
             return
         product = key[0]
-        held = [tuple(r) for r in self.tail.get()] if self.tail.exists() else []
-        before = pd.DataFrame(held, columns=_TAIL_COLUMNS)
+        first, following, last, timer = self.mark.get() if self.mark.exists() else (0, 0, NEVER, 0)
+        before, sizes = self._before(first, following)
+        batch = batch.sort_values(["us", "trade_id"], kind="stable", ignore_index=True)
         before["halo"] = True
         batch["halo"] = False
         both = pd.concat([before, batch], ignore_index=True) if len(before) else batch
         both["product"] = product
-        last = self.slot.get()[0] if self.slot.exists() else NEVER
         found = _snapshot_block(self.n, self.top_k)(both)
         found = found[found["slot_no"] > last]
-        both = both.sort_values(["us", "trade_id"], kind="stable", ignore_index=True)
-        if self.n > 1:
-            keep = both.tail(self.n - 1)[_TAIL_COLUMNS]
-            self.tail.put([tuple(r) for r in keep.itertuples(index=False, name=None)])
-        self.slot.update((int(max(last, both["slot_no"].max())),))
+        keep = batch.tail(self.n - 1)[_TAIL_COLUMNS] if self.n > 1 else batch.head(0)
+        if len(keep):
+            self.chunks.updateValue((following,), (len(keep), *[keep[c].tolist() for c in _TAIL_COLUMNS]))
+            sizes.append(len(keep))
+            following += 1
+        held = sum(sizes)
+        while sizes and held - sizes[0] >= self.n - 1:
+            held -= sizes.pop(0)
+            self.chunks.removeKey((first,))
+            first += 1
+        if self.idle is not None:
+            if timer:
+                self.handle.deleteTimer(timer)
+            timer = max(int(batch["time_us"].max()) // 1000, timerValues.getCurrentWatermarkInMs()) + round(self.idle * 1000)
+            self.handle.registerTimer(timer)
+        self.mark.update((int(first), int(following), int(max(last, both["slot_no"].max())), int(timer)))
         if len(found):
             yield found
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        first, following, slot, timer = self.mark.get() if self.mark.exists() else (0, 0, NEVER, 0)
+        if timer and timer <= timerValues.getCurrentWatermarkInMs():
+            for number in range(first, following):
+                self.chunks.removeKey((number,))
+            self.mark.clear()
+        return iter(())
+
     def close(self) -> None:
         pass
 
@@ -115,11 +153,24 @@ def stream_rolling_last_n(
     slot_seconds: int = SLOT_SECONDS,
     label_seconds: int = WINDOW_SECONDS,
     top_k: int = TOP_TRADES,
+    idle_seconds: float | None = None,
+    delay: str = "10 minutes",
+    marks: DataFrame | None = None,
 ) -> DataFrame:
-    """Streaming form of ``rolling_last_n_snapshot``; slots already emitted stay as they are."""
-    rows = _arrivals(trades, slot_seconds).select("product", *_TAIL_COLUMNS)
+    """Streaming form of ``rolling_last_n_snapshot``; slots already emitted stay as they are.
+
+    State is the last trades of each product. With ``idle_seconds`` that of a product without a trade for so
+    long is dropped once the watermark, ``delay`` behind the newest trade, has seen it; it starts afresh.
+    """
+    usable = _arrivals(trades, slot_seconds)
+    columns = ["product", *_TAIL_COLUMNS]
+    if idle_seconds is None:
+        rows, mode = usable.select(*columns), "None"
+    else:
+        timed = with_clock(usable.filter(F.col("time").isNotNull()).select(*columns, "time"), delay, marks)
+        rows, mode = timed, "EventTime"
     found = rows.groupBy("product").transformWithStateInPandas(
-        LastN(n, top_k), T._parse_datatype_string(_SNAPSHOT), outputMode="Append", timeMode="None"
+        LastN(n, top_k, idle_seconds), T._parse_datatype_string(_SNAPSHOT), outputMode="Append", timeMode=mode
     )
     return label_snapshots(found, slot_seconds, label_seconds)
 
