@@ -200,24 +200,26 @@ def product_sums(trades: DataFrame) -> DataFrame:
     )
 
 
-def batch_counters(trades: DataFrame, bounds=PRICE_BOUNDS, cap: float = OTHER_PRICE_CAP) -> DataFrame:
-    """Rows read, rows after the price filter, and pairs the map phase makes, in one pass.
-
-    Counters to log beside another action cost nothing extra: use ``DataFrame.observe`` with the
-    same expressions.
-    """
-    filled = with_defaults(trades)
-    sane = price_is_sane(F.col("product"), F.col("price"), bounds, cap)
+def counter_columns(sane: Column) -> list[Column]:
+    """Counters over :func:`with_defaults` rows: rows, rows after the price filter, pairs the map phase makes."""
     mapped = F.coalesce(sane, F.lit(False)) & is_normal()
     pairs = (
         F.lit(5)
         + F.when(F.col("latency_ms") > 0, 2).otherwise(0)
         + F.when(F.col("side").isin("buy", "sell"), 1).otherwise(0)
     )
-    return filled.agg(
+    return [
         F.count(F.lit(1)).alias("rows_read"),
         F.count_if(sane).alias("valid_rows"),
         F.count_if(mapped).alias("mapped_rows"),
         F.coalesce(F.sum(F.when(mapped, pairs)), F.lit(0)).alias("pair_count"),
         (F.count_if(sane) == 0).alias("is_empty"),
-    )
+    ]
+
+
+def batch_counters(trades: DataFrame, bounds=PRICE_BOUNDS, cap: float = OTHER_PRICE_CAP) -> DataFrame:
+    """Rows read, rows after the price filter, and pairs the map phase makes, in one pass.
+
+    ``counters.observed_summary`` has them beside another action, at no pass of their own.
+    """
+    return with_defaults(trades).agg(*counter_columns(price_is_sane(F.col("product"), F.col("price"), bounds, cap)))

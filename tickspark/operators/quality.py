@@ -122,8 +122,8 @@ def type_trades(raw: DataFrame) -> DataFrame:
     )
 
 
-def split_rejects(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split string-typed records into (readable, rejected with a reason)."""
+def reject_reason(raw: DataFrame) -> DataFrame:
+    """String-typed records with the ``reason`` why each can't be used, null for those that can."""
 
     def junk(name: str) -> Column:
         return F.col(name).isNotNull() & given_number(name).isNull()
@@ -134,6 +134,11 @@ def split_rejects(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         .when(junk("size"), F.lit("size is not a number"))
         .when(junk("latency_ms"), F.lit("latency is not a number"))
     )
-    marked = raw.withColumn("reason", reason)
+    return raw.withColumn("reason", reason)
+
+
+def split_rejects(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split string-typed records into (readable, rejected with a reason)."""
+    marked = reject_reason(raw)
     good = marked.filter(F.col("reason").isNull()).drop("reason", "_corrupt_record")
     return good, marked.filter(F.col("reason").isNotNull())

@@ -327,6 +327,13 @@ SELECT product, side, count(*) AS trade_count, {_total('size')} AS total_volume
     "sink_keyed_stream": f"{_T} SELECT {_TRADE_COLUMNS} FROM t",
     "sink_raw_batches": f"{_T} SELECT {_TRADE_COLUMNS} FROM t",
     "sink_speed_upsert": _T + _dedup(),
+    "sink_merged_store": _T + _dedup(),
+    "scan_broken_arrays": f"{_T} SELECT {_TRADE_COLUMNS} FROM t WHERE trade_id // 500 % 7 <> 3",
+    "scan_reject_report": f"""{_T}
+SELECT trade_id // 500 AS file_no, count(*) FILTER (trade_id // 500 % 7 <> 3) AS records,
+       CASE WHEN trade_id // 500 % 7 = 3 THEN 1 ELSE 0 END::BIGINT AS rejects,
+       CASE WHEN trade_id // 500 % 7 = 3 THEN 'malformed json' ELSE '' END AS reasons
+FROM t GROUP BY trade_id // 500""",
     "sink_window_summary": f"{_W} SELECT {_WINDOW_COLUMNS} FROM w",
     "sink_batch_json": f"{_B} SELECT * FROM b",
     "sink_batch_csv": f"{_B} SELECT * FROM b",
@@ -480,6 +487,19 @@ SELECT (SELECT count(*) FROM t) AS rows_read, (SELECT count(*) FROM t WHERE {_SA
        CAST(sum(5 + CASE WHEN latency_ms > 0 THEN 2 ELSE 0 END + CASE WHEN side IN ('buy', 'sell') THEN 1 ELSE 0 END)
             AS BIGINT) AS pair_count,
        (SELECT count(*) FROM t WHERE {_SANE}) = 0 AS is_empty
+FROM v""",
+    "observed_counters": f"""{_V}
+SELECT (SELECT count(*) FROM t) AS rows_read, (SELECT count(*) FROM t WHERE {_SANE}) AS valid_rows,
+       count(*) AS mapped_rows,
+       CAST(sum(5 + CASE WHEN latency_ms > 0 THEN 2 ELSE 0 END + CASE WHEN side IN ('buy', 'sell') THEN 1 ELSE 0 END)
+            AS BIGINT) AS pair_count,
+       (SELECT count(*) FROM t WHERE {_SANE}) = 0 AS is_empty
+FROM v""",
+    "stream_observed_counters": f"""{_V}
+SELECT (SELECT count(*) FROM t) AS rows_read, (SELECT count(*) FROM t WHERE {_SANE}) AS valid_rows,
+       count(*) AS mapped_rows,
+       CAST(sum(5 + CASE WHEN latency_ms > 0 THEN 2 ELSE 0 END + CASE WHEN side IN ('buy', 'sell') THEN 1 ELSE 0 END)
+            AS BIGINT) AS pair_count
 FROM v""",
     "rolling_last_n_snapshot": _with(_TRADES, _SNAPSHOTS) + _SNAPSHOT_ROWS,
     "rolling_last_n_default": _with(_TRADES, _DEFAULT_SNAPSHOTS)

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.numeric import format_money, format_volume, round_half_up
-from ..operators import batch, dedup, fleet, holdoff, merged, quality, recent, reports, sketches, windows
-from ..schema import BATCH_SUMMARY, EVENT_PRICE_BOUNDS as BOUNDS, TRADE, read_trades
+from ..operators import batch, counters, dedup, fleet, holdoff, merged, quality, recent, reports, sketches, windows
+from ..schema import BATCH_SUMMARY, EVENT_PRICE_BOUNDS as BOUNDS, TRADE, read_events, read_trades
 from ..session import ROCKSDB_PROVIDER, scratch_path
-from ..sinks import appended, files
+from ..sinks import appended, files, versions
 from ..sources import catalog, feed, shards, stores
 from ..streaming import batches, feeds, flows, flush, state
 
@@ -98,7 +98,7 @@ def run_polls(spark, rows: DataFrame, start, limit: int = POLL_ROWS) -> None:
     feeds.run_drained(writer.option("checkpointLocation", scratch_path(spark, "stream")))
 
 
-def halves(spark, sf_dir) -> DataFrame:
+def one_shard(spark, sf_dir) -> DataFrame:
     """All trades in one shard, so that polls come in order of time."""
     return shards.numbered(read_trades(spark, sf_dir), F.lit(0), "time", "trade_id")
 
@@ -143,6 +143,38 @@ def scan_json_arrays(spark, sf_dir):
     return quality.type_trades(good)
 
 
+ARRAY_ROWS = 500  # records of one array file
+
+
+def broken_arrays(spark, sf_dir) -> str:
+    """Pretty-printed arrays, a file each; every seventh is cut in half."""
+    record = F.struct("trade_id", iso("time").alias("time"), "product", "price", "size", "side", iso("processed_at").alias("processed_at"), "latency_ms")
+    number = F.floor(F.col("trade_id") / ARRAY_ROWS).cast("long").alias("file_no")
+    arrays = read_trades(spark, sf_dir).groupBy(number).agg(
+        F.to_json(F.array_sort(F.collect_list(record)), {"pretty": "true"}).alias("text")
+    )
+    half = F.expr("substring(text, 1, length(text) div 2)")
+    path = scratch_path(spark, "arrays")
+    cut = arrays.withColumn("text", F.when(F.col("file_no") % 7 == 3, half).otherwise(F.col("text")))
+    cut.write.partitionBy("file_no").text(path)
+    return path
+
+
+@query
+def scan_broken_arrays(spark, sf_dir):
+    """The records of all whole files."""
+    good, _ = stores.scan_with_report(spark, broken_arrays(spark, sf_dir))
+    return quality.type_trades(good)
+
+
+@query
+def scan_reject_report(spark, sf_dir):
+    """What each file had, and why some had nothing."""
+    _, report = stores.scan_with_report(spark, broken_arrays(spark, sf_dir))
+    number = F.regexp_extract("file", "file_no=([0-9]+)", 1).cast("long").alias("file_no")
+    return report.select(number, "records", "rejects", "reasons")
+
+
 @query
 def scan_speed_store(spark, sf_dir):
     newest = recent.scan_speed_store(read_trades(spark, sf_dir), limit=200)
@@ -207,6 +239,15 @@ def sink_speed_upsert(spark, sf_dir):
     return stores.read_speed_store(spark, out).select("product", "trade_id", "price", "size", "processed_at")
 
 
+@query
+def sink_merged_store(spark, sf_dir):
+    """The keyed store after polls of which every second one is followed by a merge."""
+    out = scratch_path(spark, "merged-store")
+    start = lambda s: rewritten(s).writeStream.foreachBatch(versions.upsert_and_merge(out, TRADE, every=2))
+    run_polls(spark, one_shard(spark, sf_dir), start)
+    return versions.read_store(spark, out, TRADE).select("product", "trade_id", "price", "size", "processed_at")
+
+
 @query
 def sink_window_summary(spark, sf_dir):
     out = scratch_path(spark, "windows")
@@ -627,6 +668,29 @@ def batch_counters(spark, sf_dir):
     return batch.batch_counters(read_trades(spark, sf_dir), BOUNDS)
 
 
+@query
+def observed_counters(spark, sf_dir):
+    """The same counters, seen while the summary is computed and written."""
+    summary, seen = counters.observed_summary(read_trades(spark, sf_dir), BOUNDS)
+    summary.write.parquet(scratch_path(spark, "summary"))
+    return read_events(spark, sf_dir).limit(1).select(*[F.lit(v).alias(k) for k, v in seen.get.items()])
+
+
+@query
+def stream_observed_counters(spark, sf_dir):
+    """Counters of all micro-batches, from a listener to the stream that stores partial sums."""
+    out, log = scratch_path(spark, "observed"), counters.CounterLog()
+    write = lambda b, n: appended.put(batch.product_partials(b), out, n)
+    spark.streams.addListener(log)
+    try:
+        start = lambda s: counters.counted_trades(s, bounds=BOUNDS).writeStream.foreachBatch(write)
+        run_polls(spark, one_shard(spark, sf_dir), start)
+        log.ended.wait(60)
+    finally:
+        spark.streams.removeListener(log)
+    return spark.createDataFrame([log.totals()], ", ".join(f"{n} long" for n in log.totals()))
+
+
 # ---- windows and top-k ------------------------------------------------------------------------
 
 
@@ -740,7 +804,7 @@ def stream_throttle(spark, sf_dir):
 def stream_throttle_all(spark, sf_dir):
     """One clock for all products, over polls of one shard."""
     out = scratch_path(spark, "throttled")
-    run_polls(spark, halves(spark, sf_dir), lambda s: s.writeStream.foreachBatch(batches.put_throttled(out, THROTTLE_SECONDS)))
+    run_polls(spark, one_shard(spark, sf_dir), lambda s: s.writeStream.foreachBatch(batches.put_throttled(out, THROTTLE_SECONDS)))
     return stores.read_appended(spark, f"{out}/kept", TRADE).select("product", "trade_id", "time")
 
 

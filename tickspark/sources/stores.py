@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.dedup import dedup_by_trade_id, latest_per_key
+from ..operators.quality import reject_reason
 from ..schema import TRADE_JSON
 
 
@@ -24,6 +25,24 @@ def scan_trade_json(spark: SparkSession, path: str, multi_line: bool = True) ->
     )
 
 
+def scan_with_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Stored JSON arrays, pretty-printed or not, as (readable records with their file, report per file).
+
+    A file that is cut or malformed is one reject and gives no records; the scan goes on with the others. A
+    record with an unreadable number is a reject of its file, the file's other records stay. The report has
+    each file's number of records, of rejects, and the reasons.
+    """
+    scanned = scan_trade_json(spark, path).withColumn("file", F.col("_metadata.file_path"))
+    marked = reject_reason(scanned)
+    good = marked.filter(F.col("reason").isNull()).drop("reason", "_corrupt_record")
+    report = marked.groupBy("file").agg(
+        F.count_if(F.col("reason").isNull()).alias("records"),
+        F.count_if(F.col("reason").isNotNull()).alias("rejects"),
+        F.array_join(F.array_sort(F.collect_set("reason")), ", ").alias("reasons"),
+    )
+    return good, report
+
+
 def read_appended(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """All rows appended by micro-batches, with their ``batch_id``. With ``schema``, that of the rows,
     a store nothing was written to yet reads as an empty table."""
