@@ -142,7 +142,7 @@ def mix(
     seed: int = 11,
     cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
-    """Copies of each document in a mix of the sources: (doc_id, mark, size, source_size, target, copies).
+    """Copies of each document in a mix: (doc_id, mark, source, size, source_size, target, copies).
 
     A document of a source with target t and size s is wanted t / s times; whole copies are given,
     the fraction is rounded by ``round_copies``. Null texts have size 0 and no copies; a null source
@@ -177,21 +177,21 @@ def mix(
         base.alias("b")
         .join(copies, F.col("b.row") == F.col("_row"), "left")
         .join(targets, same(F.col("b.source"), F.col("t.source")))
-        .select("b.doc_id", "b.mark", "b.size", "t.source_size", "t.target", F.coalesce("_copies", F.lit(0)).alias("copies"))
+        .select("b.doc_id", "b.mark", "b.source", "b.size", "t.source_size", "t.target", F.coalesce("_copies", F.lit(0)).alias("copies"))
     )
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: the columns of ``docs``, each document as often as the mix takes it.
 
-    Documents meet their copies by id and hash of the text; rows alike in both, which are copies of
-    each other, take their numbers one by one.
+    Documents meet their copies by id, source and hash of the text; rows alike in all three, which are copies
+    of each other and have the same target, take their numbers one by one.
     """
-    own = Window.partitionBy("doc_id", "mark")
+    own = Window.partitionBy("doc_id", "mark", "source")
     taken = mix(docs, **options).withColumn("nth", F.row_number().over(own.orderBy(F.col("copies").desc()))).filter("copies > 0")
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("mark"))
-    numbered = rows.withColumn("nth", F.row_number().over(own.orderBy(F.xxhash64("row.source")))).alias("d")
-    met = [same(F.col(f"d.{c}"), F.col(f"t.{c}")) for c in ("doc_id", "mark", "nth")]
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("mark"), "source")
+    numbered = rows.withColumn("nth", F.row_number().over(own.orderBy(F.xxhash64("row")))).alias("d")
+    met = [same(F.col(f"d.{c}"), F.col(f"t.{c}")) for c in ("doc_id", "mark", "source", "nth")]
     return (
         numbered.join(taken.alias("t"), met)
         .select(F.explode(F.array_repeat("d.row", F.col("t.copies").cast("int"))).alias("k"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import free_names, same, stored, text_of
 
@@ -76,15 +76,20 @@ def interleave(
     )
 
 
-def document_rows(docs: DataFrame) -> DataFrame:
-    """The small row that stands for each document: id, source, bytes and checksum of the text."""
+def row_columns() -> dict[str, Column]:
+    """What stands for a document: id, source, bytes and checksum of the text."""
     text = text_of("text")
-    return docs.select(
-        "doc_id",
-        "source",
-        (F.octet_length(text) + ROW_OVERHEAD).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
-    )
+    return {
+        "doc_id": F.col("doc_id"),
+        "source": F.col("source"),
+        "size": (F.octet_length(text) + ROW_OVERHEAD).cast("long"),
+        "text_crc32": F.crc32(text.cast("binary")),
+    }
+
+
+def document_rows(docs: DataFrame) -> DataFrame:
+    """The small row that stands for each document."""
+    return docs.select(*[c.alias(n) for n, c in row_columns().items()])
 
 
 def shard_documents(docs: DataFrame, shards: int = 40, seed: int = 7) -> DataFrame:
@@ -99,27 +104,24 @@ def shard_documents(docs: DataFrame, shards: int = 40, seed: int = 7) -> DataFra
 def write_shards(docs: DataFrame, path: str, shards: int = 40, seed: int = 7) -> None:
     """Write whole documents, one folder ``shard=N`` for each shard.
 
-    Documents meet their shard by id, checksum and size; rows alike in all three are copies of each
-    other and get the shards of their group one by one.
+    Documents meet their shard by id, source, checksum and size; rows alike in all four are copies of each
+    other and get the shards of their group one by one. A column ``shard`` of the documents is written as
+    ``_shard``, or ``_shard_1`` and so on if that is taken, as the folders have its name.
     """
-    own = Window.partitionBy("doc_id", "text_crc32", "size").orderBy("shard", "slot")
-    places = shard_documents(docs, shards, seed).withColumn("copy", F.row_number().over(own)).drop("source").alias("p")
-    text = text_of("text")
-    marked = docs.select(
-        F.struct("*").alias("row"),
-        F.col("doc_id").alias("doc_id"),
-        (F.octet_length(text) + ROW_OVERHEAD).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
-    )
-    numbered = marked.withColumn(
-        "copy", F.row_number().over(Window.partitionBy("doc_id", "text_crc32", "size").orderBy(F.xxhash64("row.source")))
-    ).alias("d")
-    met = [same(F.col(f"d.{c}"), F.col(f"p.{c}")) for c in ("doc_id", "text_crc32", "size", "copy")]
-    joined = numbered.join(places, met).select("row", "shard", "slot")
+    keys = ["doc_id", "source", "text_crc32", "size"]
+    own = Window.partitionBy(*keys)
+    placed = shard_documents(docs, shards, seed)
+    places = placed.withColumn("copy", F.row_number().over(own.orderBy("shard", "slot"))).alias("p")
+    marked = docs.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in row_columns().items()])
+    numbered = marked.withColumn("copy", F.row_number().over(own.orderBy(F.xxhash64("row")))).alias("d")
+    met = [same(F.col(f"d.{c}"), F.col(f"p.{c}")) for c in (*keys, "copy")]
+    joined = numbered.join(places, met).select("row", "p.shard", "p.slot")
+    (renamed,) = free_names(docs, "shard")
+    kept = [F.col(f"row.`{c}`").alias(renamed if c.lower() == "shard" else c) for c in docs.columns]
     (
         joined.repartitionByRange("shard", "slot")
         .sortWithinPartitions("shard", "slot")
-        .select("row.*", F.col("shard"))
+        .select(*kept, F.col("shard"))
         .write.partitionBy("shard")
         .parquet(path)
     )
