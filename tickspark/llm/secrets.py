@@ -25,19 +25,19 @@ PLACEHOLDER = "[SECRET]"
 
 @dataclass(frozen=True)
 class Settings:
-    """``samples`` values of each label are drawn to train on, ordinary ones from at most
-    ``sample_docs`` documents of at most ``longest`` characters. A run is a secret if its
+    """``samples`` values of each label are made to train on; ordinary ones also come from the words of
+    all documents, which count for half of them however many they are. A run is a secret if its
     log-likelihood ratio is at least ``least``, and at least ``least_each`` per character."""
 
     samples: int = 4000
-    sample_docs: int = 400
-    longest: int = 20_000
     least: float = 14.0
     least_each: float = 0.5
     seed: int = 13
 
 
-# Everyday parts of names in programs, for ordinary samples beside the corpus's own words.
+CORPUS = "corpus"
+SPAN_BLOCK = 256  # spans or matches that are put together at a time
+# Everyday parts of names in programs, for ordinary samples beside the corpus's own words.
 NAME_PARTS = (
     "get set user account server connection timeout config path file name value index buffer stream module package "
     "version request response client session table column query update delete insert status message error handler "
@@ -46,9 +46,16 @@ NAME_PARTS = (
 ).split()
 
 
+def corpus_words(docs: DataFrame) -> DataFrame:
+    """(word, n): the words of all documents that consist of letters alone, 4 to 30, and how often they occur."""
+    word = F.regexp_extract_all(text_of("text"), F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z]{4,30}(?![A-Za-z0-9+/_=-])"), F.lit(0))
+    return docs.select(F.explode(word).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
 def default_samples(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """Labelled samples (value, random): strings of digests in the usual spellings, and ordinary
-    identifiers made of the corpus's words."""
+    """Labelled samples (value, random, part, n): strings of digests in the usual spellings, and ordinary
+    identifiers: everyday names, and every distinct word of the corpus in the ways identifiers join words,
+    ``n`` times."""
     digest = F.sha2(F.concat(F.lit(f"{s.seed}:"), F.col("id").cast("string")), 256)
     spelled = F.array(
         F.regexp_replace(F.base64(F.unhex(digest)), "=+$", ""),
@@ -57,65 +64,68 @@ def default_samples(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         F.substring(F.translate(F.base64(F.unhex(digest)), "+/", "-_"), 1, 32),
     )
     random = docs.sparkSession.range(max(1, s.samples // 4)).select(F.explode(spelled).alias("value"), F.lit(True).alias("random"))
-    hashed = F.xxhash64(F.lit(s.seed), "text")
-    # a share of the hashes that leaves some 64 times the sample: the task that picks sees no more
-    share = max(1, docs.count() // (64 * s.sample_docs))
-    chosen = (
-        docs.select(text_of("text").alias("text"))
-        .filter((F.length("text") > 0) & (F.length("text") <= s.longest))
-        .filter(F.pmod(hashed, F.lit(share)) == 0)
-        .orderBy(hashed, "text")
-        .limit(s.sample_docs)
-    )
-    word = F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z]{4,30}(?![A-Za-z0-9+/_=-])"), F.lit(0))
-    pair = lambda x, y: F.struct(x.alias("a"), y.alias("b"))
-    neighbours = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: pair(F.element_at("w", i), F.element_at("w", i + 1)))
-    corpus = chosen.select(word.alias("w")).filter(F.size("w") > 1).select(F.inline(neighbours))
     parts, n = F.array(*[F.lit(x) for x in NAME_PARTS]), len(NAME_PARTS)
     at = lambda i: F.element_at(parts, (i % n + 1).cast("int"))
     usual = docs.sparkSession.range(s.samples // 2).select(at(F.col("id")).alias("a"), at(F.col("id") * 7 + F.floor(F.col("id") / n)).alias("b"))
-    a, b = F.col("a"), F.col("b")
-    # in the ways identifiers join words
-    joined = F.array(
-        a,
-        F.concat_ws("_", F.lower(a), F.lower(b)),
-        F.concat(F.lower(a), F.initcap(b)),
-        F.concat_ws("-", F.lower(a), b, (F.length(a) * 7 + F.length(b)).cast("string")),
-        F.concat(F.lit("/"), F.lower(a), F.lit("/"), F.lower(b)),
-        F.upper(F.concat_ws("_", a, b)),
-    )
-    half = lambda pairs: (
-        pairs.select(F.explode(joined).alias("value"))
+
+    def joined(a: Column, b: Column) -> Column:
+        return F.array(
+            a,
+            F.concat_ws("_", F.lower(a), F.lower(b)),
+            F.concat(F.lower(a), F.initcap(b)),
+            F.concat_ws("-", F.lower(a), b, (F.length(a) * 7 + F.length(b)).cast("string")),
+            F.concat(F.lit("/"), F.lower(a), F.lit("/"), F.lower(b)),
+            F.upper(F.concat_ws("_", a, b)),
+        )
+
+    names = (
+        usual.select(F.explode(joined(F.col("a"), F.col("b"))).alias("value"))
         .distinct()
         .orderBy(F.xxhash64(F.lit(s.seed), "value"), "value")
         .limit(s.samples // 2)
+        .withColumn("random", F.lit(False))
     )
-    ordinary = half(corpus).unionByName(half(usual)).withColumn("random", F.lit(False))
-    return random.unionByName(ordinary)
+    one = lambda frame, part: frame.select("value", "random", F.lit(part).alias("part"), F.lit(1).cast("long").alias("n"))
+    word = F.col("word")
+    corpus = corpus_words(docs).select(
+        F.explode(joined(word, word)).alias("value"), F.lit(False).alias("random"), F.lit(CORPUS).alias("part"), "n"
+    )
+    return one(random, "digests").unionByName(one(names, "names")).unionByName(corpus)
 
 
 def train(samples: DataFrame) -> list[float]:
     """Log-likelihood ratios of two first-order Markov models, random over ordinary, as a flat table:
     the ratio for character j after character i is at i * len(ALPHABET) + j.
 
-    Only counts of character pairs come to the driver, at most 2 * len(ALPHABET)^2. Characters
-    outside the alphabet are left out; without samples all ratios are 0.
+    ``samples`` are (value, random); with ``n`` a value counts so often, and with ``part`` what is CORPUS
+    counts in all for no more than the label's other values do. Only counts of character pairs come to the driver, at most
+    len(ALPHABET)^2 for each label and part. Characters outside the alphabet are left out; without samples
+    all ratios are 0.
     """
     value = F.col("value")
     pairs = F.transform(F.sequence(F.lit(1), F.length(value) - 1), lambda i: F.substring(value, i, F.lit(2)))
+    n = F.col("n") if "n" in samples.columns else F.lit(1)
+    part = F.col("part") if "part" in samples.columns else F.lit("")
+    inside = f"^[{ALPHABET}]{{2}}$"
     counts = (
-        samples.filter(F.length(value) >= 2)
-        .select("random", F.explode(pairs).alias("pair"))
-        .groupBy("random", "pair")
-        .agg(F.count(F.lit(1)).alias("n"))
+        samples.filter((F.length(value) >= 2) & F.col("random").isNotNull())
+        .select("random", part.alias("part"), n.alias("n"), F.explode(pairs).alias("pair"))
+        .filter(F.col("pair").rlike(inside))
+        .groupBy("random", "part", "pair")
+        .agg(F.sum("n").alias("n"))
         .collect()
     )
     at = {c: i for i, c in enumerate(ALPHABET)}
     size = len(ALPHABET)
-    seen = {True: [[0] * size for _ in at], False: [[0] * size for _ in at]}
-    for random, pair, n in counts:
-        if random is not None and pair[0] in at and pair[1] in at:
-            seen[random][at[pair[0]]][at[pair[1]]] += n
+    whole: dict[tuple, int] = {}
+    for r in counts:
+        whole[r["random"], r["part"]] = whole.get((r["random"], r["part"]), 0) + r["n"]
+    others = {k: sum(v for (label, part), v in whole.items() if label == k and part != CORPUS) for k in (True, False)}
+    seen = {True: [[0.0] * size for _ in at], False: [[0.0] * size for _ in at]}
+    for r in sorted(counts, key=lambda r: (r["random"], r["part"], r["pair"])):
+        bound = others[r["random"]] if r["part"] == CORPUS else 0
+        scale = min(1.0, bound / whole[r["random"], CORPUS]) if bound else 1.0
+        seen[r["random"]][at[r["pair"][0]]][at[r["pair"][1]]] += r["n"] * scale
     out = []
     for i in range(size):
         totals = {k: sum(rows[i]) + 0.5 * size for k, rows in seen.items()}
@@ -124,15 +134,26 @@ def train(samples: DataFrame) -> list[float]:
     return out
 
 
+def _codes(value: Column) -> Column:
+    """The characters' places in the alphabet, as an array: looking one up takes the same time anywhere."""
+    return F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+
+
+def _pairs(codes: Column, body) -> Column:
+    """``body(first, second)`` of all neighbouring codes."""
+    count = F.greatest(F.size(codes) - 1, F.lit(0))
+    return F.zip_with(F.slice(codes, F.lit(1), count), F.slice(codes, F.lit(2), count), body)
+
+
+def _score(table: Column, a: Column, b: Column) -> Column:
+    return F.element_at(table, (a * len(ALPHABET) + b + 1).cast("int"))
+
+
 def ratio(value: Column, model: list[float]) -> Column:
     """Sum of the model's ratios over the string's character pairs."""
     table = F.array(*[F.lit(float(x)) for x in model])
-    code = lambda i: F.instr(F.lit(ALPHABET), F.substring(value, i, F.lit(1))) - 1
-    return F.aggregate(
-        F.sequence(F.lit(1), F.length(value) - 1),
-        F.lit(0.0),
-        lambda a, i: a + F.element_at(table, (code(i) * len(ALPHABET) + code(i + 1) + 1).cast("int")),
-    )
+    total = lambda cs: F.aggregate(_pairs(cs, lambda a, b: _score(table, a, b)), F.lit(0.0), lambda t, x: t + x)
+    return _let(_codes(value), total)
 
 
 def _let(value: Column, body) -> Column:
@@ -163,15 +184,9 @@ def stretches(run: Column, model: list[float], s: Settings) -> Column:
     and a run may hold several. A run without such a stretch is judged as one whole.
     """
     table = F.array(*[F.lit(float(x)) for x in model])
-    code = lambda i: F.instr(F.lit(ALPHABET), F.substring(run, i, F.lit(1))) - 1
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.length(run) - 1),
-        lambda i: F.struct(
-            i.alias("at"),
-            F.element_at(table, (code(i) * len(ALPHABET) + code(i + 1) + 1).cast("int")).alias("r"),
-            F.substring(run, i, F.lit(2)).contains("=").alias("cut"),
-        ),
-    )
+    sign = ALPHABET.index("=")
+    pair = lambda a, b: F.struct(_score(table, a, b).alias("r"), ((a == sign) | (b == sign)).alias("cut"))
+    placed = lambda p, i: F.struct((i + 1).alias("at"), p["r"].alias("r"), p["cut"].alias("cut"))
     found = "array<struct<start:int,stop:int>>"
     state = lambda start, sum_, raw, top, top_raw, stop, all_, out: F.struct(
         start.alias("start"), sum_.alias("sum"), raw.alias("raw"), top.alias("top"), top_raw.alias("top_raw"),
@@ -202,7 +217,7 @@ def stretches(run: Column, model: list[float], s: Settings) -> Column:
         return _let(good, lambda g: F.when((F.size(g) > 0) | ~passes, g).otherwise(F.array(whole)))
 
     start = state(none, zero, zero, zero, zero, none, zero, F.array().cast(found))
-    judged = F.aggregate(pairs, start, step, finish)
+    judged = _let(_codes(run), lambda cs: F.aggregate(F.transform(_pairs(cs, pair), placed), start, step, finish))
     return F.when(run.rlike("[0-9+/=_-]") | run.rlike("[a-z][A-Z]"), judged).otherwise(F.array().cast(found))
 
 
@@ -217,8 +232,8 @@ def matched(text: Column, pattern: str, rank: int, part: int, good=None, inner=N
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(part)).alias("part"),
     )
-    none = F.lit(None).cast(SPANS)
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.coalesce(none, F.array().cast(SPANS)).alias("out"))
+    nothing = F.array().cast(SPANS)
+    zero = F.struct(F.lit(0).cast("long").alias("at"), nothing.alias("out"))
 
     def step(a, t):
         start = a["at"] + F.length(t["gap"])
@@ -232,8 +247,22 @@ def matched(text: Column, pattern: str, rank: int, part: int, good=None, inner=N
             stop.cast("long").alias("at"), F.when(ok, F.concat(a["out"], spans)).otherwise(a["out"]).alias("out")
         )
 
-    found = F.aggregate(turns, zero, step, lambda a: a["out"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(SPANS))
+    # a block's spans are counted from its start, then moved to where it lies
+    blocks = _let(turns, lambda ts: F.transform(_blocks(ts), lambda b: F.aggregate(b, zero, step)))
+    move = lambda x, at: F.struct((x["start"] + at).alias("start"), x["rank"].alias("rank"), (x["stop"] + at).alias("stop"))
+    lists = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{SPANS}>").alias("out"))
+    joined = lambda a, b: F.struct(
+        (a["at"] + b["at"]).alias("at"),
+        F.concat(a["out"], F.array(F.transform(b["out"], lambda x: move(x, a["at"])))).alias("out"),
+    )
+    found = F.aggregate(blocks, lists, joined, lambda a: F.flatten(a["out"]))
+    return F.when(text.rlike(pattern), found).otherwise(nothing)
+
+
+def _blocks(items: Column) -> Column:
+    """An array in slices, so that what is put together item by item stays short."""
+    last = F.floor((F.greatest(F.size(items), F.lit(1)) - 1) / SPAN_BLOCK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(items, k * SPAN_BLOCK + 1, F.lit(SPAN_BLOCK)))
 
 
 def with_spans(docs: DataFrame, model: list[float], s: Settings = Settings(), text_col: str = "text") -> tuple[DataFrame, list[str]]:
@@ -257,19 +286,40 @@ def with_spans(docs: DataFrame, model: list[float], s: Settings = Settings(), te
     return base.select(*docs.columns, *names[:3], runs.alias(names[3])), names
 
 
-def _blanked(text: Column, spans: Column) -> Column:
-    """The text with blanks in place of the sorted spans, which may overlap."""
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
+def _spliced(text: Column, spans: Column, fill) -> Column:
+    """The text with ``fill(end so far, span)`` in place of each of the sorted spans, which may overlap.
+
+    A block of spans looks only at its own part of the text.
+    """
+    strings = F.array().cast("array<string>")
+    part = lambda t, first, count: F.substring(t, (first + 1).cast("int"), F.greatest(count, F.lit(0)).cast("int"))
 
-    def step(a, x):
-        gap = F.substring(text, (a["at"] + 1).cast("int"), F.greatest(x["start"] - a["at"], F.lit(0)).cast("int"))
-        blank = F.repeat(F.lit(" "), F.greatest(x["stop"] - F.greatest(a["at"], x["start"]), F.lit(0)).cast("int"))
-        return F.struct(F.greatest(a["at"], x["stop"]).alias("at"), F.concat(a["out"], F.array(gap, blank)).alias("out"))
+    def of_block(a, spans_of, piece):
+        def step(x, span):
+            gap = part(piece, x["at"] - a["at"], span["start"] - x["at"])
+            return F.struct(
+                F.greatest(x["at"], span["stop"]).alias("at"), F.concat(x["out"], F.array(gap, fill(x["at"], span))).alias("out")
+            )
+
+        zero = F.struct(a["at"].alias("at"), strings.alias("out"))
+        return F.aggregate(spans_of, zero, step, lambda x: F.struct(x["at"].alias("at"), F.array_join(x["out"], "").alias("text")))
+
+    def joined(a, b):
+        stop = F.greatest(a["at"], F.array_max(F.transform(b, lambda x: x["stop"])))
+        made = _let(part(text, a["at"], stop - a["at"]), lambda piece: of_block(a, b, piece))
+        return _let(made, lambda m: F.struct(m["at"].alias("at"), F.concat(a["out"], F.array(m["text"])).alias("out")))
 
     rest = lambda a: F.concat(
         F.array_join(a["out"], ""), F.substring(text, (a["at"] + 1).cast("int"), F.length(text))
     )
-    return F.aggregate(spans, zero, step, rest)
+    zero = F.struct(F.lit(0).cast("long").alias("at"), strings.alias("out"))
+    return F.aggregate(_blocks(spans), zero, joined, rest)
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with blanks in place of the spans."""
+    blanks = lambda at, x: F.repeat(F.lit(" "), F.greatest(x["stop"] - F.greatest(at, x["start"]), F.lit(0)).cast("int"))
+    return _spliced(text, spans, blanks)
 
 
 def listed(spans: Column) -> Column:
@@ -295,20 +345,9 @@ def redacted(docs: DataFrame, s: Settings = Settings(), samples: DataFrame | Non
     found, names = scan(docs, s, samples)
     spans, new = free_names(found, "spans", "clean")
     text = F.col("text")
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(a, x):
-        gap = F.substring(text, (a["at"] + 1).cast("int"), (x["start"] - a["at"]).cast("int"))
-        apart = F.concat(a["out"], F.array(gap, F.lit(PLACEHOLDER)))
-        return F.struct(
-            F.greatest(a["at"], x["stop"]).alias("at"),
-            F.when((x["start"] > a["at"]) | (a["at"] == 0), apart).otherwise(a["out"]).alias("out"),
-        )
-
-    rest = lambda a: F.concat(
-        F.array_join(a["out"], ""), F.substring(text, (a["at"] + 1).cast("int"), F.length(text))
-    )
-    clean = F.when(F.size(spans) > 0, F.aggregate(F.col(spans), zero, step, rest)).otherwise(text)
+    # spans that overlap, and are so one stretch, get one placeholder
+    mark = lambda at, x: F.when((x["start"] > at) | (at == 0), F.lit(PLACEHOLDER)).otherwise("")
+    clean = F.when(F.size(spans) > 0, _spliced(text, F.col(spans), mark)).otherwise(text)
     marked = found.withColumn(spans, F.sort_array(F.concat(*[F.col(n) for n in names]))).withColumn(new, clean)
     hit = F.size(spans) > 0
     out = {"text": F.col(new), "n_chars": F.when(hit, F.length(new).cast("long")).otherwise(F.col("n_chars"))}
