@@ -29,17 +29,25 @@ def op1_toxicity(spark, sf_dir) -> DataFrame:
 
 @query
 def op2_warc(spark, sf_dir) -> DataFrame:
-    """Write one record per page, then read the archives back without their payloads."""
+    """Write one record per page, then read the archives back.
+
+    Length and digest of responses are worked out from the payloads as read; revisits, which have none,
+    come from headers alone. Each reading pushes its record type down and skips the other's records.
+    """
     path = scratch_path(spark, "warc")
     warc.write_pages(table(spark, sf_dir, "pages"), path)
-    records = warc.read_warc(spark, path, payload=False)
-    return records.select(
+    responses = warc.read_warc(spark, path).filter(F.col("record_type") == "response")
+    revisits = warc.read_warc(spark, path, payload=False).filter(F.col("record_type") == "revisit")
+    hashed = responses.withColumn("digest", F.sha1("payload"))
+    read = hashed.withColumns({"payload_bytes": F.length("payload").cast("long"), "payload_digest": warc.base32(F.col("digest"))})
+    columns = [
         warc.page_of("record_id").alias("page_id"),
         "payload_bytes",
         "payload_digest",
         "record_type",
         warc.page_of("refers_to").alias("refers_to"),
-    )
+    ]
+    return read.select(*columns).unionByName(revisits.select(*columns))
 
 
 @query

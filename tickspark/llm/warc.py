@@ -315,13 +315,19 @@ def page_of(urn: str) -> Column:
     return F.regexp_extract(urn, "^urn:page:(-?[0-9]+)$", 1).try_cast("long")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its store, by default the session's: every machine then means the same place."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(found).toString()
+
+
 def write_pages(pages: DataFrame, path: str) -> None:
     """Write an archive folder of all pages."""
     register(pages.sparkSession)
-    page_records(pages).write.format("warc").mode("append").save(path)
+    page_records(pages).write.format("warc").mode("append").save(qualified(pages.sparkSession, path))
 
 
 def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
     """Records of an archive folder; filter on header columns to skip the rest unread."""
     register(spark)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
+    return spark.read.format("warc").option("payload", str(payload).lower()).load(qualified(spark, path))
