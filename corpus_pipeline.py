@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickspark.llm import bpe, jaccard, mixing, quality_rules, secrets
+from tickspark.llm.common import stored
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,13 +41,13 @@ STAGES = [
     ("bpe", encode),
 ]
 
-#: Estimates, models and encodings are not SQL; tests hold the stages against plain Python.
+#: Estimates, models and encodings are not SQL; tests look at what each stage does.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to the documents, in order."""
+    """Apply the stages to the documents, in order; what one keeps is stored before the next one reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
