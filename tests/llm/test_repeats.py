@@ -50,12 +50,15 @@ def test_merge_finds_all_repeated_intervals(shards, length):
 def test_windows_know_their_least_gram(length, gram):
     rng = np.random.default_rng(1)
     data = rng.integers(0, 3, size=900).astype(np.uint8)
-    first = repeats.least_grams(data, length, gram)
-    again = repeats.least_grams(data[100:], length, gram)
+    first, place = repeats.least_grams(data, length, gram)
+    again, later = repeats.least_grams(data[100:], length, gram)
     assert len(first) == len(data) - length + 1
-    assert (first[100:] == again).all()  # wherever the window lies
-    one = repeats.least_grams(np.r_[data, data], gram, gram)
-    assert all(first[i] == one[i : i + length - gram + 1].min() for i in range(0, len(first), 37))
+    assert (first[100:] == again).all() and (place[100:] == later + 100).all()  # wherever the window lies
+    one = repeats.least_grams(data, gram, gram)[0]
+    order = lambda h: h >> np.uint64(repeats.PLACE_BITS)
+    for i in range(0, len(first), 37):
+        inside = order(one[i : i + length - gram + 1])
+        assert place[i] == i + int(np.argmin(inside)) and first[i] == one[place[i]]
 
 
 def test_stretches_hold_every_window_once(monkeypatch):
@@ -66,7 +69,7 @@ def test_stretches_hold_every_window_once(monkeypatch):
         seen = collections.Counter()
         for number, start, count, _, sums in repeats.stretches(texts):
             for n, s, c, d in zip(number.tolist(), start.tolist(), count.tolist(), sums):
-                assert 0 < c <= repeats.SPAN
+                assert 0 < c <= 161
                 assert repeats.xxh3_128_digest(texts[n][s : s + c + 199]) == d.tobytes()
                 seen.update((n, i) for i in range(s, s + c))
         assert seen == {(n, i): 1 for n, t in enumerate(texts) for i in range(len(t) - 199)}
@@ -102,9 +105,18 @@ def passages(seed, count=150):
             base = rnd.choice(shared)
             cut = rnd.randrange(len(base))
             parts.append(rnd.choice([base, base[cut:], base[:cut], word() + base[cut : cut + 230], " ".join(word() for _ in range(40))]))
+        if n % 10 == 0:  # periodic, and nowhere else
+            parts.append("".join(rnd.choices("abcdefg", k=rnd.choice([1, 3, 17, 90]))) * rnd.choice([4, 40, 120]))
         yield n + 10_000, rnd.choice([" ", "", "\n"]).join(parts)
 
 
+@pytest.mark.parametrize("data", ["abcdefghij" * 60, "a" * 201, "a" * 200, "xy" * 100 + "x", "0123456789" * 19 + "0123456789" * 3])
+def test_repeats_inside_one_text_alone(spark, data):
+    rows = [(1, "head " + data + " tail"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert digests(repeats.without_repeats(docs)) == plain(rows, 200)
+
+
 def digests(found):
     return sorted(
         (

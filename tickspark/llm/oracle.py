@@ -61,3 +61,30 @@ FROM near{rounds} JOIN own ON own.c = best[2] JOIN centres{rounds} z ON z.c = be
 
 
 ORACLE["op13_clusters"] = _clusters()
+
+
+# Texts as hex digits, so that bytes are pairs of characters: all windows of 200 bytes, those found twice or
+# more, and the runs of bytes they cover.
+ORACLE["op12_suffix_dedup"] = """
+WITH rows AS (
+  SELECT row_number() OVER () AS row_no, doc_id, lower(hex(encode(coalesce(text, '')))) AS bytes FROM documents),
+windows AS (
+  SELECT row_no, i, md5(substr(bytes, 2 * i + 1, 400)) AS name
+  FROM (SELECT row_no, bytes, unnest(range(length(bytes) // 2 - 199)) AS i FROM rows WHERE length(bytes) >= 400)),
+often AS MATERIALIZED (SELECT name FROM windows GROUP BY name HAVING count(*) > 1),
+hits AS (SELECT row_no, i FROM windows SEMI JOIN often USING (name)),
+edges AS (SELECT *, i > lag(i, 1, -1000) OVER (PARTITION BY row_no ORDER BY i) + 200 AS opens FROM hits),
+numbered AS (SELECT *, sum(opens::INT) OVER (PARTITION BY row_no ORDER BY i) AS span FROM edges),
+spans AS (SELECT row_no, span, min(i) AS first, max(i) + 200 AS last FROM numbered GROUP BY ALL),
+gaps AS (
+  SELECT row_no, span, lag(last, 1, 0) OVER (PARTITION BY row_no ORDER BY span) AS first, first AS last FROM spans
+  UNION ALL
+  SELECT row_no, max(span) + 1, max(last), NULL FROM spans GROUP BY row_no),
+kept AS (
+  SELECT row_no, string_agg(substr(bytes, 2 * first + 1, 2 * (coalesce(last, length(bytes) // 2) - first)), '' ORDER BY span) AS bytes
+  FROM gaps JOIN rows USING (row_no) GROUP BY row_no),
+sums AS (SELECT row_no, sum(last - first)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY row_no)
+SELECT doc_id, length(r.bytes) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k.bytes, r.bytes))) AS kept_sha256
+FROM rows r LEFT JOIN kept k USING (row_no) LEFT JOIN sums USING (row_no)
+"""

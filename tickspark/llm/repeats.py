@@ -14,8 +14,8 @@ from .common import per_process, stored
 
 LENGTH = 200  # bytes of a string that must not start anywhere else
 GRAM = 40  # bytes of the grams that decide where a window belongs
-SPAN = 512  # windows of one stretch at most
 PIECE = 1 << 18  # bytes of text looked at in one go
+PLACE_BITS = 20  # for places in up to 2 * PIECE + LENGTH bytes
 BIN = 1 << 21  # bytes of distinct stretches in one merge, on average
 SHARDS = 4  # transforms a merge takes
 CROWDED = 1 << 22  # bytes of distinct stretches with one least gram beyond which windows are counted instead
@@ -41,18 +41,26 @@ def _powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return per_process("repeats:powers", build)
 
 
-def least_grams(data: np.ndarray, length: int, gram: int) -> np.ndarray:
-    """For each window of ``length`` bytes the least hash of the grams inside."""
+def least_grams(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of ``length`` bytes the least gram inside: (its hash, its place), the first of equals.
+
+    Hashes are compared by their upper bits, the place fills the others; equal windows choose alike.
+    """
     names, power, back = _powers()
     with np.errstate(over="ignore"):
         prefix = np.zeros(len(data) + 1, dtype=np.uint64)
         np.cumsum(names[data] * power[: len(data)], out=prefix[1:])
-        least = (prefix[gram:] - prefix[:-gram]) * back[: len(data) - gram + 1]
+        hashed = (prefix[gram:] - prefix[:-gram]) * back[: len(data) - gram + 1]
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    least = (hashed & ~low) | np.arange(len(hashed), dtype=np.uint64)
     width, reach = length - gram + 1, 1
     while 2 * reach <= width:
         least = np.minimum(least[:-reach], least[reach:])
         reach *= 2
-    return np.minimum(least[: len(least) - (width - reach)], least[width - reach :]) if reach < width else least
+    if reach < width:
+        least = np.minimum(least[: len(least) - (width - reach)], least[width - reach :])
+    place = (least & low).astype(np.int64)
+    return hashed[place], place
 
 
 def _pieces(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
@@ -73,25 +81,21 @@ def _pieces(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, by
 def stretches(texts: list[bytes], length: int = LENGTH, gram: int = GRAM, digest: bool = True):
     """(text number, start, windows, least gram, digest) arrays, for pieces of the texts.
 
-    A stretch is a row of neighbouring windows with the same least gram: equal windows lie in stretches with
-    equal grams, so only stretches that share one can hold them. Its bytes are those of its windows.
+    A stretch is a row of neighbouring windows whose least gram is the same one, at the same place. Equal
+    windows lie in two stretches with equal grams, even where they overlap: so only stretches that share one
+    can hold them. A stretch's bytes are those of its windows.
     """
     for held in _pieces(texts, length):
         buffer = b"".join(part for *_, part in held)
         data = np.frombuffer(buffer, dtype=np.uint8)
         size = np.array([len(part) for *_, part in held])
         end = np.cumsum(size)
-        least = least_grams(data, length, gram)
+        least, place = least_grams(data, length, gram)
         piece = np.repeat(np.arange(len(held)), size)[: len(least)]
         spot = np.flatnonzero(np.arange(len(least)) + length <= end[piece])
-        own, part = least[spot], piece[spot]
+        own, part = place[spot], piece[spot]
         new = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (part[1:] != part[:-1])])
         first, count = spot[new], np.diff(np.r_[new, len(spot)])
-        if count.max() > SPAN:
-            cuts = -(-count // SPAN)
-            within = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
-            first = np.repeat(first, cuts) + SPAN * within
-            count = np.minimum(SPAN, np.repeat(count, cuts) - SPAN * within)
         gram_of, part = least[first].view(np.int64), piece[first]
         number = np.array([n for n, *_ in held])[part]
         start = first - (end - size)[part] + np.array([at for _, at, _ in held])[part]
