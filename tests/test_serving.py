@@ -58,17 +58,26 @@ def test_latency_pool(spark):
     assert recent.latency_pool_avg(frame, first_n=1).first()["samples"] == 2
 
 
-@pytest.mark.parametrize("width", [0.5, 1.0, 1000.0])
-def test_percentiles_equal_the_builtin(spark, width):
+@pytest.mark.parametrize("parts", [1, 3, 40])
+@pytest.mark.parametrize("spread", [1.0, 1e-9, 1e300])
+def test_percentiles_equal_the_builtin(spark, parts, spread):
     rng = random.Random(5)
-    rows = [(k, rng.choice([rng.uniform(-5, 50), 7.0, 7.0])) for k in "abc" for _ in range(rng.randint(1, 400))]
+    rows = [(k, rng.choice([rng.uniform(-5, 50), 7.0, 7.0, spread * rng.random()])) for k in "abc" for _ in range(rng.randint(1, 400))]
     frame = spark.createDataFrame(rows + [("one", 3.0)], "k string, v double")
     probs = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
     counted = frame.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
-    found = {r["k"]: r for r in ordered.exact_percentiles(counted, ["k"], "v", "n", probs, width).collect()}
+    found = {r["k"]: r for r in ordered.exact_percentiles(counted, ["k"], "v", "n", probs, parts).collect()}
     want = {r["k"]: r for r in frame.groupBy("k").agg(*[F.percentile("v", p).alias(c) for c, p in probs.items()]).collect()}
     for k, row in want.items():
-        assert [found[k][c] for c in probs] == pytest.approx([row[c] for c in probs], abs=1e-9)
+        assert [found[k][c] for c in probs] == pytest.approx([row[c] for c in probs], rel=1e-12, abs=1e-9)
+
+
+def test_percentiles_of_a_narrow_range_are_dealt_evenly(spark):
+    counted = spark.range(8000).select(F.lit("a").alias("k"), (1 + F.col("id") * 1e-12).alias("v"), F.lit(1).cast("long").alias("n"))
+    dealt = counted.repartitionByRange(8, "k", "v").groupBy(F.spark_partition_id()).count().collect()
+    assert len(dealt) == 8 and max(r["count"] for r in dealt) < 2000
+    found = ordered.exact_percentiles(counted, ["k"], "v", "n", {"p50": 0.5}, 8).first()
+    assert found["p50"] == pytest.approx(1 + 3999.5e-12, abs=1e-15)
 
 
 def test_running_before_across_parts(spark):

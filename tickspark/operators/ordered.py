@@ -66,16 +66,24 @@ def tail_cut(rows: DataFrame, keys: list[str], need: int, micros_per_step: int)
 
 
 def exact_percentiles(
-    counted: DataFrame, keys: list[str], value: str, freq: str, probs: dict[str, float], bin_width: float = 1.0
+    counted: DataFrame, keys: list[str], value: str, freq: str, probs: dict[str, float], parts: int | None = None
 ) -> DataFrame:
     """Interpolated percentiles per key from a settled (key, value, frequency) table.
 
-    Values are counted per bin, the bin that holds each wanted rank is found from the running bin
-    counts, and only those bins are looked into. ``probs`` maps output columns to probabilities.
+    The rows, one for each distinct value of a key, are dealt by range to ``parts`` (by default the session's
+    shuffle partitions), which come out even however the values are distributed. Running counts over the
+    parts tell which of them hold the wanted ranks, and only those are looked into. ``probs`` maps output
+    columns to probabilities.
     """
-    binned = counted.withColumn("_bin", F.floor(F.col(value) / F.lit(float(bin_width))).cast("long"))
-    bins = binned.groupBy(*keys, "_bin").agg(F.sum(freq).alias("_n"))
-    bins = settle(running_before(bins, keys, "_bin", "_n", "_before"), "bins")
+    parts = parts or int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = counted.repartitionByRange(parts, *keys, value).withColumn("_bin", F.spark_partition_id())
+    binned = settle(dealt, "ranged")
+    before = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
+    bins = (
+        binned.groupBy(*keys, "_bin")
+        .agg(F.sum(freq).alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    )
     sizes = bins.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     wanted = []
     for name, p in probs.items():

@@ -79,17 +79,15 @@ def recent_or_last_n(
 ) -> DataFrame:
     """Recent trades; a product without any contributes its last ``n`` instead.
 
-    One pass finds each product's newest time. The reference instant and the idle products follow
-    from that small table; trades are then read once for the recent ones and once for the idle products.
+    A product's newest time tells whether it is idle. Those times, the recent trades and the last trades of
+    idle products are parts of one plan; only the reference instant is looked up ahead of it.
     """
     at = processed_time(trades)
-    newest = settle(
-        trades.groupBy("product").agg(F.max(at).alias("newest"), (F.count_if(at.isNull()) > 0).alias("untimed")), "newest"
-    )
-    reference = newest.select(F.max("newest")).scalar() if as_of is None else as_of_column(trades, as_of)
-    since = reference - F.make_dt_interval(secs=F.lit(seconds))
-    idle = newest.filter(~F.col("untimed") & (F.col("newest") < since)).select(F.col("product").alias("_idle"))
-    fresh = trades.filter(at.isNull() | (at >= since))
+    reference = trades.select(F.max(at)).first()[0] if as_of is None else as_of_column(trades, as_of)
+    since = (F.lit(reference).cast("timestamp") if as_of is None else reference) - F.make_dt_interval(secs=F.lit(seconds))
+    recent = F.coalesce(at >= since, F.lit(True)) if as_of is None else at.isNull() | (at >= since)
+    idle = trades.groupBy("product").agg(F.max(recent).alias("_any")).filter(~F.col("_any")).select(F.col("product").alias("_idle"))
+    fresh = trades.filter(recent)
     stale = trades.join(idle, F.col("product").eqNullSafe(F.col("_idle")), "left_semi")
     return fresh.unionByName(newest_per_product(stale, n, scan_order))
 
