@@ -218,8 +218,7 @@ def greedy_holdoff(
     groups = blocked.groupBy(*keys, "_block")
     steps = groups.applyInPandas(_step_table(keys, longest_micros), steps_type)
     entry = _entry_times(steps, keys, longest_micros, fan)
-    chosen = groups.cogroup(entry.groupBy(*keys, "_block")).applyInPandas(_select_block(keys), kept_type)
-    kept = settle(chosen, "kept")
+    kept = groups.cogroup(entry.groupBy(*keys, "_block")).applyInPandas(_select_block(keys), kept_type)
     found = timed.join(kept, [*keys, "_us", "_tie"])
     rest = [F.struct(*[c for c in columns if c not in keys])]
     return latest_per_key(found, [*keys, "_us"], rest).select(*columns)
