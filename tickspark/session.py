@@ -52,3 +52,9 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """The path with its store, by default the session's: every machine then means the same place."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(found).toString()

@@ -18,6 +18,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from ..operators.ordered import running_before
+from ..session import qualified_path
 
 SEGMENT = 10_000
 PLACE = (StructField("shard", LongType()), StructField("number", LongType()))
@@ -55,11 +56,12 @@ def write_shards(rows: DataFrame, path: str, segment: int = SEGMENT) -> str:
 
 
 def _open(path: str):
+    """The store of a path with its scheme, and the path inside it."""
     from pyarrow import fs
 
-    if "://" in path or path.startswith("file:"):
-        return fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and "///" not in path else path)
-    return fs.LocalFileSystem(), os.path.abspath(path)
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
+    return fs.FileSystem.from_uri(path)
 
 
 def _files(path: str) -> dict[int, dict[int, list[str]]]:
@@ -211,6 +213,6 @@ def stream_shards(
     return (
         spark.readStream.format("shards")
         .schema(StructType([*schema.fields, *PLACE]))
-        .options(path=path, progress=progress, starting=starting, limit=limit, segment=segment)
+        .options(path=qualified_path(spark, path), progress=qualified_path(spark, progress), starting=starting, limit=limit, segment=segment)
         .load()
     )
