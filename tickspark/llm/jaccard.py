@@ -16,10 +16,12 @@ from .components import components
 U64 = np.uint64
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 CACHE_ENTRIES = 100_000
-FLUSH = 1 << 21  # tokens a task holds before it sends them on
+FLUSH = 1 << 20  # tokens a task holds before it sends them on
+TEXTS = 256  # texts of a batch that are Python objects at a time
 BLOCK_BITS = 20  # cells of the count table that are added up together
+MOST_BITS = 30  # with more cells a task's counts would lie too far apart to be packed
 KEY_BITS = 40
-SPOT_BITS = 26
+SPOT_BITS = 27  # of the largest bitmap, 16 MB
 
 
 @dataclass(frozen=True)
@@ -111,21 +113,33 @@ def most_common(p: np.ndarray, q: np.ndarray) -> int:
 
 
 def pack_gaps(sorted_values: np.ndarray) -> bytes:
-    """Sorted numbers as gaps of one byte; 255 stands for 255 and more to come."""
+    """Sorted numbers below 2^21 as gaps of one to three bytes: seven bits each, a high bit if more follow."""
     gaps = np.diff(sorted_values, prepend=0).astype(np.int64)
-    jumps = gaps // 255
-    out = np.full(len(gaps) + int(jumps.sum()), 255, dtype=np.uint8)
-    out[np.cumsum(jumps + 1) - 1] = gaps % 255
+    width = 1 + (gaps >= 1 << 7) + (gaps >= 1 << 14)
+    last = np.cumsum(width) - 1
+    out = np.zeros(int(width.sum()), dtype=np.uint8)
+    out[last] = gaps & 127
+    for k in (1, 2):
+        long = width > k
+        out[last[long] - k] = 128 | ((gaps[long] >> (7 * k)) & 127)
     return out.tobytes()
 
 
 def unpack_gaps(raw: bytes) -> np.ndarray:
-    gaps = np.frombuffer(raw, dtype=np.uint8)
-    return np.cumsum(gaps, dtype=np.int64)[gaps != 255]
+    code = np.frombuffer(raw, dtype=np.uint8)
+    last = np.flatnonzero(code < 128)
+    width, gaps = np.diff(last, prepend=-1), code[last].astype(np.int64)
+    for k in (1, 2):
+        long = width > k
+        gaps[long] += (code[last[long] - k].astype(np.int64) & 127) << (7 * k)
+    return np.cumsum(gaps)
 
 
-def _texts(batch) -> list:
-    return batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
+def _texts(batch):
+    """The texts as bytes, a few at a time: a batch may be large, and is held by Arrow already."""
+    column = batch.column(batch.schema.get_field_index("text")).cast(pa.binary())
+    for i in range(0, len(column), TEXTS):
+        yield from column.slice(i, TEXTS).to_pylist()
 
 
 def measured(docs: DataFrame, extra: list[str], bits: int, s: Settings) -> DataFrame:
@@ -406,39 +420,59 @@ def possible(pairs: DataFrame, profiles: DataFrame, s: Settings) -> DataFrame:
     return both.mapInArrow(run, "hub long, cls long, good boolean, least double")
 
 
-def spot_of(column: str | Column) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(1 << SPOT_BITS))
+def spot_of(column: str | Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(1 << bits))
 
 
-def sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
-    """(cls, tokens): at least the sets of the ``wanted`` classes (cls), computed again from the text of
-    the document that stands for the class. Which documents these are goes to the tasks as a bitmap of
-    ``SPOT_BITS`` bits, 8 MB whatever the corpus; a few others may pass it."""
-    spots = wanted.join(classes.select("cls", "rep"), "cls").select((spot_of("rep") + 1).alias("spot"))
-    pages = (
-        spots.groupBy(F.bitmap_bucket_number("spot").alias("page"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
-        .collect()
-    )
-    bitmap = np.zeros((1 << SPOT_BITS) // 8, dtype=np.uint8)
-    for page, bits in pages:
-        bitmap[(page - 1) * 4096 : page * 4096] = np.frombuffer(bytes(bits), dtype=np.uint8)
+def with_sets(docs: DataFrame, classes: DataFrame, rows: DataFrame, s: Settings) -> DataFrame:
+    """``rows`` (cls and others) with the ``tokens`` of each class, computed again from the text of the
+    document that stands for it. Sets meet their rows by class and id, so copies of one text that come
+    through beside that document don't meet in one task.
+
+    Which documents are read goes to the tasks as a bitmap with eight to sixteen bits for each one
+    wanted, so few others come through. Where the largest bitmap is too small for that, texts meet
+    the wanted ids in a join instead.
+    """
+    rows = stored(rows.join(classes.select("cls", "rep"), "cls"), "wanted")
+    wanted = stored(rows.select("rep").distinct(), "wanted-ids")
+    count = wanted.count()
+    bits = max(15, math.ceil(math.log2(8 * max(1, count))))
+    slim, bitmap = docs.select("text", "doc_id"), None
+    if bits > SPOT_BITS:
+        slim = slim.join(wanted, same(F.col("doc_id"), F.col("rep")), "left_semi")
+    else:
+        slim = slim.withColumn("spot", spot_of("doc_id", bits))
+        pages = (
+            wanted.select((spot_of("rep", bits) + 1).alias("spot"))
+            .groupBy(F.bitmap_bucket_number("spot").alias("page"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
+            .collect()
+        )
+        bitmap = np.zeros((1 << bits) // 8, dtype=np.uint8)
+        for page, raw in pages:
+            bitmap[(page - 1) * 4096 : page * 4096] = np.frombuffer(bytes(raw), dtype=np.uint8)
 
     def run(batches):
         sh = shingler(s.words)
         for b in batches:
-            spot = b.column(1).to_numpy()
-            hit = np.flatnonzero((bitmap[spot >> 3] >> (spot & 7)) & 1)
-            if not len(hit):
-                continue
-            texts = b.column(0).take(pa.array(hit)).cast(pa.binary()).to_pylist()
-            found = [t for t in map(sh.tokens, texts) if len(t)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([set_id(t) for t in found], pa.int64()), pa.array([t.tobytes() for t in found], pa.binary())],
-                ["cls", "tokens"],
-            )
-
-    return docs.select("text", spot_of("doc_id").alias("spot")).mapInArrow(run, "cls long, tokens binary")
+            if bitmap is not None:
+                spot = b.column(2).to_numpy()
+                b = b.take(pa.array(np.flatnonzero((bitmap[spot >> 3] >> (spot & 7)) & 1)))
+            for i in range(0, b.num_rows, TEXTS):
+                part = b.slice(i, TEXTS)
+                found = [sh.tokens(t) for t in _texts(part)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(1),
+                        pa.array([set_id(t) for t in found], pa.int64()),
+                        pa.array([t.tobytes() for t in found], pa.binary()),
+                    ],
+                    ["rep", "cls", "tokens"],
+                )
+
+    sets = slim.mapInArrow(run, f"rep {dict(docs.dtypes)['doc_id']}, cls long, tokens binary").alias("t")
+    met = (F.col("w.cls") == F.col("t.cls")) & same(F.col("w.rep"), F.col("t.rep"))
+    return rows.alias("w").join(sets, met).select("w.*", "tokens").drop("rep")
 
 
 def compared(docs: DataFrame, classes: DataFrame, pairs: DataFrame, s: Settings) -> DataFrame:
@@ -450,8 +484,6 @@ def compared(docs: DataFrame, classes: DataFrame, pairs: DataFrame, s: Settings)
     rows = dealt.select("hub", "part", F.lit(1).alias("kind"), "cls").unionByName(
         dealt.select("hub", "part", F.lit(0).alias("kind"), F.col("hub").alias("cls")).distinct()
     )
-    rows = stored(rows, "pairs")
-    sets = sets_of(docs, classes, rows.select("cls").distinct(), s)
 
     def run(batches):
         for key, t in sorted_runs(batches, ["hub", "part"]):
@@ -473,7 +505,7 @@ def compared(docs: DataFrame, classes: DataFrame, pairs: DataFrame, s: Settings)
                 ["hub", "cls", "far", "linked"],
             )
 
-    joined = rows.join(sets, "cls").select("hub", "part", "kind", "cls", "tokens")
+    joined = with_sets(docs, classes, rows, s)
     return stored(
         joined.repartition("hub", "part")
         .sortWithinPartitions("hub", "part", "kind")
@@ -632,7 +664,6 @@ def remaining_links(
     )
     if dealt.isEmpty():
         return dealt.select(F.col("cls").alias("a"), F.col("root").alias("b"))
-    sets = sets_of(docs, classes, dealt.select("cls").distinct(), s)
 
     def run(batches):
         for _, t in sorted_runs(batches, ["hub", "i", "j"]):
@@ -641,7 +672,7 @@ def remaining_links(
                 a, b = zip(*found)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    joined = dealt.join(sets, "cls").select("hub", "i", "j", "block", "root", "far", "tokens")
+    joined = with_sets(docs, classes, dealt, s)
     return (
         joined.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j").mapInArrow(run, "a long, b long").distinct()
     )
@@ -657,7 +688,7 @@ def near_groups(docs: DataFrame, s: Settings = Settings(), extra: tuple[str, ...
     """
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     shingles = max(1.0, chars / 6)
-    bits = min(40, max(BLOCK_BITS, math.ceil(math.log2(shingles)) + 1))
+    bits = min(MOST_BITS, max(BLOCK_BITS, math.ceil(math.log2(shingles)) + 1))
     part_bits = min(20, max(0, math.ceil(math.log2(0.25 * shingles / s.postings_per_part))))
     rows = stored(measured(docs, list(extra), bits, s), "shingled")
     found = rows.filter("block is null").select("doc_id", *extra, "n", "cls")
