@@ -429,16 +429,16 @@ def with_sets(docs: DataFrame, classes: DataFrame, rows: DataFrame, s: Settings)
     document that stands for it. Sets meet their rows by class and id, so copies of one text that come
     through beside that document don't meet in one task.
 
-    Which documents are read goes to the tasks as a bitmap with eight to sixteen bits for each one
-    wanted, so few others come through. Where the largest bitmap is too small for that, texts meet
-    the wanted ids in a join instead.
+    Which documents are read goes to the tasks as a bitmap with 64 bits for each one wanted, or as many
+    as the largest bitmap has, so few others come through. Where that has fewer than eight, texts
+    meet the wanted ids in a join instead.
     """
     rows = stored(rows.join(classes.select("cls", "rep"), "cls"), "wanted")
     wanted = stored(rows.select("rep").distinct(), "wanted-ids")
     count = wanted.count()
-    bits = max(15, math.ceil(math.log2(8 * max(1, count))))
+    bits = min(SPOT_BITS, max(15, math.ceil(math.log2(64 * max(1, count)))))
     slim, bitmap = docs.select("text", "doc_id"), None
-    if bits > SPOT_BITS:
+    if 8 * count > 1 << SPOT_BITS:
         slim = slim.join(wanted, same(F.col("doc_id"), F.col("rep")), "left_semi")
     else:
         slim = slim.withColumn("spot", spot_of("doc_id", bits))
