@@ -1,12 +1,13 @@
 """Batch writers with several outputs, flushes with timers, bounded state, counters and reports."""
 
+import functools
 import json
 import os
 from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tests.test_streams import feed, run, same, stream, trades  # noqa: F401
 from tickspark.operators import batch, counters, holdoff, windows
@@ -92,6 +93,25 @@ def test_windows_and_late_rows_add_up(spark, folder):
     assert found.count() <= windows.sliding_window_summary(everything, 60, 20).count()
 
 
+@pytest.mark.parametrize("cuts", [[[0, 1, 2, 3]], [[0, 1], [2, 3]], [[0], [1, 2, 3]]])
+def test_polls_of_one_batch_have_their_own_watermarks(spark, folder, cuts):
+    """However polls are dealt to batches, windows and late trades are those of a batch for each poll."""
+    polls = []
+    for number, seconds in enumerate(LATE):
+        rows = [(10 * number + i, START + timedelta(seconds=s), "A", 1.0, 1.0, "buy", START, None) for i, s in enumerate(seconds)]
+        polls.append(spark.createDataFrame(rows, TRADE))
+        batches.put_windows_and_late(f"{folder}/apart", 60, 20, delay_seconds=30)(polls[-1], number)
+    write = batches.put_windows_and_late(f"{folder}/together", 60, 20, delay_seconds=30)
+    for number, group in enumerate(cuts):
+        frames = [polls[n].withColumn("poll", F.lit(n).cast("long")) for n in group]
+        write(functools.reduce(DataFrame.union, frames), number)
+    for closed in (False, True):
+        got, want = (batches.read_windows(spark, f"{folder}/{n}", 60, 20, 30, closed) for n in ("together", "apart"))
+        same(got, want)
+    late = batches.read_late(spark, f"{folder}/together", TRADE)
+    assert {r["trade_id"]: r["missed"] for r in late.collect()} == expected_late(LATE)
+
+
 def expected_late(groups, size=60, slide=20, delay=30):
     newest, out = None, {}
     for number, seconds in enumerate(groups):

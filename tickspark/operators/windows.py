@@ -298,10 +298,10 @@ def finish_windows(stats: DataFrame, start: Column, end: Column) -> DataFrame:
     )
 
 
-def panes_of(trades: DataFrame, size: int, slide: int, at: str = "time") -> DataFrame:
-    """Mergeable statistics per product and pane, the stretch of time that no window cuts."""
+def panes_of(trades: DataFrame, size: int, slide: int, at: str = "time", also: tuple[str, ...] = ()) -> DataFrame:
+    """Mergeable statistics per product and pane, the stretch of time that no window cuts, and per columns ``also``."""
     rows, _ = _panes(trades, size, slide, at)
-    return rows.groupBy("product", "pane_no").agg(*window_stats())
+    return rows.groupBy("product", "pane_no", *also).agg(*window_stats())
 
 
 def merge_panes(panes: DataFrame, size: int, slide: int, closed_until: Column | None = None) -> DataFrame:

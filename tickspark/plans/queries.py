@@ -24,6 +24,8 @@ THROTTLE_SECONDS = 300
 FLUSH_ROWS = 5_000  # the stock 100 rows per file would drown large tables in files
 POLL_ROWS = 4_000  # records a poll takes from a shard; the stock 100 would need many polls over large tables
 SHARD_ROWS = 200
+POLLS = 256  # polls that a micro-batch takes at most when the stream is behind
+SEGMENT_ROWS = 25 * POLL_ROWS
 FLUSH_BATCH, FLUSH_HOURS = 20, 6  # so that the given event rate closes batches by count and by time
 ALERTS = fleet.AlertRule(
     high=60.0, low=45.0, min_level=1, max_level=3, hold=7200.0, cooldown=10800.0, up_delay=16.0, down_delay=1.0
@@ -91,9 +93,12 @@ def closed(spark, sf_dir, flow, span: int) -> DataFrame:
 
 
 def run_polls(spark, rows: DataFrame, start, limit: int = POLL_ROWS) -> None:
-    """Write numbered rows as shards and run a stream over them from their first record, ``limit`` a poll and shard."""
-    path = shards.write_shards(rows, scratch_path(spark, "shards"), limit)
-    stream = shards.stream_shards(spark, path, TRADE, scratch_path(spark, "progress"), "earliest", limit, limit)
+    """Write numbered rows as shards and run a stream over them from their first record, ``limit`` a poll and shard.
+
+    ``start`` gets the trades with the poll they came with.
+    """
+    path = shards.write_shards(rows, scratch_path(spark, "shards"), SEGMENT_ROWS)
+    stream = shards.stream_shards(spark, path, TRADE, scratch_path(spark, "progress"), "earliest", limit, SEGMENT_ROWS, POLLS)
     writer = start(stream.drop("shard", "number"))
     feeds.run_drained(writer.option("checkpointLocation", scratch_path(spark, "stream")))
 
@@ -243,7 +248,7 @@ def sink_speed_upsert(spark, sf_dir):
 def sink_merged_store(spark, sf_dir):
     """The keyed store after polls of which every second one is followed by a merge."""
     out = scratch_path(spark, "merged-store")
-    start = lambda s: rewritten(s).writeStream.foreachBatch(versions.upsert_and_merge(out, TRADE, every=2))
+    start = lambda s: rewritten(s.drop("poll")).writeStream.foreachBatch(versions.upsert_and_merge(out, TRADE, every=2))
     run_polls(spark, one_shard(spark, sf_dir), start)
     return versions.read_store(spark, out, TRADE).select("product", "trade_id", "price", "size", "processed_at")
 
@@ -683,7 +688,7 @@ def stream_observed_counters(spark, sf_dir):
     write = lambda b, n: appended.put(batch.product_partials(b), out, n)
     spark.streams.addListener(log)
     try:
-        start = lambda s: counters.counted_trades(s, bounds=BOUNDS).writeStream.foreachBatch(write)
+        start = lambda s: counters.counted_trades(s.drop("poll"), bounds=BOUNDS).writeStream.foreachBatch(write)
         run_polls(spark, one_shard(spark, sf_dir), start)
         log.ended.wait(60)
     finally:
@@ -804,7 +809,8 @@ def stream_throttle(spark, sf_dir):
 def stream_throttle_all(spark, sf_dir):
     """One clock for all products, over polls of one shard."""
     out = scratch_path(spark, "throttled")
-    run_polls(spark, one_shard(spark, sf_dir), lambda s: s.writeStream.foreachBatch(batches.put_throttled(out, THROTTLE_SECONDS)))
+    write = batches.put_throttled(out, THROTTLE_SECONDS)
+    run_polls(spark, one_shard(spark, sf_dir), lambda s: s.drop("poll").writeStream.foreachBatch(write))
     return stores.read_appended(spark, f"{out}/kept", TRADE).select("product", "trade_id", "time")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.dedup import latest_per_key
@@ -40,19 +40,27 @@ def put_windows_and_late(
 ) -> Callable[[DataFrame, int], None]:
     """Writer of window partials (``path/panes``) and of trades too late for some of their windows (``path/late``).
 
-    The watermark of a batch is the newest time of the batches before it less ``delay_seconds``; a window
-    whose end it has passed takes nothing more. A late trade says how many of its windows it missed.
+    The watermark of a poll is the newest time of the polls before it less ``delay_seconds``; a window
+    whose end it has passed takes nothing more. A late trade says how many of its windows it missed. A batch
+    without a column ``poll`` is one poll; of several polls in a batch each has its own watermark.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         newest = _clock_before(batch.sparkSession, path, batch_id)
-        until = F.lit(None if newest is None else newest - delay_seconds * 1_000_000).cast("long")
-        held = batch.persist()
+        polled = batch if "poll" in batch.columns else batch.withColumn("poll", F.lit(0).cast("long"))
+        held = polled.persist()
         try:
-            put(panes_of(held, size, slide).withColumn("closed_until", until), f"{path}/panes", batch_id, "product")
-            missed = held.withColumn("missed", windows_closed_by(held, size, slide, until))
-            put(missed.filter(F.col("missed") > 0), f"{path}/late", batch_id)
-            _put_clock(held.agg(F.max(F.unix_micros("time")).alias("us")), path, batch_id)
+            clock = held.groupBy("poll").agg(F.max(F.unix_micros("time")).alias("us"))
+            # a row for each poll of the batch, of which the source bounds the number
+            earlier = F.max("us").over(Window.orderBy("poll").rowsBetween(Window.unboundedPreceding, -1))
+            until = F.greatest(F.lit(newest).cast("long"), earlier) - delay_seconds * 1_000_000
+            closing = clock.select("poll", until.alias("closed_until"))
+            timed = held.join(closing, "poll").drop("poll")
+            panes = panes_of(timed, size, slide, also=("closed_until",))
+            put(panes, f"{path}/panes", batch_id, "product")
+            missed = timed.withColumn("missed", windows_closed_by(timed, size, slide, F.col("closed_until")))
+            put(missed.filter(F.col("missed") > 0).drop("closed_until"), f"{path}/late", batch_id)
+            _put_clock(clock.agg(F.max("us").alias("us")), path, batch_id)
         finally:
             held.unpersist()
 
