@@ -843,11 +843,11 @@ def stream_shard_polls(spark, sf_dir):
     write = lambda b, n: appended.put(b, out, n)
     for part in (rows.filter(half), rows.filter(~half)):  # the second run goes on where the first one stopped
         shards.write_shards(part, path)
-        stream = shards.stream_shards(spark, path, TRADE, progress, "latest", SHARD_ROWS)
+        stream = shards.stream_shards(spark, path, TRADE, progress, "latest", SHARD_ROWS, polls=POLLS)
         feeds.run_drained(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
     polls = stores.read_appended(spark, out, found)
-    first = polls.agg(F.min("batch_id")).first()[0]
-    return polls.select("shard", "number", "trade_id", "price", (F.col("batch_id") - F.lit(first)).cast("long").alias("poll"))
+    first = polls.agg(F.min("poll")).first()[0]
+    return polls.select("shard", "number", "trade_id", "price", (F.col("poll") - F.lit(first)).cast("long").alias("poll"))
 
 
 @query
