@@ -81,3 +81,30 @@ def test_expiry_keeps_what_two_versions_need(spark, folder):
     assert prices(versions.read_store(spark, folder, TRADE)) == want
     assert prices(versions.read_store(spark, folder, TRADE, version=2)) == pinned == {**{n: float(n) for n in range(4)}, 100: 3.0}
     assert versions.read_store(spark, folder, TRADE).filter(F.col("trade_id") == 100).count() == 1
+
+
+def test_a_merge_leaves_a_much_larger_base_alone(spark, folder):
+    write = versions.upsert_and_merge(folder, TRADE, every=1)
+    write(batch_of(spark, range(20_000), 10), 0)
+    large = versions.manifest(spark, folder)["base"]
+    for n in range(1, 5):
+        write(batch_of(spark, [n, 20_000 + n], 10 + n), n)
+    state = versions.manifest(spark, folder)
+    assert state["below"] == [large] and state["version"] == 5 and state["through"] == 4
+    want = {**{i: 10.0 for i in range(20_000)}, **{n: 10.0 + n for n in range(1, 5)}, **{20_000 + n: 10.0 + n for n in range(1, 5)}}
+    assert prices(versions.read_store(spark, folder, TRADE)) == want
+    versions.expire_versions(spark, folder, keep=1)
+    assert sorted(os.listdir(f"{folder}/_base")) == sorted([large, state["base"]])
+    assert prices(versions.read_store(spark, folder, TRADE)) == want
+    write(batch_of(spark, range(20_000), 90), 5)  # as much again: now they are one
+    assert versions.manifest(spark, folder)["below"] == []
+    assert prices(versions.read_store(spark, folder, TRADE)) == {**want, **{i: 90.0 for i in range(20_000)}}
+
+
+def test_merges_rewrite_each_row_a_few_times_only(spark, folder):
+    write, written = versions.upsert_and_merge(folder, TRADE, every=1), 0
+    for n in range(12):
+        write(batch_of(spark, range(2000 * n, 2000 * n + 2000), 10), n)
+        written += spark.read.parquet(f"{folder}/_base/{versions.manifest(spark, folder)['base']}").count()
+    assert written < 12 * 2000 * 4  # all of it each time would be 6.5 times
+    assert versions.read_store(spark, folder, TRADE).count() == 24_000

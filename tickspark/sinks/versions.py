@@ -1,7 +1,9 @@
 """Versions of a keyed store: appended batches are folded into a new base, and a manifest switches to it at once.
 
 Layout beside the ``batch_id=N`` folders of ``sinks.appended``: ``_base/<name>`` holds folded rows, and
-``_versions/<number>.json`` says which base is valid and up to which batch it has everything. A manifest is
+``_versions/<number>.json`` says which base is valid, which older ones ``below`` it still are, and up to which
+batch they have everything. A merge folds an older base too unless that is more than ``GROWTH`` times the rest, so
+a row is rewritten a logarithmic number of times, not by every merge. A manifest is
 written under another name and renamed to a name that must be free: of two writers one wins, and readers see
 the old version or the new one. Nothing that a version names is changed afterwards.
 """
@@ -18,7 +20,8 @@ from pyspark.sql.types import StructType
 from ..operators.dedup import dedup_by_trade_id
 from .appended import upsert_trades
 
-NOTHING = {"version": 0, "base": None, "through": -1}
+NOTHING = {"version": 0, "base": None, "below": [], "through": -1}
+GROWTH = 2
 
 
 class Lost(RuntimeError):
@@ -78,22 +81,31 @@ def _batches(spark: SparkSession, path: str, after: int, upto: int | None = None
     return sorted(n for n in numbers if n > after and (upto is None or n <= upto))
 
 
-def _rows(spark: SparkSession, path: str, state: dict, batches: list[int], schema: StructType) -> DataFrame:
-    folders = [f"{path}/_base/{state['base']}"] if state["base"] else []
-    folders += [f"{path}/batch_id={n}" for n in batches]
+def _bases(state: dict) -> list[str]:
+    """The bases of a version, the newest one last."""
+    return [*state.get("below", []), *([state["base"]] if state["base"] else [])]
+
+
+def _bytes(spark: SparkSession, *parts: str) -> int:
+    folder = _path(spark, *parts)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
+def _rows(spark: SparkSession, path: str, bases: list[str], batches: list[int], schema: StructType) -> DataFrame:
+    folders = [f"{path}/_base/{name}" for name in bases] + [f"{path}/batch_id={n}" for n in batches]
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
 def read_store(
     spark: SparkSession, path: str, schema: StructType, key=("product", "trade_id"), version: int | None = None
 ) -> DataFrame:
-    """The last write of every key: a version's base, and for the newest version the batches after it.
+    """The last write of every key: a version's bases, and for the newest version the batches after them.
 
     The folders are chosen now; what is merged or appended later does not change this table.
     """
     state = manifest(spark, path, version)
     batches = _batches(spark, path, state["through"]) if version is None else []
-    return dedup_by_trade_id(_rows(spark, path, state, batches, schema), key)
+    return dedup_by_trade_id(_rows(spark, path, _bases(state), batches, schema), key)
 
 
 def merge_store(
@@ -107,9 +119,14 @@ def merge_store(
     batches = _batches(spark, path, state["through"], through)
     if not batches:
         return state
+    below, folded = _bases(state), []
+    size = sum(_bytes(spark, path, f"batch_id={n}") for n in batches)
+    while below and (older := _bytes(spark, path, "_base", below[-1])) <= GROWTH * size:
+        folded.append(below.pop())
+        size += older
     name = f"v{state['version'] + 1}-{uuid.uuid4().hex}"
-    dedup_by_trade_id(_rows(spark, path, state, batches, schema), key).write.parquet(f"{path}/_base/{name}")
-    new = {"version": state["version"] + 1, "base": name, "through": batches[-1]}
+    dedup_by_trade_id(_rows(spark, path, folded, batches, schema), key).write.parquet(f"{path}/_base/{name}")
+    new = {"version": state["version"] + 1, "base": name, "below": below, "through": batches[-1]}
     publish(spark, path, new)
     return new
 
@@ -120,7 +137,7 @@ def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     oldest = max(0, newest["version"] - keep + 1)
     kept = [manifest(spark, path, v) for v in range(max(1, oldest), newest["version"] + 1)]
     system = _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
-    known = {s["base"] for s in kept}
+    known = {name for s in kept for name in _bases(s)}
     gone = [f"_base/{n}" for n in _listed(spark, path, "_base") if n not in known]
     gone += [f"_versions/{n}" for n in _listed(spark, path, "_versions") if n.endswith(".json") and int(n[:-5]) < oldest]
     folded = min((s["through"] for s in kept), default=-1)
