@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tests.test_streams import feed, run, same, stream, trades  # noqa: F401
 from tickspark.operators import batch, counters, holdoff, windows
+from tickspark.plans import queries as q
 from tickspark.schema import EVENT_PRICE_BOUNDS as BOUNDS, TRADE
 from tickspark.sources import stores
 from tickspark.streaming import batches, feeds, flush, state
@@ -158,6 +159,23 @@ def test_throttle_in_batches(spark, feed, trades, folder, key):  # noqa: F811
     same(got, holdoff.throttle_min_gap(trades, 300, key))
 
 
+def test_throttle_takes_many_polls_in_few_batches_and_reads_each_clock_once(spark, sf_dir, trades, folder, monkeypatch):  # noqa: F811
+    reads = []
+    monkeypatch.setattr(batches, "read_appended", lambda *a: reads.append(a) or stores.read_appended(*a))
+    write, ids = batches.put_throttled(folder, 300), []
+
+    def counted(rows, batch_id):
+        ids.append(batch_id)
+        write(rows, batch_id)
+
+    q.run_polls(spark, q.one_shard(spark, sf_dir), lambda s: s.drop("poll").writeStream.foreachBatch(counted), 50)
+    got = stores.read_appended(spark, f"{folder}/kept", TRADE).drop("batch_id")
+    same(got, holdoff.throttle_min_gap(trades, 300, None))
+    assert len(ids) <= 7 and len(reads) == 1  # 20 polls
+    batches.put_throttled(folder, 300)(trades.filter(F.lit(False)), ids[-1] + 1)  # another writer reads them again
+    assert len(reads) == 2
+
+
 def test_idle_products_leave_no_state(spark, folder):
     source, checkpoint, clock = (f"{folder}/{n}" for n in ("in", "checkpoint", "clock"))
     os.makedirs(source)

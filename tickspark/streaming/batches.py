@@ -22,14 +22,29 @@ from ..sources.stores import read_appended
 CLOCK = StructType([StructField("us", LongType())])
 
 
-def _clock_before(spark: SparkSession, path: str, batch_id: int) -> int | None:
-    """The greatest time that batches before this one have kept, in microseconds."""
-    kept = read_appended(spark, f"{path}/clock", CLOCK).filter(F.col("batch_id") < batch_id)
-    return kept.agg(F.max("us")).first()[0]
+class _Clock:
+    """The greatest time that the batches of a store have kept, in microseconds.
 
+    The folders of all earlier batches are read once, at the writer's first batch or a retried one; after that
+    what the batch before has left is still known, so the work of a batch does not grow with their number.
+    """
+
+    def __init__(self, path: str):
+        self.path, self.through, self.us = f"{path}/clock", None, None
+
+    def before(self, spark: SparkSession, batch_id: int) -> int | None:
+        if self.through is None or self.through != batch_id - 1:
+            kept = read_appended(spark, self.path, CLOCK).filter(F.col("batch_id") < batch_id)
+            self.us = kept.agg(F.max("us")).first()[0]
+            self.through = batch_id - 1
+        return self.us
 
-def _put_clock(frame: DataFrame, path: str, batch_id: int) -> None:
-    put(frame, f"{path}/clock", batch_id)
+    def put(self, frame: DataFrame, batch_id: int) -> None:
+        """Write a batch's own time; :meth:`before` was asked for this batch."""
+        put(frame, self.path, batch_id)
+        own = frame.sparkSession.read.schema(CLOCK).parquet(f"{self.path}/batch_id={batch_id}").first()[0]
+        self.us = max((us for us in (self.us, own) if us is not None), default=None)
+        self.through = batch_id
 
 
 # ---- windows, and what comes too late for them --------------------------------------------------
@@ -44,23 +59,24 @@ def put_windows_and_late(
     whose end it has passed takes nothing more. A late trade says how many of its windows it missed. A batch
     without a column ``poll`` is one poll; of several polls in a batch each has its own watermark.
     """
+    clock = _Clock(path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        newest = _clock_before(batch.sparkSession, path, batch_id)
+        newest = clock.before(batch.sparkSession, batch_id)
         polled = batch if "poll" in batch.columns else batch.withColumn("poll", F.lit(0).cast("long"))
         held = polled.persist()
         try:
-            clock = held.groupBy("poll").agg(F.max(F.unix_micros("time")).alias("us"))
+            newest_of = held.groupBy("poll").agg(F.max(F.unix_micros("time")).alias("us"))
             # a row for each poll of the batch, of which the source bounds the number
             earlier = F.max("us").over(Window.orderBy("poll").rowsBetween(Window.unboundedPreceding, -1))
             until = F.greatest(F.lit(newest).cast("long"), earlier) - delay_seconds * 1_000_000
-            closing = clock.select("poll", until.alias("closed_until"))
+            closing = newest_of.select("poll", until.alias("closed_until"))
             timed = held.join(closing, "poll").drop("poll")
             panes = panes_of(timed, size, slide, also=("closed_until",))
             put(panes, f"{path}/panes", batch_id, "product")
             missed = timed.withColumn("missed", windows_closed_by(timed, size, slide, F.col("closed_until")))
             put(missed.filter(F.col("missed") > 0).drop("closed_until"), f"{path}/late", batch_id)
-            _put_clock(clock.agg(F.max("us").alias("us")), path, batch_id)
+            clock.put(newest_of.agg(F.max("us").alias("us")), batch_id)
         finally:
             held.unpersist()
 
@@ -131,12 +147,13 @@ def put_throttled(path: str, seconds: float = 1.0, key: str | None = None) -> Ca
     no single task's work. Trades before that time are not kept; batches come in order of time.
     """
     hold = round(seconds * 1_000_000)
+    clock = _Clock(path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         us = F.unix_micros("time")
         if key is None:
-            ready = _clock_before(spark, path, batch_id)
+            ready = clock.before(spark, batch_id)
             free = batch if ready is None else batch.filter(us >= ready)
         else:
             schema = StructType([StructField(key, batch.schema[key].dataType), *CLOCK.fields])
@@ -146,7 +163,10 @@ def put_throttled(path: str, seconds: float = 1.0, key: str | None = None) -> Ca
             free = joined.filter(us >= F.coalesce("_ready", F.lit(-(2**62)))).drop("_key", "_ready")
         put(throttle_min_gap(free, seconds, key), f"{path}/kept", batch_id)
         kept = spark.read.schema(batch.schema).parquet(f"{path}/kept/batch_id={batch_id}")
-        groups = kept.groupBy(key) if key else kept
-        _put_clock(groups.agg((F.max(us) + hold).alias("us")), path, batch_id)
+        until = (F.max(us) + hold).alias("us")
+        if key is None:
+            clock.put(kept.agg(until), batch_id)
+        else:
+            put(kept.groupBy(key).agg(until), f"{path}/clock", batch_id)
 
     return write
