@@ -176,6 +176,22 @@ def test_throttle_takes_many_polls_in_few_batches_and_reads_each_clock_once(spar
     assert len(reads) == 2
 
 
+def test_counters_of_many_polls_come_from_few_batches(spark, sf_dir, trades, monkeypatch):  # noqa: F811
+    polls, logs = q.run_polls, []
+
+    class Log(counters.CounterLog):
+        def __init__(self):
+            super().__init__()
+            logs.append(self)
+
+    monkeypatch.setattr(counters, "CounterLog", Log)
+    monkeypatch.setattr(q, "run_polls", lambda spark, rows, start: polls(spark, rows, start, 50))
+    found = q.QUERIES["stream_observed_counters"](spark, sf_dir).first().asDict()
+    want = batch.batch_counters(trades, BOUNDS).first().asDict()
+    assert found == {k: want[k] for k in found}
+    assert 2 <= len(logs[0].rows) <= 7  # 20 polls
+
+
 def test_idle_products_leave_no_state(spark, folder):
     source, checkpoint, clock = (f"{folder}/{n}" for n in ("in", "checkpoint", "clock"))
     os.makedirs(source)
