@@ -6,8 +6,10 @@ import os
 from datetime import datetime, timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tests.test_streams import feed, run, same, stream, trades  # noqa: F401
 from tickspark.operators import batch, counters, holdoff, windows
@@ -192,6 +194,18 @@ def test_counters_of_many_polls_come_from_few_batches(spark, sf_dir, trades, mon
     assert 2 <= len(logs[0].rows) <= 7  # 20 polls
 
 
+def test_closed_batches_come_in_large_pieces():
+    frame = pd.DataFrame({"trade_id": range(25_000)})
+    processor = flush.CountOrTime(StructType([StructField("trade_id", LongType())]), 20, 60)
+    done = [(i, i + 20, flush.BY_COUNT if i % 40 else flush.BY_TIME) for i in range(0, 25_000, 20)]
+    pieces = list(processor._closed(frame, 7, done))
+    assert len(pieces) == 3
+    out = pd.concat(pieces)
+    assert out["trade_id"].tolist() == list(range(25_000))
+    assert out["flush"].tolist() == [7 + i // 20 for i in range(25_000)]
+    assert out["reason"].tolist() == [flush.BY_COUNT if i // 20 % 2 else flush.BY_TIME for i in range(25_000)]
+
+
 def test_idle_products_leave_no_state(spark, folder):
     source, checkpoint, clock = (f"{folder}/{n}" for n in ("in", "checkpoint", "clock"))
     os.makedirs(source)

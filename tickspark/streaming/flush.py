@@ -14,6 +14,7 @@ from .feeds import FLUSH_ROWS, with_clock
 
 FLUSH_SECONDS = 60
 BY_COUNT, BY_TIME = "count", "time"
+PIECE_ROWS = 10_000  # rows handed out at a time
 
 
 def cut_batches(us: np.ndarray, rows: int, micros: int) -> tuple[list[tuple[int, int, str]], int]:
@@ -52,6 +53,15 @@ class CountOrTime(StatefulProcessor):
     def _out(self, frame: pd.DataFrame, number: int, reason: str) -> pd.DataFrame:
         return frame.assign(flush=number, reason=reason)[[*self.schema.names, "flush", "reason"]]
 
+    def _closed(self, frame: pd.DataFrame, number: int, done: list[tuple[int, int, str]]) -> Iterator[pd.DataFrame]:
+        """Closed batches, which lie end to end in ``frame``, in pieces that don't depend on the batches' size."""
+        sizes = [last - first for first, last, _ in done]
+        flushes = np.repeat(np.arange(number, number + len(done), dtype=np.int64), sizes)
+        reasons = np.repeat(np.array([reason for *_, reason in done], dtype=object), sizes)
+        for at in range(0, len(frame), PIECE_ROWS):
+            piece = slice(at, at + PIECE_ROWS)
+            yield frame.iloc[piece].assign(flush=flushes[piece], reason=reasons[piece])[[*self.schema.names, "flush", "reason"]]
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat([p[self.schema.names] for p in rows], ignore_index=True)
         if not len(new):
@@ -61,9 +71,8 @@ class CountOrTime(StatefulProcessor):
         both = pd.concat([self._frame(self.held.get()), new], ignore_index=True) if held else new
         us = both["time"].astype("datetime64[us]").to_numpy().astype(np.int64)
         done, start = cut_batches(us, self.rows, self.millis * 1000)
-        for first, last, reason in done:
-            yield self._out(both.iloc[first:last], number, reason)
-            number += 1
+        yield from self._closed(both.iloc[:start], number, done)
+        number += len(done)
         rest = both.iloc[start:]
         if not done:
             # still the same batch: only the new rows are written
