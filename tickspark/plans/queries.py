@@ -693,7 +693,7 @@ def stream_observed_counters(spark, sf_dir):
         log.ended.wait(60)
     finally:
         spark.streams.removeListener(log)
-    return spark.createDataFrame([log.totals()], ", ".join(f"{n} long" for n in log.totals()))
+    return spark.range(1).select(*[F.lit(v).cast("long").alias(n) for n, v in log.totals().items()])
 
 
 # ---- windows and top-k ------------------------------------------------------------------------
